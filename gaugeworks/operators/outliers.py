@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gaugeworks.operators.series import TARGET_ROWS
+
 # Fixed value: scales a MAD to a standard deviation under a normal distribution.
 MAD_SCALE = 1.4826
 THRESHOLD = 3.5
@@ -18,8 +20,25 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str, weight: str | N
     return df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(n.alias("_c"))
 
 
-def exact_median(counts: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
-    """Exact median per group from weighted values (column ``_c``).
+def has_large_group(df: DataFrame, keys: Sequence[str], target_rows: int | None) -> bool:
+    """Whether some group has more than ``target_rows`` rows: one counting job over the key columns."""
+    if target_rows is None:
+        return False
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return not sizes.where(F.col("_n") > target_rows).isEmpty()
+
+
+def median(counts: DataFrame, keys: Sequence[str], value: str, name: str = "median",
+           large: bool = False) -> DataFrame:
+    """Exact median per group from weighted values (column ``_c``); ``large`` picks the form in which no
+    task holds a whole group."""
+    if large:
+        return median_of_large(counts, keys, value, name)
+    return counts.groupBy(*keys).agg(F.percentile(value, 0.5, F.col("_c")).alias(name))
+
+
+def median_of_large(counts: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
+    """Exact median per group, by rank.
 
     The median's place is first narrowed down with a histogram on a fixed, order-preserving logarithmic
     grid; only the values of the one or two cells that hold it are then ranked. No task ever sees all
@@ -55,17 +74,17 @@ def exact_median(counts: DataFrame, keys: Sequence[str], value: str, name: str =
             .select(*keys, ((F.col("_m1") + F.col("_m2")) / 2).alias(name)))
 
 
-def mad_table(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def mad_table(counts: DataFrame, keys: Sequence[str], value: str, large: bool = False) -> DataFrame:
     """Median and median absolute deviation per group."""
     keys = list(keys)
-    med = exact_median(counts, keys, value, "median")
+    med = median(counts, keys, value, "median", large)
     dev = (counts.join(med, keys).withColumn("_d", F.abs(F.col(value) - F.col("median")))
            .groupBy(*keys, "_d").agg(F.sum("_c").alias("_c")))
-    return med.join(exact_median(dev, keys, "_d", "mad"), keys)
+    return med.join(median(dev, keys, "_d", "mad", large), keys)
 
 
 def mad_outliers(df: DataFrame, keys: Sequence[str], value: str = "value", weight: str | None = None,
-                 threshold: float = THRESHOLD) -> DataFrame:
+                 threshold: float = THRESHOLD, target_rows: int | None = TARGET_ROWS) -> DataFrame:
     """Outlying values per group: |x - median| / (1.4826 MAD) above ``threshold``.
 
     Where the MAD is 0 every value off the median is an outlier. One row per distinct value; ``n`` says
@@ -73,7 +92,8 @@ def mad_outliers(df: DataFrame, keys: Sequence[str], value: str = "value", weigh
     """
     keys = list(keys)
     counts = value_counts(df, keys, value, weight)
-    scored = counts.join(mad_table(counts, keys, value), keys)
+    large = has_large_group(df, keys, target_rows)
+    scored = counts.join(mad_table(counts, keys, value, large), keys)
     dist = F.abs(F.col(value) - F.col("median"))
     hit = F.when(F.col("mad") == 0, dist > 0).otherwise(
         dist / (F.lit(MAD_SCALE) * F.col("mad")) > threshold)

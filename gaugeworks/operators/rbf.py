@@ -29,92 +29,69 @@ def bumps(t: Column, centres: Column, gamma: float) -> Column:
     return F.transform(centres, lambda c: F.exp(F.lit(-gamma) * (t - c) * (t - c)))
 
 
-def moments(rows: DataFrame, keys: Sequence[str], landmarks: int = LANDMARKS) -> DataFrame:
-    """Upper triangle ``g`` of the sums w f(i) f(j), by rows, and ``b``, the sums w f(i) y.
+def ridge_weights(t, y, w, centres, gamma: float, c: float) -> np.ndarray:
+    """Weights of the bumps at ``centres`` for values ``y`` at times ``t`` with row weights ``w``."""
+    f = np.exp(-gamma * (np.subtract.outer(t, centres)) ** 2)
+    return np.linalg.solve((f * w[:, None]).T @ f + np.eye(len(centres)) / (2.0 * c), (f * w[:, None]).T @ y)
 
-    ``rows`` has the features ``_f``, the centred value ``_y`` and the weight ``_w``. Plain sums, so they
-    are aggregated partially before the shuffle.
-    """
-    f = [F.coalesce(F.try_element_at("_f", F.lit(i + 1)), F.lit(0.0)) for i in range(landmarks)]
-    wide = rows.select(*keys, *[x.alias(f"_f{i}") for i, x in enumerate(f)], "_y", "_w")
-    g = [F.sum(F.col("_w") * F.col(f"_f{i}") * F.col(f"_f{j}"))
-         for i in range(landmarks) for j in range(i, landmarks)]
-    b = [F.sum(F.col("_w") * F.col(f"_f{i}") * F.col("_y")) for i in range(landmarks)]
-    return wide.groupBy(*keys).agg(F.array(*g).alias("g"), F.array(*b).alias("b"))
-
-
-def _ridge(g, b, landmarks: int, ridge: float) -> list[float]:
-    full = np.zeros((landmarks, landmarks))
-    full[np.triu_indices(landmarks)] = g
-    full = full + np.triu(full, 1).T
-    return np.linalg.solve(full + ridge * np.eye(landmarks), np.asarray(b, dtype=float)).tolist()
 
+def _fitted(points: DataFrame, keys: Sequence[str], gamma: float, c: float, landmarks: int) -> DataFrame:
+    """``weights``, ``centres`` and ``mean`` per series, one small solve for each.
 
-def weights(sums: DataFrame, keys: Sequence[str], c: float = C, landmarks: int = LANDMARKS) -> DataFrame:
-    """Ridge weights, one small solve per series."""
+    ``points`` holds per series its ``mean`` and the array ``pts`` of ``(t, y, w)``, latest first. Those
+    arrays are short by construction: callers bound them by kernel reach or by window length.
+    """
     names = list(keys)
-    schema = ", ".join(f"`{k}` {sums.schema[k].dataType.simpleString()}" for k in names)
+    schema = ", ".join(f"`{k}` {points.schema[k].dataType.simpleString()}" for k in names)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            fitted = [_ridge(g, b, landmarks, 1.0 / (2.0 * c)) for g, b in zip(pdf["g"], pdf["b"])]
-            yield pdf[names].assign(weights=fitted)
-
-    return sums.mapInPandas(solve, schema + ", weights array<double>")
+            weights, centres = [], []
+            for pts, mean in zip(pdf["pts"], pdf["mean"]):
+                t, y, w = np.array([(p["t"], p["y"], p["w"]) for p in pts], dtype=float).T
+                centres.append(t[:landmarks].tolist())
+                weights.append(ridge_weights(t, y - mean, w, t[:landmarks], gamma, c).tolist())
+            yield pdf[[*names, "mean"]].assign(weights=weights, centres=centres)
 
+    return points.mapInPandas(solve, schema + ", mean double, weights array<double>, centres array<double>")
 
-def index_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-               gamma: float = GAMMA, landmarks: int = LANDMARKS) -> DataFrame:
-    """Feature rows on the time index, counted back from the end (0 = last point).
 
-    Only rows within kernel reach of a landmark are needed: all others have features of exactly 0.
-    """
-    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.avg(value).alias("_mean"))
-    near = last_points(df, keys, order, landmarks + reach(gamma))
-    last = F.least(F.col("_n").cast("int"), F.lit(landmarks)) - 1
-    return (near.join(stats, list(keys))
-            .withColumn("_t", (F.lit(1) - F.col("_back")).cast("double"))
-            .withColumn("_c", F.transform(F.sequence(F.lit(0), last), lambda i: -i.cast("double")))
-            .withColumn("_f", bumps(F.col("_t"), F.col("_c"), gamma))
-            .withColumn("_y", F.col(value) - F.col("_mean")).withColumn("_w", F.lit(1.0)))
+def _value_at(t: Column, gamma: float) -> Column:
+    return F.col("mean") + dot(F.col("weights"), bumps(t, F.col("centres"), gamma))
 
 
 def forecast_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str = "value",
                    n: int = 12, gamma: float = GAMMA, c: float = C,
                    landmarks: int = LANDMARKS) -> DataFrame:
-    """Values ``h`` = 1..n steps after the end of each series."""
+    """Values ``h`` = 1..n steps after the end of each series, on the time index.
+
+    Only the last rows count besides the mean: further back all bumps are exactly 0. So a series sends at
+    most ``landmarks + reach(gamma)`` rows, however long it is.
+    """
     keys = list(keys)
-    rows = index_rows(df, keys, order, value, gamma, landmarks)
-    model = weights(moments(rows, keys, landmarks), keys, c, landmarks)
-    stats = df.groupBy(*keys).agg(F.avg(value).alias("_mean"))
-    centres = F.transform(F.sequence(F.lit(0), F.lit(landmarks - 1)), lambda i: -i.cast("double"))
-    return (model.join(stats, keys)
-            .withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(n))))
-            .withColumn("forecast", F.col("_mean") + dot(
-                F.col("weights"), bumps(F.col("h").cast("double"), centres, gamma)))
-            .select(*keys, "h", "forecast"))
+    near = last_points(df, keys, order, landmarks + reach(gamma))
+    point = F.struct((F.lit(1) - F.col("_back")).cast("double").alias("t"),
+                     F.col(value).cast("double").alias("y"), F.lit(1.0).alias("w"))
+    pts = near.groupBy(*keys).agg(F.sort_array(F.collect_list(point), asc=False).alias("pts"))
+    level = df.groupBy(*keys).agg(F.avg(value).alias("mean"))
+    model = _fitted(pts.join(level, keys), keys, gamma, c, landmarks)
+    return (model.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(n))))
+            .select(*keys, "h", _value_at(F.col("h").cast("double"), gamma).alias("forecast")))
 
 
 def forecast_at(df: DataFrame, keys: Sequence[str], t: str, value: str, weight: str, at: str,
                 gamma: float = GAMMA, c: float = C, landmarks: int = LANDMARKS,
                 time_scale: float = 1.0) -> DataFrame:
-    """One forecast per series at time ``at`` (a column constant within the series).
+    """One forecast per window of a series at time ``at`` (a column constant within the window).
 
-    ``df`` has one row per series and time: mean ``value`` and how many readings it stands for. Times are
-    divided by ``time_scale`` and taken relative to ``at``, which keeps them exact.
+    ``df`` has one row per window and second: mean ``value`` and how many readings it stands for, so a
+    window holds no more rows than seconds. Times are divided by ``time_scale``, relative to ``at``.
     """
     keys = list(keys)
-    rel = ((F.col(t) - F.col(at)) / F.lit(float(time_scale))).cast("double")
-    rows = df.withColumn("_t", rel)
-    marks = (last_points(rows, keys, ["_t"], landmarks).groupBy(*keys)
-             .agg(F.sort_array(F.collect_list("_t"), asc=False).alias("_c")))
-    level = rows.groupBy(*keys).agg(
-        (F.sum(F.col(value) * F.col(weight)) / F.sum(weight)).alias("_mean"))
-    model_in = rows.join(marks.join(level, keys), keys)
-    feats = (model_in.withColumn("_f", bumps(F.col("_t"), F.col("_c"), gamma))
-             .withColumn("_y", F.col(value) - F.col("_mean"))
-             .withColumn("_w", F.col(weight).cast("double")))
-    model = weights(moments(feats, keys, landmarks), keys, c, landmarks)
-    return (model.join(marks.join(level, keys), keys)
-            .select(*keys, (F.col("_mean") + dot(
-                F.col("weights"), bumps(F.lit(0.0), F.col("_c"), gamma))).alias("forecast")))
+    point = F.struct(((F.col(t) - F.col(at)) / F.lit(float(time_scale))).cast("double").alias("t"),
+                     F.col(value).cast("double").alias("y"), F.col(weight).cast("double").alias("w"))
+    pts = df.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(point), asc=False).alias("pts"),
+        (F.sum(F.col(value) * F.col(weight)) / F.sum(weight)).alias("mean"))
+    model = _fitted(pts, keys, gamma, c, landmarks)
+    return model.select(*keys, _value_at(F.lit(0.0), gamma).alias("forecast"))

@@ -60,11 +60,9 @@ def with_lags(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: s
     keys, order = list(keys), list(order)
     split, hot = split_hot(df, keys, order[0], target_rows)
     w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    cols = [F.lag(F.struct(F.col(value).alias("x")), i).over(w) for i in range(1, k + 1)]
-    own = split.withColumns({f"_lag{i}": c for i, c in enumerate(cols, 1)})
-    arr = F.array(*[F.col(f"_lag{i}") for i in range(1, k + 1)])
-    own = own.withColumn(name, F.filter(arr, lambda e: e.isNotNull()))
-    own = own.drop(*[f"_lag{i}" for i in range(1, k + 1)])
+    # The struct keeps null values in the list.
+    own = split.withColumn(name, F.reverse(F.collect_list(F.struct(F.col(value).alias("x")))
+                                           .over(w.rowsBetween(-k, -1))))
     if hot:
         carry = _carry_last(split, keys, order, value, k)
         own = (own.join(carry, [*keys, "_chunk"], "left")

@@ -24,8 +24,10 @@ def read_wide_series(spark: SparkSession, path: str) -> DataFrame:
         F.col(f"`{lat}`").cast("double").alias("lat"), F.col(f"`{lng}`").cast("double").alias("lng"),
         *[F.col(f"`{d}`").cast("long").alias(d) for d in days])
     long = kept.unpivot(["label", "lat", "lng"], [f"`{d}`" for d in days], "day", "value")
-    return (long.withColumn("ts", F.to_timestamp("day", "M/d/yy")).drop("day")
-            .where(F.col("value").isNotNull()))
+    parsed = F.to_timestamp("day", "M/d/yy")
+    # Two-digit years 69 to 99 belong to the 1900s.
+    ts = F.when(F.year(parsed) >= 2069, parsed - F.make_ym_interval(F.lit(100))).otherwise(parsed)
+    return long.where(F.col("value").isNotNull()).withColumn("ts", ts).drop("day")
 
 
 # Positions of the columns used in an event catalogue.

@@ -88,7 +88,7 @@ def test_short_series_are_left_out(spark):
 
 @pytest.mark.parametrize("target", [None, 100])
 def test_adf(spark, target):
-    walk, noise = np.cumsum(simulate([], [], 500, 9, d=1)), simulate([0.2], [], 500, 10)
+    walk, noise = simulate([], [], 500, 3, d=1), simulate([0.2], [], 500, 10)
     df = frame(spark, walk=walk, noise=noise, small=noise[:20])
     got = {r["k"]: r for r in stationarity.stationarity(df, ["k"], ["t"], target_rows=target).collect()}
     for name, y in (("walk", walk), ("noise", noise)):
@@ -128,22 +128,24 @@ def test_rbf_equals_direct_solution(spark):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_exact_median(spark, seed):
+@pytest.mark.parametrize("large", [False, True])
+def test_exact_median(spark, seed, large):
     rng = np.random.default_rng(seed)
     vals = {0: rng.normal(size=801), 1: rng.exponential(1000, 500).round(1), 2: rng.integers(-3, 3, 400) * 1.0,
             3: np.concatenate([np.zeros(301), rng.normal(size=299) * 1e-6])}[seed]
     pdf = pd.DataFrame({"k": np.where(np.arange(len(vals)) % 3 == 0, "x", "y"), "value": vals})
     counts = outliers.value_counts(spark.createDataFrame(pdf), ["k"], "value")
-    got = {r["k"]: r["median"] for r in outliers.exact_median(counts, ["k"], "value").collect()}
+    got = {r["k"]: r["median"] for r in outliers.median(counts, ["k"], "value", large=large).collect()}
     want = pdf.groupby("k")["value"].median()
     assert got == pytest.approx(want.to_dict(), abs=1e-15)
 
 
-def test_mad_outliers(spark):
+@pytest.mark.parametrize("target", [None, 5])
+def test_mad_outliers(spark, target):
     vals = [1.0, 2, 3, 2, 1, 2, 3, 150, 150, -90]
     df = spark.createDataFrame([("a", float(v)) for v in vals] + [("flat", 4.0)] * 5 + [("flat", 4.5)],
                                "k string, value double")
-    got = {(r["k"], r["value"]): r["n"] for r in outliers.mad_outliers(df, ["k"]).collect()}
+    got = {(r["k"], r["value"]): r["n"] for r in outliers.mad_outliers(df, ["k"], target_rows=target).collect()}
     assert got == {("a", 150.0): 2, ("a", -90.0): 1, ("flat", 4.5): 1}
 
 

@@ -1 +1,456 @@
-"""Analytics jobs and streaming."""
+"""Models, outliers, clusters, risk scores, standing jobs and user hooks."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalog.base import (CPT_SQL, HEALTH, READINGS, RISKS, STATE, cpt, health, positions, query, readings,
+                          risk_series, secs, table, with_)
+from catalog.grouping import BROAD, CLASSED, DAY, ORDER
+from catalog.selecting import BOX, IN_BOX, PEAKS, peaks
+from catalog.sources import ALERTS, alert_rows
+from gaugeworks.operators import arma, bayes, dbscan, lookup, outliers, rbf, resample, series, stationarity
+from gaugeworks.plans import jobs, risk
+from gaugeworks.session import scratch_path
+from gaugeworks.sources import tables
+from gaugeworks.streaming.jobs import WindowJob, drop_report, late_rows
+
+W = "OVER (PARTITION BY sensor ORDER BY us, event_id)"
+LAGGED = f"lagged AS (SELECT sensor, us, event_id, value AS y, lag(value) {W} AS y1, lag(value, 2) {W} AS y2 FROM readings)"
+
+
+# Streams read the event table as a file source. What the watermark has not closed does not come out.
+
+def event_stream(spark, sf):
+    ev = table(spark, sf, "events")
+    raw = spark.readStream.schema(ev.schema).parquet(f"{sf}/events*.parquet")
+    return raw.select(F.col("user_id").alias("sensor"), F.col("event_type").alias("site"),
+                      F.col("ts").cast("timestamp").alias("ts"), "value")
+
+
+def run_stream(spark, job, stream):
+    path = scratch_path(spark, job.name)
+    q = job.start(stream, f"{path}/checkpoint", f"{path}/out")
+    q.awaitTermination()
+    return tables.read_batches(spark, f"{path}/out"), q
+
+
+def count_job(seconds, slide=None):
+    return WindowJob(f"count_{seconds}", seconds, ["site"], result=lambda closed: closed, slide=slide)
+
+
+CLOSED = "window_start + {0} <= (SELECT max(us) FROM readings) // 1000000 - {0}"
+
+
+@query("j1_tumbling_stream", with_(READINGS) + """
+SELECT * FROM (SELECT t - t % 3600 AS window_start, t - t % 3600 + 3600 AS window_end, site, count(*) AS n
+  FROM readings GROUP BY ALL) WHERE """ + CLOSED.format(3600))
+def j1(spark, sf):
+    return run_stream(spark, count_job(3600), event_stream(spark, sf))[0]
+
+
+@query("j1_tumbling_batch", with_(READINGS) + """
+SELECT t - t % 3600 AS window_start, t - t % 3600 + 3600 AS window_end, site, count(*) AS n FROM readings GROUP BY ALL""")
+def j1b(spark, sf):
+    return count_job(3600).run_batch(readings(spark, sf))
+
+
+SLID = """s AS (SELECT t - t % 60 - 60 * i AS window_start, site FROM readings, range(10) r(i))"""
+
+
+@query("j2_sliding_batch", with_(READINGS, SLID) + """
+SELECT window_start, window_start + 600 AS window_end, site, count(*) AS n FROM s GROUP BY ALL""")
+def j2(spark, sf):
+    return count_job(600, 60).run_batch(readings(spark, sf))
+
+
+@query("j2_sliding_stream", with_(READINGS, SLID) + """
+SELECT * FROM (SELECT window_start, window_start + 600 AS window_end, site, count(*) AS n FROM s GROUP BY ALL)
+WHERE """ + CLOSED.format(600))
+def j2b(spark, sf):
+    return run_stream(spark, count_job(600, 60), event_stream(spark, sf))[0]
+
+
+@query("j4_partition_map_filter", with_(READINGS) + """
+SELECT t - t % 86400 AS window_start, t - t % 86400 + 86400 AS window_end, instance, count(*) AS n
+FROM readings WHERE site IN ('click', 'view') AND value * 2 > 20 GROUP BY ALL""")
+def j4(spark, sf):
+    job = WindowJob(
+        "stages", DAY, ["instance"], result=lambda closed: closed, keep=F.col("site").isin("click", "view"),
+        map=lambda df: df.withColumn("value", F.col("value") * 2).where("value > 20"),
+        partition=lambda df: df.withColumn("instance", F.col("labels")["instance"]))
+    return job.run_batch(readings(spark, sf))
+
+
+@query("j8_collect", with_(READINGS, RISKS, PEAKS, CLASSED, BROAD) + """
+SELECT 'cluster_eval_status' AS name, 'ddos' AS type, window_start + 86400 AS t,
+  round(attack_broadness, 9) AS value FROM status""")
+def j8(spark, sf):
+    out = jobs.cluster_status_job(DAY).run_batch(risk_series(spark, sf))
+    return out.select(F.col("labels")["__name__"].alias("name"), F.col("labels")["type"].alias("type"),
+                      secs().alias("t"), F.round("value", 9).alias("value"))
+
+
+@query("j10_chained_streams", with_(READINGS) + """
+SELECT * FROM (SELECT h - h % 86400 AS window_start, site, max(n) AS busiest FROM
+  (SELECT t - t % 3600 AS h, site, count(*) AS n FROM readings GROUP BY ALL)
+  WHERE h + 3600 <= (SELECT max(us) FROM readings) // 1000000 - 3600 GROUP BY ALL)
+WHERE window_start + 86400 <= (SELECT max(h) FROM (SELECT t - t % 3600 AS h FROM readings)
+  WHERE h + 3600 <= (SELECT max(us) FROM readings) // 1000000 - 3600) - 86400""")
+def j10(spark, sf):
+    hourly = run_stream(spark, count_job(3600), event_stream(spark, sf))[0]
+    path = scratch_path(spark, "hourly")
+    hourly.withColumn("ts", F.timestamp_seconds("window_start")).write.parquet(path)
+    made = spark.read.parquet(path)
+    daily = WindowJob("busiest", DAY, ["site"], state={"busiest": F.max("n")},
+                      result=lambda closed: closed.drop("window_end"))
+    return run_stream(spark, daily, spark.readStream.schema(made.schema).parquet(path))[0]
+
+
+@query("j12_drop_report", "SELECT count(*) AS rows_in, CAST(0 AS BIGINT) AS rows_dropped FROM events")
+def j12(spark, sf):
+    _, q = run_stream(spark, count_job(DAY), event_stream(spark, sf))
+    return drop_report(spark, q).agg(F.sum("rows_in").alias("rows_in"), F.sum("rows_dropped").alias("rows_dropped"))
+
+
+@query("j12_late_rows_replay", with_(READINGS, """
+b AS (SELECT t, (event_id + (event_id % 7) * 40) // 100 AS batch FROM readings),
+m AS (SELECT batch, max(max(t)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 3600 AS mark
+  FROM b GROUP BY batch)""") + """
+SELECT batch, coalesce(t - t % 3600 + 3600 <= mark, false) AS late, count(*) AS n FROM b JOIN m USING (batch)
+GROUP BY ALL""")
+def j12b(spark, sf):
+    r = readings(spark, sf).withColumn(
+        "batch", F.call_function("div", F.col("event_id") + F.col("event_id") % 7 * 40, F.lit(100)))
+    return late_rows(r, "batch", 3600, 3600).groupBy("batch", "late").agg(F.count(F.lit(1)).alias("n"))
+
+
+MAD = with_(READINGS, """c AS (SELECT t - t % 3600 AS h, site, value FROM readings),
+  m AS (SELECT h, site, median(value) AS median FROM c GROUP BY ALL),
+  d AS (SELECT h, site, median(abs(value - median)) AS mad FROM c JOIN m USING (h, site) GROUP BY ALL)""") + """
+SELECT h, site, value, count(*) AS n, round(median, 6) AS median, round(mad, 6) AS mad
+FROM c JOIN m USING (h, site) JOIN d USING (h, site)
+WHERE CASE WHEN mad = 0 THEN value <> median ELSE abs(value - median) / (1.4826 * mad) > 3.5 END GROUP BY ALL"""
+
+
+@query("k1_mad_outliers", MAD)
+def k1(spark, sf):
+    hourly = readings(spark, sf).withColumn("h", secs() - secs() % 3600)
+    return outliers.mad_outliers(hourly, ["h", "site"]).withColumns(
+        {"median": F.round("median", 6), "mad": F.round("mad", 6)})
+
+
+@query("k2_outlier_alerts", ALERTS + " SELECT * FROM alerts")
+def k2(spark, sf):
+    return alert_rows(spark, sf)
+
+
+ADF = f"""a AS (SELECT sensor, count(*) AS size, regr_count(y - y1, y1) AS nobs, regr_slope(y - y1, y1) AS b,
+    regr_sxx(y - y1, y1) AS sxx, regr_syy(y - y1, y1) AS syy, regr_sxy(y - y1, y1) AS sxy FROM lagged GROUP BY sensor),
+  s AS (SELECT *, b / sqrt((syy - b * sxy) / (nobs - 2) / sxx) AS stat FROM a)"""
+
+
+@query("k3_adf_stat", with_(READINGS, LAGGED, ADF) + " SELECT sensor, size, nobs, round(stat, 6) AS stat FROM s")
+def k3(spark, sf):
+    return stationarity.adf(readings(spark, sf), ["sensor"], ORDER).select(
+        "sensor", "size", "nobs", F.round("stat", 6).alias("stat"))
+
+
+NORMAL = """p AS (SELECT *, CASE WHEN stat <= -1.61 THEN 2.1659 + 1.4412 * stat + 0.038269 * stat * stat
+    ELSE 1.7339 + 0.93202 * stat - 0.12745 * stat * stat - 0.010368 * stat * stat * stat END AS z FROM s),
+  k AS (SELECT *, 1.0 / (1.0 + 0.3275911 * abs(z) / sqrt(2.0)) AS k FROM p),
+  e AS (SELECT *, 1.0 - ((((1.061405429 * k - 1.453152027) * k + 1.421413741) * k - 0.284496736) * k + 0.254829592)
+    * k * exp(-z * z / 2) AS erf FROM k),
+  v AS (SELECT *, CASE WHEN stat < -18.83 THEN 0 WHEN stat > 2.74 THEN 1 WHEN z >= 0 THEN (1 + erf) / 2
+    ELSE (1 - erf) / 2 END AS pvalue, greatest(-3.43035 - 6.5393 / nobs - 16.786 / nobs ** 2 - 79.433 / nobs ** 3,
+    -2.86154 - 2.8903 / nobs - 4.234 / nobs ** 2 - 40.040 / nobs ** 3,
+    -2.56677 - 1.5384 / nobs - 2.809 / nobs ** 2) AS top FROM e)"""
+
+
+@query("k4_stationarity", with_(READINGS, LAGGED, ADF, NORMAL) + """
+SELECT sensor, round(pvalue, 6) AS pvalue, CASE WHEN size <= 60 THEN 'small dataset'
+  WHEN pvalue < 0.05 THEN 'stationary (by significance level)' WHEN stat > top THEN 'non-stationary'
+  ELSE 'stationary (by critical values)' END AS feature FROM v""")
+def k4(spark, sf):
+    return stationarity.stationarity(readings(spark, sf), ["sensor"], ORDER, min_records=60).select(
+        "sensor", F.round("pvalue", 6).alias("pvalue"), "feature")
+
+
+@query("k5_lag_sums", with_(READINGS, LAGGED) + """
+SELECT sensor, count(*) AS n, round(sum(y * y), 2) AS s0, round(coalesce(sum(y * y1), 0), 2) AS s1,
+  round(coalesce(sum(y * y2), 0), 2) AS s2 FROM lagged GROUP BY sensor""")
+def k5(spark, sf):
+    s = arma.lag_sums(readings(spark, sf), ["sensor"], ORDER, "value", 2)
+    return s.select("sensor", "n", *[F.round(F.col("s")[i], 2).alias(f"s{i}") for i in range(3)])
+
+
+AR2 = """m AS (SELECT sensor, sum(y1 * y1) AS a, sum(y1 * y2) AS b, sum(y2 * y2) AS c, sum(y * y1) AS u, sum(y * y2) AS v,
+    sum(y * y) AS yy, count(*) AS rows FROM lagged WHERE y2 IS NOT NULL GROUP BY sensor),
+  ar AS (SELECT *, (u * c - v * b) / (a * c - b * b) AS phi1, (v * a - u * b) / (a * c - b * b) AS phi2
+    FROM m WHERE rows > 4 AND a * c - b * b > 1e-6 * a * c)"""
+
+
+@query("k5_ar2_fit", with_(READINGS, LAGGED, AR2) + """
+SELECT sensor, round(phi1, 6) AS phi1, round(phi2, 6) AS phi2,
+  round((yy - phi1 * u - phi2 * v) / (rows - 2), 3) AS sigma2 FROM ar""")
+def k5b(spark, sf):
+    model = arma.fit(readings(spark, sf), ["sensor"], ORDER, p=2).where("n > 6")
+    return model.select("sensor", F.round(F.col("phi")[0], 6).alias("phi1"), F.round(F.col("phi")[1], 6).alias("phi2"),
+                        F.round("sigma2", 3).alias("sigma2"))
+
+
+AR1 = """m AS (SELECT sensor, sum(y * y1) / sum(y1 * y1) AS phi, sum(y * y) - sum(y * y1) ** 2 / sum(y1 * y1) AS sse,
+    count(*) AS rows FROM {0} WHERE y1 IS NOT NULL GROUP BY sensor HAVING count(*) > 2),
+  l AS (SELECT sensor, arg_max(y, (us, event_id)) AS last FROM {0} GROUP BY sensor)"""
+
+
+@query("k6_ar1_forecast", with_(READINGS, LAGGED, AR1.format("lagged")) + """
+SELECT sensor, h, round(last * phi ** h, 5) AS forecast, CASE WHEN abs(phi) < 1 THEN round(last * phi ** h
+  + 1.959963984540054 * sqrt(sse / (rows - 1) * (1 - phi ** (2 * h)) / (1 - phi * phi)), 5) END AS upper
+FROM m JOIN l USING (sensor), range(1, 13) r(h)""")
+def k6(spark, sf):
+    model = arma.fit(readings(spark, sf), ["sensor"], ORDER, p=1).where("n > 3")
+    return arma.forecast(model, ["sensor"], 12).select(
+        "sensor", F.col("h").cast("long").alias("h"), F.round("forecast", 5).alias("forecast"),
+        F.round("upper", 5).alias("upper"))
+
+
+@query("k6_ar_forecast")
+def k6b(spark, sf):
+    return arma.forecast(arma.fit(readings(spark, sf), ["sensor"], ORDER, p=3), ["sensor"], 12)
+
+
+@query("k7_arma_fit")
+def k7(spark, sf):
+    return arma.fit(readings(spark, sf), ["sensor"], ORDER, p=3, q=4).select(
+        "sensor", "n", F.col("phi").cast("string").alias("phi"), F.col("theta").cast("string").alias("theta"), "sigma2")
+
+
+@query("k8_arma_forecast")
+def k8(spark, sf):
+    return arma.forecast(arma.fit(readings(spark, sf), ["sensor"], ORDER, p=3, q=4), ["sensor"], 12)
+
+
+DIFFED = f"""dd AS (SELECT sensor, us, event_id, value - lag(value) {W} AS y, value FROM readings),
+  z AS (SELECT sensor, us, event_id, y, lag(y) {W} AS y1 FROM dd WHERE y IS NOT NULL)"""
+
+
+@query("k9_arima_110_forecast", with_(READINGS, DIFFED, AR1.format("z"), """
+v AS (SELECT sensor, arg_max(value, (us, event_id)) AS level FROM readings GROUP BY sensor)""") + """
+SELECT sensor, h, round(level + last * phi * (1 - phi ** h) / (1 - phi), 4) AS forecast
+FROM m JOIN l USING (sensor) JOIN v USING (sensor), range(1, 21) r(h)""")
+def k9(spark, sf):
+    model = arma.fit(readings(spark, sf), ["sensor"], ORDER, p=1, d=1).where("n > 3")
+    return arma.forecast(model, ["sensor"], 20, d=1).select(
+        "sensor", F.col("h").cast("long").alias("h"), F.round("forecast", 4).alias("forecast"))
+
+
+@query("k9_arima_forecast")
+def k9b(spark, sf):
+    return arma.arima_forecast(readings(spark, sf), ["sensor"], ORDER)
+
+
+def monthly_by_nation(spark, sf):
+    nation = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    orders = table(spark, sf, "orders").join(nation, "o_custkey").select(
+        "c_nationkey", F.col("o_orderdate").cast("timestamp").alias("ts"), F.col("o_totalprice").alias("value"))
+    return resample.resample(orders, ["c_nationkey"], 30 * DAY, F.col("value"))
+
+
+for method in ("ar", "arma", "rbf"):
+    @query(f"k10_many_series_{method}")
+    def k10(spark, sf, method=method):
+        return jobs.cell_forecasts(monthly_by_nation(spark, sf), ["c_nationkey"], method, p=3, q=2)
+
+
+@query("k11_geo_forecast")
+def k11(spark, sf):
+    return jobs.geo_forecast(readings(spark, sf), positions(spark, sf), BOX)
+
+
+@query("k12_area_series", with_(READINGS, f"""b AS (SELECT t - t % 86400 AS bucket, sum(value) AS s FROM readings
+    WHERE {IN_BOX} GROUP BY ALL),
+  span AS (SELECT unnest(range(min(bucket), max(bucket) + 1, 86400)) AS bucket FROM b),
+  f AS (SELECT bucket, coalesce(s, 0) AS total FROM span LEFT JOIN b USING (bucket))""") + """
+SELECT 'area' AS series, bucket, round(total, 2) AS total,
+  round(avg(total) OVER (ORDER BY bucket ROWS UNBOUNDED PRECEDING), 6) AS value FROM f""")
+def k12(spark, sf):
+    out = jobs.area_series(readings(spark, sf), positions(spark, sf), BOX, DAY, F.col("v.m"), digits=6)
+    return out.withColumns({"total": F.round("total", 2)})
+
+
+@query("k12_area_forecast")
+def k12b(spark, sf):
+    return jobs.area_forecast(readings(spark, sf), positions(spark, sf), BOX, DAY, F.col("v.m"))
+
+
+@query("k13_rbf_one_landmark", with_(READINGS, """
+x AS (SELECT sensor, value, row_number() OVER (PARTITION BY sensor ORDER BY us DESC, event_id DESC) - 1 AS back,
+  avg(value) OVER (PARTITION BY sensor) AS mean FROM readings),
+w AS (SELECT sensor, mean, sum(exp(-0.125 * back * back) * (value - mean))
+  / (sum(exp(-0.25 * back * back)) + 1.0 / 40) AS w FROM x GROUP BY sensor, mean)""") + """
+SELECT sensor, h, round(mean + w * exp(-0.125 * h * h), 6) AS forecast FROM w, range(1, 13) r(h)""")
+def k13(spark, sf):
+    out = rbf.forecast_index(readings(spark, sf), ["sensor"], ORDER, n=12, landmarks=1)
+    return out.select("sensor", F.col("h").cast("long").alias("h"), F.round("forecast", 6).alias("forecast"))
+
+
+@query("k13_rbf_forecast")
+def k13b(spark, sf):
+    return rbf.forecast_index(readings(spark, sf), ["sensor"], ORDER, n=12)
+
+
+PTS = """pts AS (SELECT sensor AS id, avg(CASE WHEN site = 'error' THEN value END) / 500 AS x,
+    avg(CASE WHEN site = 'click' THEN value END) / 500 AS y FROM readings GROUP BY sensor
+    HAVING count(*) FILTER (site = 'error') > 0 AND count(*) FILTER (site = 'click') > 0),
+  near AS (SELECT a.id, b.id AS other FROM pts a, pts b
+    WHERE (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 0.012 * 0.012),
+  core AS (SELECT id, count(*) >= 3 AS core FROM near GROUP BY id)"""
+
+
+def user_points(spark, sf):
+    mean = lambda s: F.avg(F.when(F.col("site") == s, F.col("value"))) / 500
+    return (readings(spark, sf).groupBy(F.col("sensor").alias("id")).agg(mean("error").alias("x"), mean("click").alias("y"))
+            .where("x is not null and y is not null"))
+
+
+@query("k14_core_flags", with_(READINGS, PTS) + " SELECT id, core FROM core")
+def k14(spark, sf):
+    loc = dbscan.locations(user_points(spark, sf), [], 0.012)
+    return dbscan.core_flags(loc, [], 0.012, 3).select("id", "core")
+
+
+CLUSTERS = PTS.replace("pts AS", "RECURSIVE pts AS", 1) + """,
+  hop AS (SELECT n.id, n.other FROM near n JOIN core a ON a.id = n.id AND a.core JOIN core b ON b.id = n.other AND b.core),
+  reach AS (SELECT id, other FROM hop UNION SELECT r.id, h.other FROM reach r JOIN hop h ON r.other = h.id),
+  lab AS (SELECT id, min(other) AS label FROM reach GROUP BY id),
+  border AS (SELECT n.id, min(label) AS label FROM near n JOIN core c ON c.id = n.id AND NOT c.core
+    JOIN lab l ON l.id = n.other GROUP BY n.id),
+  named AS (SELECT label, dense_rank() OVER (ORDER BY label) AS cluster FROM (SELECT DISTINCT label FROM lab)),
+  placed AS (SELECT p.id, p.x, p.y, coalesce(cluster, 0) AS cluster FROM pts p LEFT JOIN
+    (SELECT * FROM lab UNION ALL SELECT * FROM border) a ON a.id = p.id LEFT JOIN named USING (label))"""
+CLUSTER_SQL = "WITH RECURSIVE " + READINGS + ",\n" + CLUSTERS.replace("RECURSIVE ", "")
+
+
+@query("k14_dbscan_labels", CLUSTER_SQL + " SELECT id, cluster FROM placed")
+def k14b(spark, sf):
+    return dbscan.dbscan(user_points(spark, sf), 0.012, 3).select("id", "cluster")
+
+
+@query("e16_cluster_centroids", CLUSTER_SQL + """
+SELECT cluster, count(*) AS size, round(avg(x), 6) AS x, round(avg(y), 6) AS y FROM placed WHERE cluster <> 0
+GROUP BY cluster""")
+def e16(spark, sf):
+    out = dbscan.centroids(dbscan.dbscan(user_points(spark, sf), 0.012, 3))
+    return out.select("cluster", "size", F.round("x", 6).alias("x"), F.round("y", 6).alias("y")).orderBy("size", "x", "y")
+
+
+@query("g5_clusters_by_size", CLUSTER_SQL + """
+SELECT size, count(*) AS clusters FROM (SELECT cluster, count(*) AS size FROM placed WHERE cluster <> 0 GROUP BY cluster)
+GROUP BY size ORDER BY size""")
+def g5(spark, sf):
+    out = dbscan.centroids(dbscan.dbscan(user_points(spark, sf), 0.012, 3, numbered=False).where("cluster is not null"))
+    return out.groupBy("size").agg(F.count(F.lit(1)).alias("clusters")).orderBy("size")
+
+
+@query("jn6_neighbours_in_reach", with_(READINGS, PTS) + """
+SELECT id, count(*) AS n FROM near GROUP BY id HAVING count(*) < 3""")
+def jn6(spark, sf):
+    # Non-core points are exactly those with fewer than three neighbours, so their number is known in full.
+    loc = dbscan.locations(user_points(spark, sf), [], 0.012)
+    return dbscan.neighbour_counts(loc, [], 0.012, 3).where("near < 3").select("id", F.col("near").alias("n"))
+
+
+SLIDE, SPAN = 21600, 86400
+NOW = f"""x AS (SELECT t - t % {SLIDE} - {SLIDE} * i AS window_start, h.* FROM health h, range({SPAN // SLIDE}) r(i)),
+  l AS (SELECT *, row_number() OVER (PARTITION BY window_start, instance, type ORDER BY us DESC, value DESC) AS k FROM x),
+  st AS (SELECT window_start, instance, type, CAST(round(avg({STATE}), 0) AS INTEGER) AS state FROM l WHERE k <= 5
+    GROUP BY ALL),
+  ev AS (SELECT window_start, instance, max(CASE type WHEN 'ping' THEN state END) AS s1,
+    max(CASE type WHEN 'cpu' THEN state END) AS s2, max(CASE type WHEN 'mem' THEN state END) AS s3,
+    max(CASE type WHEN 'reject' THEN state END) AS s4 FROM st GROUP BY ALL HAVING count(*) = 4)"""
+POST = """post AS (SELECT e.*, a, b, prior * l1.p * l2.p * l3.p * l4.p AS w FROM ev e, ab
+    JOIN lk l1 USING (a, b) JOIN lk l2 USING (a, b) JOIN lk l3 USING (a, b) JOIN lk l4 USING (a, b)
+    WHERE l1.node = 1 AND l1.s = s1 AND l2.node = 2 AND l2.s = s2 AND l3.node = 3 AND l3.s = s3
+      AND l4.node = 4 AND l4.s = s4),
+  risked AS (SELECT window_start, instance, CAST(0.02 + 0.05 * (s1 + s2 + s3 + s4) AS DOUBLE) AS p_crash,
+    sum(CASE WHEN a = 1 THEN w ELSE 0 END) / sum(w) AS p_ddos,
+    sum(CASE WHEN b = 1 THEN w ELSE 0 END) / sum(w) AS p_overload FROM post GROUP BY window_start, instance, s1, s2, s3, s4)"""
+RISK_COLS = ", ".join(f"round({c}, 8) AS {c}" for c in ("p_crash", "p_ddos", "p_overload"))
+
+
+@query("k15_bayes_marginals", with_(READINGS, HEALTH, NOW, CPT_SQL, POST) + f"""
+SELECT window_start, instance, {RISK_COLS} FROM risked""")
+def k15(spark, sf):
+    now = risk.states_now(health(spark, sf), SPAN, SLIDE)
+    return bayes.score(now, cpt(spark)).select(
+        "window_start", "instance", *[F.round(c, 8).alias(c) for c in ("p_crash", "p_ddos", "p_overload")])
+
+
+@query("b13_state_one_fields", with_(READINGS, HEALTH, NOW, CPT_SQL, POST) + """
+SELECT instance, round(max(p_crash), 8) AS p_crash, round(max(p_ddos), 8) AS p_ddos,
+  round(max(p_overload), 8) AS p_overload FROM risked GROUP BY instance""")
+def b13(spark, sf):
+    now = risk.states_now(health(spark, sf), SPAN, SLIDE)
+    return bayes.score(now, cpt(spark)).groupBy("instance").agg(
+        *[F.round(F.max(c), 8).alias(c) for c in ("p_crash", "p_ddos", "p_overload")])
+
+
+def node_risks(spark, sf):
+    return risk.node_risk(health(spark, sf), cpt(spark), SPAN, SLIDE, 3600, 3600.0)
+
+
+@query("k16_node_risk")
+def k16(spark, sf):
+    return node_risks(spark, sf)
+
+
+@query("j9_collect_by_key")
+def j9(spark, sf):
+    out = risk.risk_metrics(node_risks(spark, sf))
+    return out.select(*[F.col("labels")[k].alias(k) for k in ("__name__", "instance", "risk", "when")],
+                      secs().alias("t"), "value")
+
+
+@query("k17_cluster_status", with_(READINGS, RISKS, PEAKS, CLASSED, BROAD) + """
+SELECT s.window_start, round(attack_broadness, 9) AS attack_broadness, c.members FROM status s JOIN
+  (SELECT window_start, coalesce(string_agg(instance, ', ' ORDER BY instance) FILTER (cls = 'ddos'), '') AS members
+    FROM classed GROUP BY window_start) c ON c.window_start = s.window_start WHERE attack_broadness > 0.1""")
+def k17(spark, sf):
+    p = peaks(spark, sf)
+    alarmed = risk.broadness(p).where("attack_broadness > 0.1").select("window_start", "attack_broadness")
+    return risk.class_counts(p).join(alarmed, "window_start").select(
+        "window_start", F.round("attack_broadness", 9).alias("attack_broadness"),
+        F.array_join("ddos_members", ", ").alias("members"))
+
+
+@query("k17_cluster_report")
+def k17b(spark, sf):
+    return risk.cluster_report(peaks(spark, sf), seconds=DAY)
+
+
+@query("l1_named_function", with_(READINGS, LAGGED, ADF) + " SELECT sensor, round(stat, 6) AS stat FROM s WHERE size > 60")
+def l1(spark, sf):
+    def adf_of(df):
+        return stationarity.adf(df, ["sensor"], ORDER).where("size > 60")
+    return readings(spark, sf).transform(adf_of).select("sensor", F.round("stat", 6).alias("stat"))
+
+
+@query("l4_routing", with_(READINGS) + """
+SELECT 'owner_' || site AS swimlane, 'S' || (sensor % 16) AS sensor_key, count(*) AS n FROM readings GROUP BY ALL""")
+def l4(spark, sf):
+    from gaugeworks.functions.scalars import routing_key
+    from gaugeworks.sources.files import route
+    routed = route(readings(spark, sf), routing_key(F.lit("owner"), F.col("site")),
+                   F.concat(F.lit("S"), F.col("sensor") % 16))
+    return routed.groupBy("swimlane", "sensor_key").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("l5_window_job", with_(READINGS) + """
+SELECT t - t % 86400 AS window_start, swimlane, round(sum(value), 2) AS total FROM readings WHERE site <> 'signup'
+GROUP BY ALL HAVING sum(value) > 100""")
+def l5(spark, sf):
+    job = WindowJob("totals", DAY, ["swimlane"], state={"total": F.sum("value")}, keep=F.col("site") != "signup",
+                    result=lambda closed: closed.where("total > 100"),
+                    collect=lambda df: df.select("window_start", "swimlane", F.round("total", 2).alias("total")))
+    return job.run_batch(readings(spark, sf))

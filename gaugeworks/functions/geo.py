@@ -23,38 +23,50 @@ def _axis_cell(deg: Column, low: float, span: float) -> Column:
     return F.least(F.greatest(cell, F.lit(0)), F.lit(_AXIS_CELLS - 1))
 
 
-def _bit(x: Column, n: int) -> Column:
-    return F.shiftright(x, n).bitwiseAND(F.lit(1))
+def _letters(wide_bits: int, narrow_bits: int) -> str:
+    """Base-32 letters ordered by (bits of the wide axis, bits of the narrow one).
+
+    The five bits of a letter alternate between the axes, three from one and two from the other, so one
+    lookup replaces the interleaving.
+    """
+    out = []
+    for wide in range(1 << wide_bits):
+        for narrow in range(1 << narrow_bits):
+            bits = [wide >> 2, narrow >> 1, (wide >> 1) & 1, narrow & 1, wide & 1]
+            out.append(BASE32[sum(b << (4 - i) for i, b in enumerate(bits))])
+    return "".join(out)
+
+
+LETTERS = _letters(3, 2)
 
 
 def geohash_encode(lat: Column, lng: Column) -> Column:
     """Six-character geohash: longitude bits on even positions, latitude bits on odd ones."""
-    x = _axis_cell(lng, -180.0, 360.0)
-    y = _axis_cell(lat, -90.0, 180.0)
+    x, y = _axis_cell(lng, -180.0, 360.0), _axis_cell(lat, -90.0, 180.0)
     chars = []
+    x_left, y_left = _AXIS_BITS, _AXIS_BITS
     for c in range(HASH_CHARS):
-        code = None
-        for b in range(5):
-            pos = c * 5 + b
-            axis = x if pos % 2 == 0 else y
-            bit = F.shiftleft(_bit(axis, _AXIS_BITS - 1 - pos // 2), 4 - b)
-            code = bit if code is None else code + bit
-        chars.append(F.substring(F.lit(BASE32), (code + F.lit(1)).cast("int"), F.lit(1)))
+        x_bits, y_bits = (3, 2) if c % 2 == 0 else (2, 3)
+        x_left, y_left = x_left - x_bits, y_left - y_bits
+        xb = F.shiftright(x, x_left).bitwiseAND(F.lit((1 << x_bits) - 1))
+        yb = F.shiftright(y, y_left).bitwiseAND(F.lit((1 << y_bits) - 1))
+        wide, narrow = (xb, yb) if c % 2 == 0 else (yb, xb)
+        place = (wide * F.lit(4) + narrow + F.lit(1)).cast("int")
+        chars.append(F.substring(F.lit(LETTERS), place, F.lit(1)))
     return F.concat(*chars)
 
 
 def geohash_decode(cell: Column) -> Column:
     """Bounds of a six-character geohash as struct ``lat1, lat2, lng1, lng2``."""
     x, y = F.lit(0), F.lit(0)
+    x_left, y_left = _AXIS_BITS, _AXIS_BITS
     for c in range(HASH_CHARS):
-        code = F.instr(F.lit(BASE32), F.substring(cell, c + 1, 1)) - F.lit(1)
-        for b in range(5):
-            pos = c * 5 + b
-            bit = F.shiftleft(_bit(code, 4 - b), _AXIS_BITS - 1 - pos // 2)
-            if pos % 2 == 0:
-                x = x + bit
-            else:
-                y = y + bit
+        x_bits, y_bits = (3, 2) if c % 2 == 0 else (2, 3)
+        x_left, y_left = x_left - x_bits, y_left - y_bits
+        place = F.instr(F.lit(LETTERS), F.substring(cell, c + 1, 1)) - F.lit(1)
+        wide, narrow = F.shiftright(place, 2), place.bitwiseAND(F.lit(3))
+        xb, yb = (wide, narrow) if c % 2 == 0 else (narrow, wide)
+        x, y = x + F.shiftleft(xb, x_left), y + F.shiftleft(yb, y_left)
     dy, dx = 180.0 / _AXIS_CELLS, 360.0 / _AXIS_CELLS
     return F.struct(
         (y * F.lit(dy) - F.lit(90.0)).alias("lat1"),
@@ -85,6 +97,11 @@ def parse_cell_label(label: Column) -> Column:
     )
 
 
+def cell_bounds(label: Column) -> Column:
+    """Bounds of a grid cell from its name."""
+    return geohash_decode(F.substring(label, 2, HASH_CHARS))
+
+
 def polygon_ring(lat1: Column, lat2: Column, lng1: Column, lng2: Column) -> Column:
     """Closed ring of a box, longitude first as in GeoJSON."""
     corners = [(lng1, lat1), (lng2, lat1), (lng2, lat2), (lng1, lat2), (lng1, lat1)]

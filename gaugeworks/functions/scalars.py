@@ -77,7 +77,7 @@ def from_epoch(value: Column, unit: str = "s") -> Column:
     if unit == "ms":
         return F.timestamp_millis(value)
     if unit == "ns":
-        return F.timestamp_micros(F.floor(value / F.lit(1000)).cast("long"))
+        return F.timestamp_micros(F.call_function("div", value, F.lit(1000)))
     raise ValueError(f"unknown unit {unit!r}")
 
 

@@ -49,8 +49,12 @@ def locations(points: DataFrame, keys: Sequence[str], r: float) -> DataFrame:
             .withColumn("cx", F.floor("u")).withColumn("cy", F.floor("v")))
 
 
-def core_flags(loc: DataFrame, keys: Sequence[str], r: float, n: int) -> DataFrame:
-    """Add ``core``: at least ``n`` points, itself included, within distance ``r``."""
+def neighbour_counts(loc: DataFrame, keys: Sequence[str], r: float, n: int) -> DataFrame:
+    """Add ``near``: the number of points, itself included, within distance ``r``.
+
+    It is exact below ``n``. For a cell which alone holds ``n`` points it is the size of the cell, which
+    already settles that its points are core points.
+    """
     keys = list(keys)
     cell = [*keys, "cx", "cy"]
     sizes = loc.groupBy(*cell).agg(F.sum("w").alias("_cell"))
@@ -65,10 +69,15 @@ def core_flags(loc: DataFrame, keys: Sequence[str], r: float, n: int) -> DataFra
             .groupBy(*keys, F.col("_px").alias("x"), F.col("_py").alias("y"))
             .agg(F.sum("w").alias("_near")))
     return (sized.join(near, [*keys, "x", "y"], "left")
-            .withColumn("core", (F.col("_cell") + F.coalesce("_near", F.lit(0))) >= n)
+            .withColumn("near", F.col("_cell") + F.coalesce("_near", F.lit(0)))
             .drop("_cell", "_near"))
 
 
+def core_flags(loc: DataFrame, keys: Sequence[str], r: float, n: int) -> DataFrame:
+    """Add ``core``: at least ``n`` points, itself included, within distance ``r``."""
+    return neighbour_counts(loc, keys, r, n).withColumn("core", F.col("near") >= n).drop("near")
+
+
 def _boxes(core: DataFrame, cell: list[str], level: int) -> DataFrame:
     scale = float(_SPLIT ** level)
     return (core.groupBy(*cell, F.floor(F.col("u") * scale).alias("su"),

@@ -54,10 +54,10 @@ def geo_forecast(df: DataFrame, positions: DataFrame, box: Sequence[float], p: i
 
 
 def area_series(df: DataFrame, positions: DataFrame, box: Sequence[float], seconds: int,
-                value: Column | None = None, origin: int = 0) -> DataFrame:
+                value: Column | None = None, origin: int = 0, digits: int = 3) -> DataFrame:
     """All cells that meet a box, merged to one series and resampled."""
     merged = lookup.geo_box_cells(df, positions, box).withColumn("series", F.lit("area"))
-    return resample.resample(merged, ["series"], seconds, value, origin)
+    return resample.resample(merged, ["series"], seconds, value, origin, digits=digits)
 
 
 def area_forecast(df: DataFrame, positions: DataFrame, box: Sequence[float], seconds: int,
@@ -89,7 +89,7 @@ def grid_readings(events: DataFrame, owner: str = "owner", step: int = 35) -> Da
 def grid_sensors(routed: DataFrame) -> DataFrame:
     """Sensor numbers of the cells in first-seen order, with their boxes."""
     numbered = number_series(routed, "label", "ts")
-    box = geo.geohash_decode(geo.parse_cell_label(F.col("label")).getField("hash"))
+    box = geo.cell_bounds(F.col("label"))
     return (numbered.withColumn("_b", box)
             .select("sensor", "label", "_b.lat1", "_b.lat2", "_b.lng1", "_b.lng2"))
 

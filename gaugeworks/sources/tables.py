@@ -72,7 +72,7 @@ def point_positions(df: DataFrame) -> DataFrame:
 
 def cell_positions(sensors: DataFrame) -> DataFrame:
     """Positions of grid-cell sensors, derived from their labels."""
-    parsed = sensors.withColumn("_b", geo.geohash_decode(geo.parse_cell_label(F.col("label")).getField("hash")))
+    parsed = sensors.withColumn("_b", geo.cell_bounds(F.col("label")))
     return parsed.select("sensor", "_b.lat1", "_b.lat2", "_b.lng1", "_b.lng2")
 
 

@@ -71,6 +71,30 @@ def j2b(spark, sf):
     return run_stream(spark, count_job(600, 60), event_stream(spark, sf))[0]
 
 
+@query("j13_restarted_stream", with_(READINGS) + """
+SELECT * FROM (SELECT t - t % 86400 AS window_start, t - t % 86400 + 86400 AS window_end, site, count(*) AS n
+  FROM readings GROUP BY ALL) WHERE """ + CLOSED.format(DAY))
+def j13(spark, sf):
+    path, source = scratch_path(spark, "restart"), scratch_path(spark, "parts")
+    rows = readings(spark, sf).select("site", "ts")
+    for part in (F.col("ts") < "2024-01-16 12:00", F.col("ts") >= "2024-01-16 12:00"):
+        rows.where(part).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        count_job(DAY).start(stream, f"{path}/checkpoint", f"{path}/out").awaitTermination()
+    return tables.read_batches(spark, f"{path}/out")
+
+
+@query("a16_unsaved_results", with_(READINGS) + """
+SELECT count(*) AS windows FROM (SELECT t - t % 86400 AS window_start FROM readings GROUP BY ALL) WHERE """
+       + CLOSED.format(DAY))
+def a16(spark, sf):
+    path = scratch_path(spark, "unsaved")
+    job = WindowJob("unsaved", DAY, [], result=lambda closed: closed, save=False)
+    sink = lambda df, batch: tables.write_batch(df, f"{path}/alerts", batch)
+    job.start(event_stream(spark, sf), f"{path}/checkpoint", sinks=[sink]).awaitTermination()
+    return tables.read_batches(spark, f"{path}/alerts").agg(F.count(F.lit(1)).alias("windows"))
+
+
 @query("j4_partition_map_filter", with_(READINGS) + """
 SELECT t - t % 86400 AS window_start, t - t % 86400 + 86400 AS window_end, instance, count(*) AS n
 FROM readings WHERE site IN ('click', 'view') AND value * 2 > 20 GROUP BY ALL""")
@@ -304,7 +328,7 @@ PTS = """pts AS (SELECT sensor AS id, avg(CASE WHEN site = 'error' THEN value EN
     avg(CASE WHEN site = 'click' THEN value END) / 500 AS y FROM readings GROUP BY sensor
     HAVING count(*) FILTER (site = 'error') > 0 AND count(*) FILTER (site = 'click') > 0),
   near AS (SELECT a.id, b.id AS other FROM pts a, pts b
-    WHERE (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 0.012 * 0.012),
+    WHERE (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 0.006 * 0.006),
   core AS (SELECT id, count(*) >= 3 AS core FROM near GROUP BY id)"""
 
 
@@ -316,8 +340,8 @@ def user_points(spark, sf):
 
 @query("k14_core_flags", with_(READINGS, PTS) + " SELECT id, core FROM core")
 def k14(spark, sf):
-    loc = dbscan.locations(user_points(spark, sf), [], 0.012)
-    return dbscan.core_flags(loc, [], 0.012, 3).select("id", "core")
+    loc = dbscan.locations(user_points(spark, sf), [], 0.006)
+    return dbscan.core_flags(loc, [], 0.006, 3).select("id", "core")
 
 
 CLUSTERS = PTS.replace("pts AS", "RECURSIVE pts AS", 1) + """,
@@ -334,14 +358,14 @@ CLUSTER_SQL = "WITH RECURSIVE " + READINGS + ",\n" + CLUSTERS.replace("RECURSIVE
 
 @query("k14_dbscan_labels", CLUSTER_SQL + " SELECT id, cluster FROM placed")
 def k14b(spark, sf):
-    return dbscan.dbscan(user_points(spark, sf), 0.012, 3).select("id", "cluster")
+    return dbscan.dbscan(user_points(spark, sf), 0.006, 3).select("id", "cluster")
 
 
 @query("e16_cluster_centroids", CLUSTER_SQL + """
 SELECT cluster, count(*) AS size, round(avg(x), 6) AS x, round(avg(y), 6) AS y FROM placed WHERE cluster <> 0
 GROUP BY cluster""")
 def e16(spark, sf):
-    out = dbscan.centroids(dbscan.dbscan(user_points(spark, sf), 0.012, 3))
+    out = dbscan.centroids(dbscan.dbscan(user_points(spark, sf), 0.006, 3))
     return out.select("cluster", "size", F.round("x", 6).alias("x"), F.round("y", 6).alias("y")).orderBy("size", "x", "y")
 
 
@@ -349,7 +373,7 @@ def e16(spark, sf):
 SELECT size, count(*) AS clusters FROM (SELECT cluster, count(*) AS size FROM placed WHERE cluster <> 0 GROUP BY cluster)
 GROUP BY size ORDER BY size""")
 def g5(spark, sf):
-    out = dbscan.centroids(dbscan.dbscan(user_points(spark, sf), 0.012, 3, numbered=False).where("cluster is not null"))
+    out = dbscan.centroids(dbscan.dbscan(user_points(spark, sf), 0.006, 3, numbered=False).where("cluster is not null"))
     return out.groupBy("size").agg(F.count(F.lit(1)).alias("clusters")).orderBy("size")
 
 
@@ -357,8 +381,8 @@ def g5(spark, sf):
 SELECT id, count(*) AS n FROM near GROUP BY id HAVING count(*) < 3""")
 def jn6(spark, sf):
     # Non-core points are exactly those with fewer than three neighbours, so their number is known in full.
-    loc = dbscan.locations(user_points(spark, sf), [], 0.012)
-    return dbscan.neighbour_counts(loc, [], 0.012, 3).where("near < 3").select("id", F.col("near").alias("n"))
+    loc = dbscan.locations(user_points(spark, sf), [], 0.006)
+    return dbscan.neighbour_counts(loc, [], 0.006, 3).where("near < 3").select("id", F.col("near").alias("n"))
 
 
 SLIDE, SPAN = 21600, 86400
@@ -436,6 +460,13 @@ def l1(spark, sf):
     return readings(spark, sf).transform(adf_of).select("sensor", F.round("stat", 6).alias("stat"))
 
 
+@query("l2_group_rewrite", with_(READINGS) + """
+SELECT alt, count(*) AS count, round(avg(value), 6) AS avg FROM readings GROUP BY alt""")
+def l2(spark, sf):
+    rewrite = [F.count("v.m").alias("count"), F.round(F.avg("v.m"), 6).alias("avg")]
+    return readings(spark, sf).groupBy(F.col("v.alt").alias("alt")).agg(*rewrite)
+
+
 @query("l4_routing", with_(READINGS) + """
 SELECT 'owner_' || site AS swimlane, 'S' || (sensor % 16) AS sensor_key, count(*) AS n FROM readings GROUP BY ALL""")
 def l4(spark, sf):

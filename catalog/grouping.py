@@ -29,16 +29,16 @@ def jn2(spark, sf):
 
 
 @query("jn3_align_metrics", with_(READINGS, HEALTH) + """
-SELECT t - t % 86400 AS window_start, instance, round(avg(CASE WHEN type = 'ping' THEN value END), 6) AS ping,
-  round(avg(CASE WHEN type = 'cpu' THEN value END), 6) AS cpu,
-  round(avg(CASE WHEN type = 'mem' THEN value END), 6) AS mem,
-  round(avg(CASE WHEN type = 'reject' THEN value END), 6) AS reject FROM health GROUP BY ALL""")
+SELECT t - t % 86400 AS window_start, instance, round(avg(CASE WHEN type = 'ping' THEN value END), 9) AS ping,
+  round(avg(CASE WHEN type = 'cpu' THEN value END), 9) AS cpu,
+  round(avg(CASE WHEN type = 'mem' THEN value END), 9) AS mem,
+  round(avg(CASE WHEN type = 'reject' THEN value END), 9) AS reject FROM health GROUP BY ALL""")
 def jn3(spark, sf):
     h = health(spark, sf)
     streams = select.sources(*[h.where(F.col("type") == t) for t in ("ping", "cpu", "mem", "reject")])
     out = (risk.in_windows(streams, DAY, DAY).groupBy("window_start", "instance")
            .pivot("type", ["ping", "cpu", "mem", "reject"]).agg(F.avg("value")))
-    return out.select("window_start", "instance", *[F.round(c, 6).alias(c) for c in ("ping", "cpu", "mem", "reject")])
+    return out.select("window_start", "instance", *[F.round(c, 9).alias(c) for c in ("ping", "cpu", "mem", "reject")])
 
 
 @query("jn4_table_lookup", with_(READINGS, HEALTH, CPT_SQL) + f"""

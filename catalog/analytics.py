@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import (CPT_SQL, HEALTH, READINGS, RISKS, STATE, cpt, health, positions, query, readings,
+from catalog.base import (CPT_SQL, HEALTH, READINGS, RISKS, SCHEMAS, STATE, cpt, health, positions, query, readings,
                           risk_series, secs, table, with_)
 from catalog.grouping import BROAD, CLASSED, DAY, ORDER
 from catalog.selecting import BOX, IN_BOX, PEAKS, peaks
@@ -22,10 +22,9 @@ LAGGED = f"lagged AS (SELECT sensor, us, event_id, value AS y, lag(value) {W} AS
 # Streams read the event table as a file source. What the watermark has not closed does not come out.
 
 def event_stream(spark, sf):
-    ev = table(spark, sf, "events")
-    raw = spark.readStream.schema(ev.schema).parquet(f"{sf}/events*.parquet")
-    return raw.select(F.col("user_id").alias("sensor"), F.col("event_type").alias("site"),
-                      F.col("ts").cast("timestamp").alias("ts"), "value")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    raw = spark.readStream.schema(SCHEMAS["events"]).parquet(f"{sf}/events*.parquet")
+    return raw.select(F.col("user_id").alias("sensor"), F.col("event_type").alias("site"), "ts", "value")
 
 
 def run_stream(spark, job, stream):
@@ -277,7 +276,7 @@ def k9b(spark, sf):
 def monthly_by_nation(spark, sf):
     nation = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     orders = table(spark, sf, "orders").join(nation, "o_custkey").select(
-        "c_nationkey", F.col("o_orderdate").cast("timestamp").alias("ts"), F.col("o_totalprice").alias("value"))
+        "c_nationkey", F.col("o_orderdate").alias("ts"), F.col("o_totalprice").alias("value"))
     return resample.resample(orders, ["c_nationkey"], 30 * DAY, F.col("value"))
 
 
@@ -443,7 +442,7 @@ SELECT s.window_start, round(attack_broadness, 9) AS attack_broadness, c.members
 def k17(spark, sf):
     p = peaks(spark, sf)
     alarmed = risk.broadness(p).where("attack_broadness > 0.1").select("window_start", "attack_broadness")
-    return risk.class_counts(p).join(alarmed, "window_start").select(
+    return risk.class_members(p).join(alarmed, "window_start").select(
         "window_start", F.round("attack_broadness", 9).alias("attack_broadness"),
         F.array_join("ddos_members", ", ").alias("members"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.base import (CPT_SQL, HEALTH, POSITIONS, READINGS, RISKS, SENSORS, STATE, cpt, health, positions,
                           query, readings, risk_series, secs, sensors, with_)
-from catalog.selecting import BOX, GATE, IN_BOX, LANES, PEAKS, n, peaks
+from catalog.selecting import BOX, GATE, IN_BOX, LANES, PAGED, PEAKS, n, paged_points, peaks
 from catalog.sqlgeo import sql_decode, sql_geohash, sql_tile_x, sql_tile_y
 from gaugeworks.functions import geo, scalars
 from gaugeworks.operators import aggregate, arma, lookup, resample, select, series
@@ -148,7 +148,7 @@ SELECT t - t % 86400 AS window_start, instance, type, string_agg(printf('%.5f',
 FROM health GROUP BY ALL""")
 def e10(spark, sf):
     w = risk.in_windows(health(spark, sf), DAY, DAY)
-    maps = aggregate.values_by_type(w, ["window_start", "instance"], "type", "ts", "value")
+    maps = aggregate.values_by_type(w, ["window_start", "instance"], "type", ["ts", "value"], "value")
     return maps.select("window_start", "instance", F.explode("series").alias("type", "_v")).select(
         "window_start", "instance", "type", F.array_join(F.transform("_v", lambda x: F.format_string("%.5f", x)), ",").alias("vals"))
 
@@ -183,13 +183,18 @@ CLASSED = """classed AS (SELECT *, CASE WHEN ddos < 0.3 AND overload < 0.3 THEN
 
 @query("e14_risk_classes", with_(READINGS, RISKS, PEAKS, CLASSED) + """
 SELECT window_start, count(*) AS n_total, count(*) FILTER (cls = 'overloaded') AS n_overloaded,
-  count(*) FILTER (cls = 'ddos') AS n_ddos, count(*) FILTER (cls = 'both') AS n_both,
-  coalesce(string_agg(instance, ',' ORDER BY instance) FILTER (cls = 'both'), '') AS both
+  count(*) FILTER (cls = 'ddos') AS n_ddos, count(*) FILTER (cls = 'both') AS n_both
 FROM classed GROUP BY window_start""")
 def e14(spark, sf):
-    return risk.class_counts(peaks(spark, sf)).select(
-        "window_start", "n_total", "n_overloaded", "n_ddos", "n_both",
-        F.array_join("both_members", ",").alias("both"))
+    return risk.class_counts(peaks(spark, sf))
+
+
+@query("e14_risk_members", with_(READINGS, RISKS, PEAKS, CLASSED) + """
+SELECT window_start, CAST(0 AS BIGINT) AS page, coalesce(string_agg(instance, ',' ORDER BY instance)
+  FILTER (cls = 'both'), '') AS both FROM classed WHERE cls <> 'safe' GROUP BY window_start""")
+def e14b(spark, sf):
+    return risk.class_members(peaks(spark, sf)).select(
+        "window_start", "page", F.array_join("both_members", ",").alias("both"))
 
 
 BROAD = """broad AS (SELECT window_start, count(*) AS n_total, count(*) FILTER (cls <> 'safe') AS n_threat,
@@ -352,17 +357,16 @@ def i11(spark, sf):
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("iso"))
 
 
-DAILY = """SELECT sensor, t // 86400 AS day, list(value ORDER BY us) AS v FROM readings GROUP BY ALL"""
+LISTS = "SELECT sensor, page, list(value ORDER BY us, event_id) AS v FROM pg GROUP BY ALL"
 
 
-@query("i12_lists", with_(READINGS, f"d AS ({DAILY})") + """
-SELECT sensor, day, len(v) AS len, round(list_sum(v), 4) AS total, list_max(v) AS top, list_min(v) AS low,
+@query("i12_lists", with_(READINGS, PAGED, f"d AS ({LISTS})") + """
+SELECT sensor, page, len(v) AS len, round(list_sum(v), 4) AS total, list_max(v) AS top, list_min(v) AS low,
   round(list_sum(v[1:2]), 4) AS head, len(list_filter(v, lambda x: x > 50)) AS big FROM d""")
 def i12(spark, sf):
-    d = readings(spark, sf).groupBy("sensor", F.floor(secs() / DAY).cast("long").alias("day")).agg(
-        F.collect_list(F.struct("ts", "value")).alias("p")).withColumn("v", select.values_of("p"))
+    d = paged_points(spark, sf).withColumn("v", select.values_of("points"))
     add = lambda a: F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x)
-    return d.select("sensor", "day", F.size("v").cast("long").alias("len"), F.round(add(F.col("v")), 4).alias("total"),
+    return d.select("sensor", "page", F.size("v").cast("long").alias("len"), F.round(add(F.col("v")), 4).alias("total"),
                     F.array_max("v").alias("top"), F.array_min("v").alias("low"),
                     F.round(add(F.slice("v", 1, 2)), 4).alias("head"),
                     F.size(F.filter("v", lambda x: x > 50)).cast("long").alias("big"))

@@ -61,24 +61,25 @@ def b8(spark, sf):
     return select.merge_series(readings(spark, sf)).select("series", F.unix_micros("ts").alias("us"), "value")
 
 
-def daily_points(spark, sf):
-    """Points of a sensor and day as one array."""
-    return readings(spark, sf).groupBy("sensor", F.floor(secs() / 86400).cast("long").alias("day")).agg(
-        F.collect_list(F.struct("ts", "value")).alias("points"))
+PAGED = """pg AS (SELECT *, (row_number() OVER (PARTITION BY sensor ORDER BY us, event_id) - 1) // 40 AS page
+  FROM readings)"""
 
 
-@query("b9_values_of", with_(READINGS) + """
-SELECT sensor, t // 86400 AS day, string_agg(CAST(value AS VARCHAR), ',' ORDER BY us) AS vals
-FROM readings GROUP BY ALL""")
+def paged_points(spark, sf):
+    return select.point_lists(readings(spark, sf), ["sensor"], ["ts", "event_id"], page_rows=40)
+
+
+@query("b9_values_of", with_(READINGS, PAGED) + """
+SELECT sensor, page, string_agg(CAST(value AS VARCHAR), ',' ORDER BY us, event_id) AS vals FROM pg GROUP BY ALL""")
 def b9(spark, sf):
-    return daily_points(spark, sf).select(
-        "sensor", "day", F.array_join(select.values_of("points").cast("array<string>"), ",").alias("vals"))
+    return paged_points(spark, sf).select(
+        "sensor", "page", F.array_join(select.values_of("points").cast("array<string>"), ",").alias("vals"))
 
 
-@query("b10_datapoints", with_(READINGS) + " SELECT sensor, us, value FROM readings")
+@query("b10_datapoints", with_(READINGS) + " SELECT sensor, us, event_id, value FROM readings")
 def b10(spark, sf):
-    return select.datapoints(daily_points(spark, sf), "points", ["sensor"]).select(
-        "sensor", F.unix_micros("ts").alias("us"), "value")
+    return select.datapoints(paged_points(spark, sf), "points", ["sensor"]).select(
+        "sensor", F.unix_micros("ts").alias("us"), "event_id", "value")
 
 
 @query("b11_map_series", with_(READINGS) + """
@@ -193,17 +194,16 @@ query("c7_match_nre", with_(READINGS) + MATCHED + "NOT regexp_full_match(site, '
     matched(("__name__", "c.*|v.*", "NRE"), ("absent", "", "EQ")))
 
 
-@query("c8_having_label", with_(READINGS) + """
-SELECT instance, t // 86400 AS day, string_agg(CAST(value AS VARCHAR), ',' ORDER BY us) AS vals FROM readings
-WHERE alt < 50 GROUP BY ALL""")
+@query("c8_having_label", with_(READINGS, PAGED.replace("FROM readings", "FROM readings WHERE alt < 50")) + """
+SELECT instance, page, string_agg(CAST(value AS VARCHAR), ',' ORDER BY us, event_id) AS vals FROM pg GROUP BY ALL""")
 def c8(spark, sf):
     r = readings(spark, sf)
     some = r.withColumn("labels", F.when(F.col("v.alt") < 50, F.col("labels")).otherwise(
         F.map_filter("labels", lambda k, _: k != "instance")))
-    points = (select.having_label(some, "instance")
-              .groupBy(F.col("labels")["instance"].alias("instance"), F.floor(secs() / 86400).cast("long").alias("day"))
-              .agg(F.collect_list(F.struct("ts", "value")).alias("p")))
-    return points.select("instance", "day", F.array_join(select.values_of("p").cast("array<string>"), ",").alias("vals"))
+    named = select.having_label(some, "instance").withColumn("instance", F.col("labels")["instance"])
+    points = select.point_lists(named, ["instance"], ["ts", "event_id"], page_rows=40)
+    return points.select("instance", "page",
+                         F.array_join(select.values_of("points").cast("array<string>"), ",").alias("vals"))
 
 
 @query("c9_filter_map", with_(READINGS, RISKS) + " SELECT instance, risk, t, value FROM risks WHERE whn = 'now'")

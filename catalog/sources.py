@@ -8,6 +8,7 @@ from catalog.base import (READINGS, RISKS, SENSORS, lat_of, lng_of, query, readi
                           table, with_)
 from catalog.sqlgeo import sql_decode
 from gaugeworks.operators import aggregate, select
+from gaugeworks.operators.series import with_page
 from gaugeworks.plans import jobs
 from gaugeworks.session import scratch_path
 from gaugeworks.sources import files, kafka, tables
@@ -64,10 +65,11 @@ def a3(spark, sf):
 SELECT 'events' AS measurement, site AS name, instance, t, value FROM readings""")
 def a4(spark, sf):
     r = readings(spark, sf)
-    hour = F.floor(secs() / 3600)
+    # Payloads hold a limited number of rows, as an importing client would send them.
+    r = with_page(r, ["sensor"], ["ts", "event_id"], 1000)
     row = F.struct(secs().alias("ns"), F.col("value"), F.create_map(
         F.lit("instance"), F.col("labels")["instance"]).alias("series"))
-    payload = r.groupBy("measurement", "site", "sensor", hour.alias("_h")).agg(F.collect_list(row).alias("data"))
+    payload = r.groupBy("measurement", "site", "sensor", "page").agg(F.collect_list(row).alias("data"))
     text = payload.select(F.to_json(F.struct(
         "measurement", F.create_map(F.lit("__name__"), F.col("site"), F.lit("instance"), F.lit("?"))
         .alias("series"), "data")).alias("value"))
@@ -109,7 +111,7 @@ ALERTS = with_(READINGS, """c AS (SELECT t - t % 86400 AS window_start, swimlane
     JOIN d USING (window_start, sensor)
     WHERE CASE WHEN mad = 0 THEN value <> med ELSE abs(value - med) / (1.4826 * mad) > 3.5 END GROUP BY ALL),
   i AS (SELECT window_start, sensor, count(*) AS items FROM c GROUP BY ALL),
-  alerts AS (SELECT window_start, sensor, CAST(sum(n) AS BIGINT) AS outliers, items,
+  alerts AS (SELECT window_start, sensor, CAST(0 AS BIGINT) AS page, CAST(sum(n) AS BIGINT) AS outliers, items,
     'Found ' || CAST(sum(n) AS BIGINT) || ' outliers among ' || items || ' items: '
     || string_agg(printf('%.2f', value), ', ' ORDER BY value)
     || '. Task: detect_outliers (tumbling 86400s)' AS message
@@ -151,11 +153,12 @@ def a14(spark, sf):
     return tables.text_rows(s.withColumn("t", secs()), ["t", "alt", "cnt", "max", "min"], 2)
 
 
-@query("a15_json_output", with_(READINGS) + """
-SELECT sensor, t // 864000 AS page, '[' || string_agg('{"ts":' || t || ',"value":' || CAST(value AS VARCHAR) || '}',
-  ',' ORDER BY t, value) || ']' AS json FROM readings GROUP BY ALL""")
+@query("a15_json_output", with_(READINGS, """pg AS (SELECT *,
+  (row_number() OVER (PARTITION BY sensor ORDER BY us, value) - 1) // 40 AS page FROM readings)""") + """
+SELECT sensor, page, '[' || string_agg('{"ts":' || t || ',"value":' || CAST(value AS VARCHAR) || '}',
+  ',' ORDER BY us, value) || ']' AS json FROM pg GROUP BY ALL""")
 def a15(spark, sf):
-    return tables.json_rows(readings(spark, sf), page_seconds=864000)
+    return tables.json_rows(readings(spark, sf), page_rows=40)
 
 
 @query("a17_partitioned_layout", with_(READINGS) + """

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaugeworks.operators.select import PAGE_ROWS, point_lists, values_of
+
 
 def count_by_sensor(df: DataFrame) -> DataFrame:
     return df.groupBy("sensor").agg(F.count(F.lit(1)).alias("cnt"))
@@ -27,12 +29,13 @@ def sum_by_time(df: DataFrame) -> DataFrame:
     return df.groupBy("ts").agg(F.sum("value").alias("value"))
 
 
-def values_by_type(df: DataFrame, keys: Sequence[str], type_col: str, ts: str, value: str) -> DataFrame:
-    """Per key a map type -> values in time order. For windows, whose lists are short."""
-    lists = df.groupBy(*keys, type_col).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(ts).alias("ts"), F.col(value).alias("value")))).alias("p"))
-    return lists.groupBy(*keys).agg(F.map_from_entries(F.collect_list(
-        F.struct(F.col(type_col), F.transform("p", lambda e: e["value"]).alias("values")))).alias("series"))
+def values_by_type(df: DataFrame, keys: Sequence[str], type_col: str, order: Sequence[str], value: str,
+                   page_rows: int = PAGE_ROWS) -> DataFrame:
+    """Per key and ``page`` a map type -> values in order; a list longer than ``page_rows`` goes on in
+    the next page."""
+    lists = point_lists(df, [*keys, type_col], order, value, page_rows)
+    return lists.groupBy(*keys, "page").agg(F.map_from_entries(F.collect_list(
+        F.struct(F.col(type_col), values_of("points").alias("values")))).alias("series"))
 
 
 def shortest_list(df: DataFrame, keys: Sequence[str], type_col: str) -> DataFrame:

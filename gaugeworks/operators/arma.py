@@ -53,19 +53,23 @@ def lag_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: st
         F.max_by("_level", "_o").alias("last_level"))
 
 
-def lag_matrix(s: np.ndarray, head: np.ndarray, tail: np.ndarray, k: int) -> np.ndarray:
-    """Matrix of the sums of y(t-i) y(t-j) over the rows t that have all k lags.
+def lag_matrices(s: np.ndarray, head: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    """For each series (first axis) the matrix of the sums of y(t-i) y(t-j) over the rows t that have all
+    k lags.
 
-    The full lag sums hold some extra terms at both ends of the series, which are taken off:
-    ``head`` is y(1)..y(k+1), ``tail`` is y(n)..y(n-k).
+    ``s`` holds the full lag sums, ``head`` is y(1)..y(k+1), ``tail`` is y(n)..y(n-k). The first row takes the
+    products before t = k+1 off the full sums. One step down a diagonal moves the range of t back by one:
+    one product comes in at the start, one leaves at the end.
     """
-    m = np.empty((k + 1, k + 1))
-    for i in range(k + 1):
-        for j in range(i, k + 1):
-            lag = j - i
-            early = sum(head[u] * head[u - lag] for u in range(lag, k - i))
-            late = sum(tail[u] * tail[u + lag] for u in range(i))
-            m[i, j] = m[j, i] = s[lag] - early - late
+    k = s.shape[1] - 1
+    m = np.empty((len(s), k + 1, k + 1))
+    for j in range(k + 1):
+        m[:, 0, j] = s[:, j] - (head[:, j:k] * head[:, :k - j]).sum(axis=1)
+    back = head[:, k - 1::-1] if k else head[:, :0]
+    for i in range(k):
+        m[:, i + 1, i + 1:] = m[:, i, i:k] + back[:, i:i + 1] * back[:, i:] - tail[:, i:i + 1] * tail[:, i:k]
+    lower = np.tril_indices(k + 1, -1)
+    m[:, lower[0], lower[1]] = m[:, lower[1], lower[0]]
     return m
 
 
@@ -83,17 +87,13 @@ def _is_stationary(phi: np.ndarray) -> bool:
     return bool(np.abs(np.linalg.eigvals(companion)).max() < 1.0)
 
 
-def fit_row(n: int, s, head, tail, p: int, q: int, long_order: int) -> tuple | None:
-    """Coefficients of one series from its lag sums, or None when it is too short.
+def fit_row(n: int, full: np.ndarray, tail: np.ndarray, p: int, q: int) -> tuple | None:
+    """Coefficients of one series from its lag matrix, or None when it is too short.
 
     q = 0: least squares. q > 0: Hannan-Rissanen, where the residuals of a long AR are linear in the lags,
     so the second regression needs no further pass over the data.
     """
-    if head is None:
-        return None
-    s, head, tail = (np.asarray(x, dtype=float) for x in (s, head, tail))
-    k = len(s) - 1
-    full = lag_matrix(s, head, tail, k)
+    k = len(full) - 1
     rows = n - k
     if q == 0:
         if rows <= p:
@@ -144,12 +144,16 @@ def fit(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str = "
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
+            pdf = pdf[pdf["head"].notna()]
             out = []
-            for row in pdf.itertuples(index=False):
-                got = fit_row(row.n, row.s, row.head, row.tail, p, q, long_order)
-                if got is not None:
-                    keep = list(row.tail[:max(p, 1)])
-                    out.append([getattr(row, c) for c in names] + [row.n, *got, keep, row.last_level])
+            if len(pdf):
+                s, head, tail = (np.stack(pdf[c].to_numpy()).astype(float) for c in ("s", "head", "tail"))
+                full = lag_matrices(s, head, tail)
+                rows = zip(pdf[names].itertuples(index=False, name=None), pdf["n"], pdf["last_level"])
+                for i, (key, size, level) in enumerate(rows):
+                    got = fit_row(size, full[i], tail[i], p, q)
+                    if got is not None:
+                        out.append([*key, size, *got, tail[i, :max(p, 1)].tolist(), level])
             yield pd.DataFrame(out, columns=[*names, "n", "phi", "theta", "recent_e", "sigma2",
                                              "stationary", "recent_y", "last_level"])
 

@@ -143,7 +143,7 @@ def cell_links(core: DataFrame, keys: Sequence[str], r: float) -> DataFrame:
             parents = (parents.drop(f"su_{s}", f"sv_{s}")
                        .withColumnsRenamed({f"_su_{s}": f"su_{s}", f"_sv_{s}": f"sv_{s}"}))
         pairs = cut(_verdict(parents, r))
-        links = cut(links.unionByName(pairs.where("_linked").select(*ids)).distinct())
+        links = links.unionByName(pairs.where("_linked").select(*ids).distinct())
 
 
 def _links_by_points(core, unsettled, cell, ids, r, level) -> DataFrame:

@@ -66,20 +66,19 @@ def boxes_of_sensors(positions: DataFrame, boxes: DataFrame) -> DataFrame:
     Each box is covered at the zoom where a tile is at least as large as the box, so by at most four
     tiles; sensors look their tile up at every zoom. No nested loop, however many boxes there are.
     """
-    north, south = F.col("lat2"), F.col("lat1")
-    west, east = F.col("lng1"), F.col("lng2")
-    covered = boxes.select("*", F.explode(F.sequence(F.lit(0), F.lit(geo.MAX_ZOOM))).alias("zoom"))
-    covered = covered.withColumns({
-        "x1": geo.tile_x(west, F.col("zoom")), "x2": geo.tile_x(east, F.col("zoom")),
-        "y1": geo.tile_y(north, F.col("zoom")), "y2": geo.tile_y(south, F.col("zoom"))})
-    fits = (F.col("x2") - F.col("x1") <= 1) & (F.col("y2") - F.col("y1") <= 1)
-    finest = covered.where(fits).groupBy("box").agg(F.max("zoom").alias("zoom"))
-    tiles = (covered.join(finest, ["box", "zoom"])
-             .withColumn("x", F.explode(F.sequence("x1", "x2")))
-             .withColumn("y", F.explode(F.sequence("y1", "y2")))
+    zooms = F.sequence(F.lit(0), F.lit(geo.MAX_ZOOM))
+
+    def fits(z):
+        return ((geo.tile_x(F.col("lng2"), z) - geo.tile_x(F.col("lng1"), z) <= 1)
+                & (geo.tile_y(F.col("lat1"), z) - geo.tile_y(F.col("lat2"), z) <= 1))
+
+    zoom = F.col("zoom")
+    tiles = (boxes.withColumn("zoom", F.array_max(F.filter(zooms, fits)))
+             .withColumn("x", F.explode(F.sequence(geo.tile_x(F.col("lng1"), zoom), geo.tile_x(F.col("lng2"), zoom))))
+             .withColumn("y", F.explode(F.sequence(geo.tile_y(F.col("lat2"), zoom), geo.tile_y(F.col("lat1"), zoom))))
              .select("box", "zoom", "x", "y", F.struct("lat1", "lng1", "lat2", "lng2").alias("b")))
     points = (positions.select("sensor", "lat1", "lng1",
-                               F.explode(F.sequence(F.lit(0), F.lit(geo.MAX_ZOOM))).alias("zoom"))
+                               F.explode(zooms).alias("zoom"))
               .withColumns({"x": geo.tile_x(F.col("lng1"), F.col("zoom")),
                             "y": geo.tile_y(F.col("lat1"), F.col("zoom"))}))
     exact = geo.point_in_box(F.col("lat1"), F.col("lng1"), F.col("b.lat1"), F.col("b.lng1"),

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.scalars import duration_seconds
+from gaugeworks.operators.series import with_page
 
 
 def sensor(df: DataFrame, no: int) -> DataFrame:
@@ -38,9 +39,21 @@ def merge_series(df: DataFrame, name: str = "area") -> DataFrame:
     return df.withColumn("series", F.lit(name))
 
 
+PAGE_ROWS = 10_000
+
+
+def point_lists(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str = "value",
+                page_rows: int = PAGE_ROWS) -> DataFrame:
+    """Points of a series as arrays of structs (the order columns, then ``value``), one per ``page`` of rows."""
+    paged = with_page(df, keys, order, page_rows)
+    fields = [F.col(c) for c in order if c != value] + [F.col(value).alias("value")]
+    point = F.struct(*fields)
+    return paged.groupBy(*keys, "page").agg(F.sort_array(F.collect_list(point)).alias("points"))
+
+
 def values_of(points: str) -> Column:
-    """Values in time order of an array of ``{ts, value}``, timestamps stripped."""
-    return F.transform(F.sort_array(points), lambda p: p["value"])
+    """Values of an ordered array of points, timestamps stripped."""
+    return F.transform(points, lambda p: p["value"])
 
 
 def datapoints(df: DataFrame, points: str, keys: Sequence[str]) -> DataFrame:

@@ -116,6 +116,17 @@ def with_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
     return out.drop("_chunk")
 
 
+def with_page(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int,
+              target_rows: int | None = TARGET_ROWS, name: str = "page") -> DataFrame:
+    """Number consecutive pages of ``rows`` rows within a series, from 0.
+
+    Lists gathered per series and page have a fixed greatest length, whatever a series holds.
+    """
+    run = with_running(df, keys, order, None, target_rows)
+    page = F.call_function("div", F.col("running_count") - F.lit(1), F.lit(rows).cast("long"))
+    return run.withColumn(name, page).drop("running_count")
+
+
 def difference(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
                target_rows: int | None = TARGET_ROWS, name: str = "diff") -> DataFrame:
     """First difference within a series; null on its first row."""

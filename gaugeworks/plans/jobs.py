@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gaugeworks.functions import geo
 from gaugeworks.functions.scalars import routing_key
 from gaugeworks.operators import aggregate, arma, lookup, outliers, rbf, resample
-from gaugeworks.operators.series import number_series
+from gaugeworks.operators.series import number_series, with_page
 from gaugeworks.plans import risk
 from gaugeworks.streaming.jobs import WindowJob
 
@@ -25,17 +25,23 @@ def outlier_job(seconds: int = 10, keys: Sequence[str] = ("sensor",), threshold:
 
 
 def outlier_alerts(closed: DataFrame, seconds: int = 10, keys: Sequence[str] = ("sensor",),
-                   threshold: float = outliers.THRESHOLD, name: str = "detect_outliers") -> DataFrame:
-    """One message per window that has outliers; ``closed`` holds the state rows of the windows."""
+                   threshold: float = outliers.THRESHOLD, name: str = "detect_outliers",
+                   page_rows: int = 1000) -> DataFrame:
+    """Message for each window that has outliers; ``closed`` holds the state rows of the windows.
+
+    A window with more than ``page_rows`` distinct outlying values gets several messages, by ``page``.
+    """
     group = ["window_start", *keys]
-    found = (outliers.mad_outliers(closed, group, "value", "n", threshold).groupBy(*group)
-             .agg(F.sum("n").alias("outliers"), F.sort_array(F.collect_list("value")).alias("_v")))
-    items = closed.groupBy(*group).agg(F.sum("n").alias("items"))
-    listed = F.array_join(F.transform("_v", lambda v: F.format_string("%.2f", v)), ", ")
-    return (found.join(items, group)
-            .select(*group, "outliers", "items", F.format_string(
+    found = outliers.mad_outliers(closed, group, "value", "n", threshold)
+    listed = (with_page(found.select(*group, "value"), group, ["value"], page_rows)
+              .groupBy(*group, "page").agg(F.sort_array(F.collect_list("value")).alias("_v")))
+    totals = (closed.groupBy(*group).agg(F.sum("n").alias("items"))
+              .join(found.groupBy(*group).agg(F.sum("n").alias("outliers")), group))
+    text = F.array_join(F.transform("_v", lambda v: F.format_string("%.2f", v)), ", ")
+    return (listed.join(totals, group)
+            .select(*group, "page", "outliers", "items", F.format_string(
                 f"Found %d outliers among %d items: %s. Task: {name} (tumbling {seconds}s)",
-                "outliers", "items", listed).alias("message")))
+                "outliers", "items", text).alias("message")))
 
 
 def alert_job(seconds: int = 10, keys: Sequence[str] = ("sensor",), threshold: float = outliers.THRESHOLD,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions import geo
 from gaugeworks.functions.scalars import duration_seconds
+from gaugeworks.operators.select import PAGE_ROWS, point_lists
 
 
 def with_slice(df: DataFrame, seconds: int, ts: str = "ts") -> DataFrame:
@@ -87,17 +88,11 @@ def text_rows(df: DataFrame, columns: Sequence[str], decimals: int | None = None
 
 
 def json_rows(df: DataFrame, key: str = "sensor", value: str = "value", ts: str = "ts",
-              page_seconds: int | None = None) -> DataFrame:
-    """Per sensor the JSON list of its values in time order.
-
-    The list is one value by definition. For series too long for that, ``page_seconds`` gives one list per
-    sensor and page of time, in order.
-    """
-    keys = [F.col(key)]
-    if page_seconds:
-        keys.append(F.floor(F.unix_seconds(ts) / F.lit(page_seconds)).cast("long").alias("page"))
-    arr = F.sort_array(F.collect_list(F.struct(F.unix_seconds(ts).alias("ts"), F.col(value).alias("value"))))
-    return df.groupBy(*keys).agg(F.to_json(arr).alias("json"))
+              page_rows: int = PAGE_ROWS) -> DataFrame:
+    """Per sensor the JSON list of its values in time order, in pages of at most ``page_rows`` values."""
+    lists = point_lists(df, [key], [ts, value], value, page_rows)
+    points = F.transform("points", lambda p: F.struct(F.unix_seconds(p[ts]).alias("ts"), p["value"].alias("value")))
+    return lists.select(key, "page", F.to_json(points).alias("json"))
 
 
 def append_metrics(df: DataFrame, path: str) -> None:

@@ -33,7 +33,7 @@ def test_lag_matrix_is_the_direct_one(spark, target, d):
     k = 5
     direct = np.array([[sum(z[t - i] * z[t - j] for t in range(k, len(z))) for j in range(k + 1)]
                        for i in range(k + 1)])
-    got = arma.lag_matrix(np.array(row["s"]), np.array(row["head"]), np.array(row["tail"]), k)
+    got = arma.lag_matrices(*[np.array([row[c]]) for c in ("s", "head", "tail")])[0]
     assert row["n"] == len(z) and np.allclose(got, direct, atol=1e-8)
     assert row["last_level"] == y[-1]
 

@@ -173,7 +173,7 @@ ADF = f"""a AS (SELECT sensor, count(*) AS size, regr_count(y - y1, y1) AS nobs,
   s AS (SELECT *, b / sqrt((syy - b * sxy) / (nobs - 2) / sxx) AS stat FROM a)"""
 
 
-@query("k3_adf_stat", with_(READINGS, LAGGED, ADF) + " SELECT sensor, size, nobs, round(stat, 6) AS stat FROM s")
+@query("k3_adf_stat", with_(READINGS, LAGGED, ADF) + " SELECT sensor, size, CAST(nobs AS BIGINT) AS nobs, round(stat, 6) AS stat FROM s")
 def k3(spark, sf):
     return stationarity.adf(readings(spark, sf), ["sensor"], ORDER).select(
         "sensor", "size", "nobs", F.round("stat", 6).alias("stat"))

@@ -57,7 +57,15 @@ def geohash_encode(lat: Column, lng: Column) -> Column:
 
 
 def geohash_decode(cell: Column) -> Column:
-    """Bounds of a six-character geohash as struct ``lat1, lat2, lng1, lng2``."""
+    """Bounds of a six-character geohash as struct ``lat1, lat2, lng1, lng2``.
+
+    The one-element transforms give the hash and its cell numbers a name, so that they are worked out once.
+    """
+    cells = F.transform(F.array(cell), _axis_cells)
+    return F.transform(cells, _bounds)[0]
+
+
+def _axis_cells(cell: Column) -> Column:
     x, y = F.lit(0), F.lit(0)
     x_left, y_left = _AXIS_BITS, _AXIS_BITS
     for c in range(HASH_CHARS):
@@ -67,7 +75,12 @@ def geohash_decode(cell: Column) -> Column:
         wide, narrow = F.shiftright(place, 2), place.bitwiseAND(F.lit(3))
         xb, yb = (wide, narrow) if c % 2 == 0 else (narrow, wide)
         x, y = x + F.shiftleft(xb, x_left), y + F.shiftleft(yb, y_left)
+    return F.struct(x.alias("x"), y.alias("y"))
+
+
+def _bounds(cell: Column) -> Column:
     dy, dx = 180.0 / _AXIS_CELLS, 360.0 / _AXIS_CELLS
+    x, y = cell["x"], cell["y"]
     return F.struct(
         (y * F.lit(dy) - F.lit(90.0)).alias("lat1"),
         ((y + F.lit(1)) * F.lit(dy) - F.lit(90.0)).alias("lat2"),

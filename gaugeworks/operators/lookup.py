@@ -66,21 +66,28 @@ def boxes_of_sensors(positions: DataFrame, boxes: DataFrame) -> DataFrame:
     Each box is covered at the zoom where a tile is at least as large as the box, so by at most four
     tiles; sensors look their tile up at every zoom. No nested loop, however many boxes there are.
     """
-    zooms = F.sequence(F.lit(0), F.lit(geo.MAX_ZOOM))
+    top = geo.MAX_ZOOM
+    zooms = F.sequence(F.lit(0), F.lit(top))
 
-    def fits(z):
-        return ((geo.tile_x(F.col("lng2"), z) - geo.tile_x(F.col("lng1"), z) <= 1)
-                & (geo.tile_y(F.col("lat1"), z) - geo.tile_y(F.col("lat2"), z) <= 1))
+    def at(tile: str, zoom):
+        # Tiles nest: the tile at a lower zoom is the finest one without its last bits.
+        return F.call_function("shiftright", F.col(tile), F.lit(top) - zoom)
+
+    def fits(zoom):
+        return (at("x2", zoom) - at("x1", zoom) <= 1) & (at("y2", zoom) - at("y1", zoom) <= 1)
 
     zoom = F.col("zoom")
-    tiles = (boxes.withColumn("zoom", F.array_max(F.filter(zooms, fits)))
-             .withColumn("x", F.explode(F.sequence(geo.tile_x(F.col("lng1"), zoom), geo.tile_x(F.col("lng2"), zoom))))
-             .withColumn("y", F.explode(F.sequence(geo.tile_y(F.col("lat2"), zoom), geo.tile_y(F.col("lat1"), zoom))))
+    corners = boxes.withColumns({
+        "x1": geo.tile_x(F.col("lng1"), top), "x2": geo.tile_x(F.col("lng2"), top),
+        "y1": geo.tile_y(F.col("lat2"), top), "y2": geo.tile_y(F.col("lat1"), top)})
+    tiles = (corners.withColumn("zoom", F.array_max(F.filter(zooms, fits)))
+             .withColumn("x", F.explode(F.sequence(at("x1", zoom), at("x2", zoom))))
+             .withColumn("y", F.explode(F.sequence(at("y1", zoom), at("y2", zoom))))
              .select("box", "zoom", "x", "y", F.struct("lat1", "lng1", "lat2", "lng2").alias("b")))
-    points = (positions.select("sensor", "lat1", "lng1",
-                               F.explode(zooms).alias("zoom"))
-              .withColumns({"x": geo.tile_x(F.col("lng1"), F.col("zoom")),
-                            "y": geo.tile_y(F.col("lat1"), F.col("zoom"))}))
+    points = (positions.select("sensor", "lat1", "lng1", geo.tile_x(F.col("lng1"), top).alias("x0"),
+                               geo.tile_y(F.col("lat1"), top).alias("y0"))
+              .withColumn("zoom", F.explode(zooms))
+              .select("sensor", "lat1", "lng1", "zoom", at("x0", zoom).alias("x"), at("y0", zoom).alias("y")))
     exact = geo.point_in_box(F.col("lat1"), F.col("lng1"), F.col("b.lat1"), F.col("b.lng1"),
                              F.col("b.lat2"), F.col("b.lng2"))
     return points.join(tiles, ["zoom", "x", "y"]).where(exact).select("box", "sensor")

@@ -12,6 +12,7 @@ from gaugeworks.functions.scalars import routing_key
 from gaugeworks.operators import aggregate, arma, lookup, outliers, rbf, resample
 from gaugeworks.operators.series import number_series, with_page
 from gaugeworks.plans import risk
+from gaugeworks.session import cut
 from gaugeworks.streaming.jobs import WindowJob
 
 
@@ -32,7 +33,8 @@ def outlier_alerts(closed: DataFrame, seconds: int = 10, keys: Sequence[str] = (
     A window with more than ``page_rows`` distinct outlying values gets several messages, by ``page``.
     """
     group = ["window_start", *keys]
-    found = outliers.mad_outliers(closed, group, "value", "n", threshold)
+    # Outliers are few and read three times below.
+    found = cut(outliers.mad_outliers(closed, group, "value", "n", threshold))
     listed = (with_page(found.select(*group, "value"), group, ["value"], page_rows)
               .groupBy(*group, "page").agg(F.sort_array(F.collect_list("value")).alias("_v")))
     totals = (closed.groupBy(*group).agg(F.sum("n").alias("items"))

@@ -13,6 +13,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           " labels conversations").split()
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def connect(sf: str):
     con = duckdb.connect()
     for t in TABLES:
@@ -43,9 +46,10 @@ def differs(spark, con, fn, sql, sf) -> str | None:
     for a, b in zip(mine, theirs):
         if a != b:
             return f"{a} / {b}"
-    types = [type(v) for v in mine[0]] if mine else []
-    if mine and types != [type(v) for v in theirs[0]] and None not in mine[0]:
-        return f"types {types} / {[type(v) for v in theirs[0]]}"
+    kinds = dict(zip(rel.columns, map(str, rel.types)))
+    for c, t in df.dtypes:
+        if TYPES.get(t) != kinds[c]:
+            return f"type of {c}: {t} / {kinds[c]}"
     return None if mine else "both empty"
 
 

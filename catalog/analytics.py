@@ -19,6 +19,14 @@ W = "OVER (PARTITION BY sensor ORDER BY us, event_id)"
 LAGGED = f"lagged AS (SELECT sensor, us, event_id, value AS y, lag(value) {W} AS y1, lag(value, 2) {W} AS y2 FROM readings)"
 
 
+MAD = with_(READINGS, """c AS (SELECT t - t % 3600 AS h, site, value FROM readings),
+  m AS (SELECT h, site, median(value) AS median FROM c GROUP BY ALL),
+  d AS (SELECT h, site, median(abs(value - median)) AS mad FROM c JOIN m USING (h, site) GROUP BY ALL)""") + """
+SELECT h, site, value, count(*) AS n, round(median, 6) AS median, round(mad, 6) AS mad
+FROM c JOIN m USING (h, site) JOIN d USING (h, site)
+WHERE CASE WHEN mad = 0 THEN value <> median ELSE abs(value - median) / (1.4826 * mad) > 3.5 END GROUP BY ALL"""
+
+
 # Streams read the event table as a file source. What the watermark has not closed does not come out.
 
 def event_stream(spark, sf):
@@ -105,6 +113,31 @@ def j4(spark, sf):
     return job.run_batch(readings(spark, sf))
 
 
+@query("j5_map_stage", with_(READINGS) + """
+SELECT t - t % 86400 AS window_start, t - t % 86400 + 86400 AS window_end, kind, count(*) AS n FROM
+  (SELECT t, CASE WHEN site IN ('click', 'view') THEN 'seen' ELSE 'other' END AS kind FROM readings) GROUP BY ALL""")
+def j5(spark, sf):
+    kind = F.when(F.col("site").isin("click", "view"), "seen").otherwise("other")
+    job = WindowJob("mapped", DAY, ["kind"], result=lambda closed: closed,
+                    map=lambda df: df.select(kind.alias("kind"), "ts"))
+    return job.run_batch(readings(spark, sf))
+
+
+@query("j6_filter_stage", with_(READINGS, RISKS) + """
+SELECT t - t % 86400 AS window_start, t - t % 86400 + 86400 AS window_end, instance, risk, max(value) AS top
+FROM risks WHERE whn = 'now' GROUP BY ALL""")
+def j6(spark, sf):
+    job = WindowJob("filtered", DAY, ["instance", "risk"], state={"top": F.max("value")},
+                    map=risk.current_risks, result=lambda closed: closed)
+    return job.run_batch(risk_series(spark, sf))
+
+
+@query("j7_result_stage", MAD.replace("SELECT h, site, value", "SELECT h AS window_start, h + 3600 AS window_end, site, value"))
+def j7(spark, sf):
+    out = jobs.outlier_job(3600, ["site"]).run_batch(readings(spark, sf))
+    return out.withColumns({"median": F.round("median", 6), "mad": F.round("mad", 6)})
+
+
 @query("j8_collect", with_(READINGS, RISKS, PEAKS, CLASSED, BROAD) + """
 SELECT 'cluster_eval_status' AS name, 'ddos' AS type, window_start + 86400 AS t,
   round(attack_broadness, 9) AS value FROM status""")
@@ -148,14 +181,6 @@ def j12b(spark, sf):
     return late_rows(r, "batch", 3600, 3600).groupBy("batch", "late").agg(F.count(F.lit(1)).alias("n"))
 
 
-MAD = with_(READINGS, """c AS (SELECT t - t % 3600 AS h, site, value FROM readings),
-  m AS (SELECT h, site, median(value) AS median FROM c GROUP BY ALL),
-  d AS (SELECT h, site, median(abs(value - median)) AS mad FROM c JOIN m USING (h, site) GROUP BY ALL)""") + """
-SELECT h, site, value, count(*) AS n, round(median, 6) AS median, round(mad, 6) AS mad
-FROM c JOIN m USING (h, site) JOIN d USING (h, site)
-WHERE CASE WHEN mad = 0 THEN value <> median ELSE abs(value - median) / (1.4826 * mad) > 3.5 END GROUP BY ALL"""
-
-
 @query("k1_mad_outliers", MAD)
 def k1(spark, sf):
     hourly = readings(spark, sf).withColumn("h", secs() - secs() % 3600)
@@ -291,6 +316,19 @@ def k11(spark, sf):
     return jobs.geo_forecast(readings(spark, sf), positions(spark, sf), BOX)
 
 
+BOXED = f"""total AS (SELECT us, 0 AS event_id, 1 AS sensor, sum(value) AS value FROM readings WHERE {IN_BOX} GROUP BY us)"""
+
+
+@query("k11_geo_forecast_110", with_(
+    READINGS, BOXED, DIFFED.replace("FROM readings", "FROM total"), AR1.format("z"),
+    "v AS (SELECT arg_max(value, us) AS level FROM total)") + """
+SELECT 'box' AS series, h, round(level + last * phi * (1 - phi ** h) / (1 - phi), 4) AS forecast
+FROM m JOIN l USING (sensor), v, range(1, 21) r(h)""")
+def k11b(spark, sf):
+    out = jobs.geo_forecast(readings(spark, sf), positions(spark, sf), BOX, p=1, q=0)
+    return out.select("series", F.col("h").cast("long").alias("h"), F.round("forecast", 4).alias("forecast"))
+
+
 @query("k12_area_series", with_(READINGS, f"""b AS (SELECT t - t % 86400 AS bucket, sum(value) AS s FROM readings
     WHERE {IN_BOX} GROUP BY ALL),
   span AS (SELECT unnest(range(min(bucket), max(bucket) + 1, 86400)) AS bucket FROM b),
@@ -466,6 +504,16 @@ def l2(spark, sf):
     return readings(spark, sf).groupBy(F.col("v.alt").alias("alt")).agg(*rewrite)
 
 
+@query("l3_resample_fold", with_(READINGS, """b AS (SELECT sensor, t - t % 86400 AS bucket, count(*) AS s FROM readings
+    GROUP BY ALL),
+  span AS (SELECT sensor, unnest(range(min(bucket), max(bucket) + 1, 86400)) AS bucket FROM b GROUP BY sensor)""") + """
+SELECT sensor, bucket, CAST(max(coalesce(s, 0)) OVER (PARTITION BY sensor ORDER BY bucket) AS DOUBLE) AS value
+FROM span LEFT JOIN b USING (sensor, bucket)""")
+def l3(spark, sf):
+    totals = resample.bucket_totals(readings(spark, sf), ["sensor"], DAY)
+    return resample.fold_buckets(totals, ["sensor"], F.lit(0.0), lambda acc, x: F.greatest(acc, x), lambda acc: acc)
+
+
 @query("l4_routing", with_(READINGS) + """
 SELECT 'owner_' || site AS swimlane, 'S' || (sensor % 16) AS sensor_key, count(*) AS n FROM readings GROUP BY ALL""")
 def l4(spark, sf):
@@ -484,3 +532,10 @@ def l5(spark, sf):
                     result=lambda closed: closed.where("total > 100"),
                     collect=lambda df: df.select("window_start", "swimlane", F.round("total", 2).alias("total")))
     return job.run_batch(readings(spark, sf))
+
+
+@query("l6_guarded_clauses", with_(READINGS, RISKS, PEAKS, CLASSED) + """
+SELECT cls, count(*) AS n FROM classed GROUP BY cls""")
+def l6(spark, sf):
+    cls = risk.risk_class(F.col("ddos"), F.col("overload"))
+    return peaks(spark, sf).groupBy(cls.alias("cls")).agg(F.count(F.lit(1)).alias("n"))

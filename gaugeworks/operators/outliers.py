@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeworks.operators.series import TARGET_ROWS
@@ -12,6 +12,8 @@ from gaugeworks.operators.series import TARGET_ROWS
 # Fixed value: scales a MAD to a standard deviation under a normal distribution.
 MAD_SCALE = 1.4826
 THRESHOLD = 3.5
+# Groups up to this many rows, as counted, may be handled as one array.
+ARRAY_ROWS = 100_000
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None) -> DataFrame:
@@ -20,12 +22,10 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str, weight: str | N
     return df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(n.alias("_c"))
 
 
-def has_large_group(df: DataFrame, keys: Sequence[str], target_rows: int | None) -> bool:
-    """Whether some group has more than ``target_rows`` rows: one counting job over the key columns."""
-    if target_rows is None:
-        return False
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the largest group: one counting job over the key columns."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return not sizes.where(F.col("_n") > target_rows).isEmpty()
+    return sizes.agg(F.max("_n")).first()[0] or 0
 
 
 def median(counts: DataFrame, keys: Sequence[str], value: str, name: str = "median",
@@ -91,10 +91,35 @@ def mad_outliers(df: DataFrame, keys: Sequence[str], value: str = "value", weigh
     how often it occurs.
     """
     keys = list(keys)
+    largest = 0 if target_rows is None else largest_group(df, keys)
+    if weight is None and 0 < largest <= min(ARRAY_ROWS, target_rows):
+        return _outliers_of_small(df, keys, value, threshold)
     counts = value_counts(df, keys, value, weight)
-    large = has_large_group(df, keys, target_rows)
+    large = target_rows is not None and largest > target_rows
     scored = counts.join(mad_table(counts, keys, value, large), keys)
-    dist = F.abs(F.col(value) - F.col("median"))
-    hit = F.when(F.col("mad") == 0, dist > 0).otherwise(
-        dist / (F.lit(MAD_SCALE) * F.col("mad")) > threshold)
+    hit = _is_outlier(F.col(value), F.col("median"), F.col("mad"), threshold)
     return scored.where(hit).select(*keys, value, F.col("_c").alias("n"), "median", "mad")
+
+
+def _is_outlier(x: Column, median: Column, mad: Column, threshold: float) -> Column:
+    dist = F.abs(x - median)
+    return F.when(mad == 0, dist > 0).otherwise(dist / (F.lit(MAD_SCALE) * mad) > threshold)
+
+
+def _middle(ordered: Column) -> Column:
+    n = F.size(ordered)
+    at = lambda i: F.element_at(ordered, (F.floor(i) + 1).cast("int"))
+    return (at((n - 1) / 2) + at(n / 2)) / 2
+
+
+def _outliers_of_small(df: DataFrame, keys: list[str], value: str, threshold: float) -> DataFrame:
+    """The same for groups counted to be short: one shuffle, each group as an ordered array."""
+    groups = (df.where(F.col(value).isNotNull()).groupBy(*keys)
+              .agg(F.sort_array(F.collect_list(value)).alias("_v"))
+              .withColumn("median", _middle(F.col("_v")))
+              .withColumn("_d", F.sort_array(F.transform("_v", lambda x: F.abs(x - F.col("median")))))
+              .withColumn("mad", _middle(F.col("_d"))))
+    out = F.filter("_v", lambda x: _is_outlier(x, F.col("median"), F.col("mad"), threshold))
+    return (groups.select(*keys, "median", "mad", F.explode(out).alias(value))
+            .groupBy(*keys, value, "median", "mad").agg(F.count(F.lit(1)).alias("n"))
+            .select(*keys, value, "n", "median", "mad"))

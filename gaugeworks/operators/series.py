@@ -18,6 +18,8 @@ from gaugeworks.session import cut
 
 TARGET_ROWS = 2_000_000
 BROADCAST_ROWS = 200_000
+# Up to here single lag columns beat a sliding list.
+_FEW_LAGS = 6
 
 
 def _position(df: DataFrame, order: str) -> Column:
@@ -61,8 +63,14 @@ def with_lags(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: s
     split, hot = split_hot(df, keys, order[0], target_rows)
     w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     # The struct keeps null values in the list.
-    own = split.withColumn(name, F.reverse(F.collect_list(F.struct(F.col(value).alias("x")))
-                                           .over(w.rowsBetween(-k, -1))))
+    item = F.struct(F.col(value).alias("x"))
+    if k <= _FEW_LAGS:
+        own = split.withColumns({f"_lag{i}": F.lag(item, i).over(w) for i in range(1, k + 1)})
+        near = F.array(*[F.col(f"_lag{i}") for i in range(1, k + 1)])
+        own = own.withColumn(name, F.filter(near, lambda e: e.isNotNull())).drop(
+            *[f"_lag{i}" for i in range(1, k + 1)])
+    else:
+        own = split.withColumn(name, F.reverse(F.collect_list(item).over(w.rowsBetween(-k, -1))))
     if hot:
         carry = _carry_last(split, keys, order, value, k)
         own = (own.join(carry, [*keys, "_chunk"], "left")

@@ -140,7 +140,7 @@ def test_exact_median(spark, seed, large):
     assert got == pytest.approx(want.to_dict(), abs=1e-15)
 
 
-@pytest.mark.parametrize("target", [None, 5])
+@pytest.mark.parametrize("target", [None, 5, 1000])
 def test_mad_outliers(spark, target):
     vals = [1.0, 2, 3, 2, 1, 2, 3, 150, 150, -90]
     df = spark.createDataFrame([("a", float(v)) for v in vals] + [("flat", 4.0)] * 5 + [("flat", 4.5)],

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from gaugeworks.session import cut
 
-TARGET_ROWS = 2_000_000
+TARGET_ROWS = 1_000_000
 BROADCAST_ROWS = 200_000
 # Up to here single lag columns beat a sliding list.
 _FEW_LAGS = 6
@@ -29,8 +29,8 @@ def _position(df: DataFrame, order: str) -> Column:
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], order: str,
-              target_rows: int | None = TARGET_ROWS) -> tuple[DataFrame, bool]:
-    """Add ``_chunk`` and say whether any series was split.
+              target_rows: int | None = TARGET_ROWS) -> tuple[DataFrame, int]:
+    """Add ``_chunk`` (and ``_hot`` if any series is split) and say about how many chunks split series have.
 
     One counting job (partial aggregation, two columns read) finds the series above ``target_rows``.
     There are at most rows / target_rows of those. Without any, ``_chunk`` is the constant 0 and the
@@ -38,19 +38,25 @@ def split_hot(df: DataFrame, keys: Sequence[str], order: str,
     """
     keys = list(keys)
     if target_rows is None:
-        return df.withColumn("_chunk", F.lit(0).cast("long")), False
+        return df.withColumn("_chunk", F.lit(0).cast("long")), 0
     pos = _position(df, order)
     hot = (df.select(*keys, pos.alias("_pos")).groupBy(*keys)
            .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_from"), F.max("_pos").alias("_to"))
            .where(F.col("_n") > target_rows)
-           .select(*keys, "_from",
+           .select(*keys, "_from", "_n",
                    ((F.col("_to") - F.col("_from") + 1.0) * target_rows / F.col("_n")).alias("_width")))
-    n_hot = hot.count()
+    n_hot, n_rows = hot.agg(F.count(F.lit(1)), F.sum("_n")).first()
     if n_hot == 0:
-        return df.withColumn("_chunk", F.lit(0).cast("long")), False
-    side = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
+        return df.withColumn("_chunk", F.lit(0).cast("long")), 0
+    side = _if_small(hot.drop("_n"), n_hot)
     chunk = F.coalesce(F.floor((pos - F.col("_from")) / F.col("_width")), F.lit(0)).cast("long")
-    return (df.join(side, keys, "left").withColumn("_chunk", chunk).drop("_from", "_width"), True)
+    split = df.join(side, keys, "left").withColumn("_chunk", chunk).withColumn("_hot", F.col("_width").isNotNull())
+    return split.drop("_from", "_width"), n_rows // target_rows + 2 * n_hot
+
+
+def _if_small(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a table counted to be small; leave a larger one to a shuffle join."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
 def with_lags(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, k: int,
@@ -60,7 +66,7 @@ def with_lags(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: s
     ``order`` must be a total order within a series; its first column is the one chunks are cut along.
     """
     keys, order = list(keys), list(order)
-    split, hot = split_hot(df, keys, order[0], target_rows)
+    split, chunks = split_hot(df, keys, order[0], target_rows)
     w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     # The struct keeps null values in the list.
     item = F.struct(F.col(value).alias("x"))
@@ -71,20 +77,20 @@ def with_lags(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: s
             *[f"_lag{i}" for i in range(1, k + 1)])
     else:
         own = split.withColumn(name, F.reverse(F.collect_list(item).over(w.rowsBetween(-k, -1))))
-    if hot:
-        carry = _carry_last(split, keys, order, value, k)
+    if chunks:
+        carry = _if_small(_carry_last(split, keys, order, value, k), chunks * k)
         own = (own.join(carry, [*keys, "_chunk"], "left")
                .withColumn(name, F.when(
                    (F.size(name) < k) & F.col("_carry").isNotNull(),
                    F.slice(F.concat(F.col(name), F.col("_carry")), 1, k)).otherwise(F.col(name)))
                .drop("_carry"))
-    return own.withColumn(name, F.transform(name, lambda e: e["x"])).drop("_chunk")
+    return own.withColumn(name, F.transform(name, lambda e: e["x"])).drop("_chunk", "_hot")
 
 
 def _carry_last(split: DataFrame, keys: list[str], order: list[str], value: str, k: int) -> DataFrame:
     """Per chunk the last ``k`` values of the series before it, nearest first."""
     back = Window.partitionBy(*keys, "_chunk").orderBy(*[F.col(c).desc() for c in order])
-    ends = (split.select(*keys, "_chunk", *order, value)
+    ends = (split.where("_hot").select(*keys, "_chunk", *order, value)
             .withColumn("_back", F.row_number().over(back)).where(F.col("_back") <= k))
     last = (ends.groupBy(*keys, "_chunk")
             .agg(F.sort_array(F.collect_list(
@@ -101,27 +107,27 @@ def with_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
                  target_rows: int | None = TARGET_ROWS) -> DataFrame:
     """Add ``running_count`` (the 1-based time index) and, given ``value``, ``running_sum``."""
     keys, order = list(keys), list(order)
-    split, hot = split_hot(df, keys, order[0], target_rows)
+    split, chunks = split_hot(df, keys, order[0], target_rows)
     w = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     total = F.sum(value) if value else F.sum(F.lit(0.0))
     out = split.withColumn("running_count", F.count(F.lit(1)).over(w))
     if value:
         out = out.withColumn("running_sum", F.sum(value).over(w))
-    if hot:
+    if chunks:
         before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = (split.groupBy(*keys, "_chunk")
+        offsets = (split.where("_hot").groupBy(*keys, "_chunk")
                    .agg(F.count(F.lit(1)).alias("_n"), total.alias("_s"))
                    .select(*keys, "_chunk", F.sum("_n").over(before).alias("_n0"),
                            F.sum("_s").over(before).alias("_s0")))
-        out = out.join(offsets, [*keys, "_chunk"], "left").withColumn(
+        out = out.join(_if_small(offsets, chunks), [*keys, "_chunk"], "left").withColumn(
             "running_count", F.col("running_count") + F.coalesce("_n0", F.lit(0)))
         if value:
             out = out.withColumn("running_sum", F.when(
                 F.col("running_sum").isNull(), F.col("_s0")).otherwise(
                 F.col("running_sum") + F.coalesce("_s0", F.lit(0.0))))
         out = out.drop("_n0", "_s0")
-    return out.drop("_chunk")
+    return out.drop("_chunk", "_hot")
 
 
 def with_page(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int,

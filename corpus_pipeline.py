@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import quality_qda, quality_rules
+from gaugeworks.llm import minmax_dedup, quality_qda, quality_rules
 from gaugeworks.llm.queries import quality_labels, table
 from gaugeworks.llm.stats import NAMES, with_stats
 from gaugeworks.llm.text import crc_mod
@@ -30,7 +30,17 @@ def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.with_verdict(stats, cutoffs, "lang").where("kept").select(*docs.columns)
 
 
-STAGES = [("quality_classifier", classify), ("quality_rules", apply_rules)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group (five-word shingles, similarity of at least 0.8): the one with the least
+    ``doc_id``. Of several rows with one id the first in the order of their texts stays; rows without an id all stay."""
+    found = minmax_dedup.near_duplicates(docs, width=5, percent=80)
+    heads = found.where("doc_id = component_id").select(F.col("doc_id").alias("_head")).distinct()
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "source", "lang"))
+    kept = docs.join(heads, F.col("doc_id") == F.col("_head")).withColumn("_rank", rank).where("_rank = 1")
+    return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+
+
+STAGES = [("quality_classifier", classify), ("quality_rules", apply_rules), ("minhash_near_dedup", drop_near_copies)]
 ORACLE_SQL = None
 
 

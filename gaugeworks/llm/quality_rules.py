@@ -4,8 +4,9 @@ A rule is a share computed from the counts of a text; a document breaks it where
 stratum. Cutoffs are chosen on labelled holdouts: for each rule and stratum the cutoffs of a fixed grid are tested from
 the most lenient one downwards, and the last cutoff before the first failed test is taken. A test passes if the exact
 binomial bound says that at most ``risk / rules`` of the good documents are rejected, at confidence
-``1 - error / (rules * strata)``: fixed-sequence testing within a rule, Bonferroni across rules and strata. A stratum whose
-holdout is too small to pass any test gets no cutoff, so that its documents are judged by the base rules alone.
+``1 - error / (rules * strata)``: fixed-sequence testing within a rule, Bonferroni across rules and strata. Strata whose
+holdouts are too small to pass any test are pooled (by their size alone) and tested as one; if the pool is too small as
+well, or a stratum has no labelled row, its documents are judged by the base rules alone.
 """
 
 from __future__ import annotations
@@ -87,7 +88,7 @@ def lowest_cutoff(cells: dict[int, int], steps: int, risk: float, error: float)
 
 def learn_cutoffs(stats: DataFrame, labels: DataFrame, stratum: str, risk: float = RISK,
                   error: float = ERROR) -> DataFrame:
-    """``stratum, cutoffs map<rule, double>``: one row per stratum with labelled rows.
+    """``stratum, pooled, cutoffs map<rule, double>``: one row per stratum for which any rule passed.
 
     ``stats`` holds ``doc_id``, the stratum and the counts, ``labels`` the columns ``doc_id, good``. Good documents that
     pass the base rules are counted by stratum, rule and grid cell; all further work is on these counts.
@@ -97,26 +98,39 @@ def learn_cutoffs(stats: DataFrame, labels: DataFrame, stratum: str, risk: float
     cell = [F.struct(F.lit(r[0]).alias("rule"), F.ceil(rule_value(r) / r[3] - 1e-9).alias("cell")) for r in RULES]
     counts = cut(held.select(F.col(stratum).alias("stratum"), F.inline(F.array(*cell)))
                  .groupBy("stratum", "rule", "cell").agg(F.count("*").alias("n")))
-    strata = max(1, counts.select("stratum").distinct().count())
+    sizes = counts.where(F.col("rule") == RULES[0][0]).groupBy("stratum").agg(F.sum("n").alias("size"))
+    each_risk = risk / len(RULES)
+    least = _least_holdout(each_risk, error / (len(RULES) * max(1, sizes.count())))
+    groups = cut(sizes.select("stratum", (F.col("size") < least).alias("pooled"),
+                              F.when(F.col("size") >= least, F.col("stratum")).alias("pool")))
+    each_error = error / (len(RULES) * max(1, groups.select("pooled", "pool").distinct().count()))
     steps = {r[0]: (r[3], r[4]) for r in RULES}
-    each_risk, each_error = risk / len(RULES), error / (len(RULES) * strata)
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        rule = pdf["rule"].iloc[0]
+        pooled, pool, rule = pdf[["pooled", "pool", "rule"]].iloc[0]
         step, last = steps[rule]
-        j = lowest_cutoff(dict(zip(pdf["cell"], pdf["n"])), last, each_risk, each_error)
-        rows = [] if j is None else [(pdf["stratum"].iloc[0], rule, j * step)]
-        return pd.DataFrame(rows, columns=["stratum", "rule", "cutoff"])
+        j = lowest_cutoff(pdf.groupby("cell")["n"].sum().to_dict(), last, each_risk, each_error)
+        rows = [] if j is None else [(pooled, pool, rule, j * step)]
+        return pd.DataFrame(rows, columns=["pooled", "pool", "rule", "cutoff"])
 
-    chosen = counts.groupBy("stratum", "rule").applyInPandas(choose, "stratum string, rule string, cutoff double")
-    return cut(chosen.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs")))
+    cells = counts.join(groups.withColumnRenamed("stratum", "_s"), F.col("stratum").eqNullSafe(F.col("_s")))
+    chosen = cells.groupBy("pooled", "pool", "rule").applyInPandas(choose, "pooled boolean, pool string, rule string, cutoff double")
+    maps = chosen.groupBy(F.col("pooled").alias("_pooled"), F.col("pool").alias("_pool")).agg(
+        F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
+    return cut(groups.join(maps, (F.col("pooled") == F.col("_pooled")) & F.col("pool").eqNullSafe(F.col("_pool")))
+               .select("stratum", "pooled", "cutoffs"))
+
+
+def _least_holdout(risk: float, error: float) -> int:
+    """Fewest good documents with which a cutoff that rejects none of them passes its test."""
+    return math.ceil(math.log(error) / math.log(1 - risk))
 
 
 def with_verdict(stats: DataFrame, cutoffs: DataFrame, stratum: str) -> DataFrame:
     """``stats`` with ``base_failed``, ``failed_rule`` (the first broken rule in the order of ``RULES``, else null) and
     ``kept``. ``cutoffs`` holds one short row per stratum and was written out, so that its true size decides the join."""
     names = stats.columns
-    joined = stats.join(cutoffs.withColumnRenamed("stratum", "_stratum"), F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
+    joined = stats.join(cutoffs.select(F.col("stratum").alias("_stratum"), "cutoffs"), F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
     broken = F.coalesce(*[F.when(rule_value(r) > F.col("cutoffs")[r[0]] + 1e-9, r[0]) for r in RULES])
     return (joined.select(*names, base_failed().alias("base_failed"), broken.alias("failed_rule"))
             .withColumn("kept", ~F.col("base_failed") & F.col("failed_rule").isNull()))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import quality_qda, quality_rules
+from gaugeworks.llm import minmax_dedup, quality_qda, quality_rules
 from gaugeworks.llm.stats import with_stats
 from gaugeworks.llm.text import crc_mod
 from gaugeworks.session import cut
@@ -49,3 +49,10 @@ def op3_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     model = quality_qda.fit(stats.where(~held_out).join(quality_labels(spark, sf), "doc_id"), "quality")
     return quality_qda.with_score(stats, model).select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@_query
+def op10_minmax_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Near-duplicate groups of all documents: three-word shingles, similarity of at least 0.85."""
+    found = minmax_dedup.near_duplicates(table(spark, sf, "documents"), width=3, percent=85)
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import minmax_dedup, quality_qda, quality_rules
-from gaugeworks.llm.queries import quality_labels, table
+from gaugeworks.llm import minmax_dedup, mixing, quality_qda, quality_rules
+from gaugeworks.llm.queries import MIX_WEIGHTS, quality_labels, table
 from gaugeworks.llm.stats import NAMES, with_stats
 from gaugeworks.llm.text import crc_mod
 from gaugeworks.session import cut, scratch_path
@@ -40,7 +40,19 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
-STAGES = [("quality_classifier", classify), ("quality_rules", apply_rules), ("minhash_near_dedup", drop_near_copies)]
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as many times as the mix takes it: its taken words over its size, rounded, so that a source is
+    within one document of what the schedule takes. Rows of one id are told apart by a number that is written first."""
+    keyed = cut(docs.withColumn("_row", F.monotonically_increasing_id()))
+    words = mixing.taken(mixing.mix(keyed, MIX_WEIGHTS, carry=["_row"]))
+    times = (words.where("taken > 0").select(F.col("_row").alias("_at"), F.floor(F.col("taken") / F.col("size") + 0.5).alias("_times"))
+             .where("_times > 0"))
+    return (keyed.join(times, F.col("_row") == F.col("_at"))
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_times"))).select(*docs.columns))
+
+
+STAGES = [("quality_classifier", classify), ("quality_rules", apply_rules), ("minhash_near_dedup", drop_near_copies),
+          ("source_mix", mix_sources)]
 ORACLE_SQL = None
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import minmax_dedup, quality_qda, quality_rules
+from gaugeworks.llm import minmax_dedup, mixing, quality_qda, quality_rules
 from gaugeworks.llm.stats import with_stats
 from gaugeworks.llm.text import crc_mod
 from gaugeworks.session import cut
@@ -31,6 +31,29 @@ def quality_labels(spark: SparkSession, sf: str) -> DataFrame:
             .agg(F.min("quality").alias("quality"), F.max("quality").alias("_max")).where("quality = _max").drop("_max"))
 
 
+MIX_WEIGHTS = [5, 2, 1]
+
+ORACLES["op1_source_mix"] = r"""
+WITH docs AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+src AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid FROM docs GROUP BY source),
+w AS (SELECT *, [5, 2, 1][sid % 3 + 1]::BIGINT AS weight, 3 * source_size AS cap FROM src),
+lev AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER o, 0))::DOUBLE / (sum(weight) OVER () - coalesce(sum(weight) OVER o, 0)) AS level
+  FROM w WINDOW o AS (ORDER BY cap / weight, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+tgt AS (SELECT *, CASE WHEN level > cap / weight THEN cap::DOUBLE
+  ELSE max(CASE WHEN level <= cap / weight THEN level END) OVER () * weight END AS target FROM lev),
+pos AS (SELECT doc_id, size, source_size, target, floor(target + 0.5)::BIGINT AS quota,
+  sum(size) OVER (PARTITION BY source ORDER BY md5('7:' || coalesce(doc_id::VARCHAR, 'null')), size ROWS UNBOUNDED PRECEDING)::BIGINT - size AS start
+  FROM docs JOIN tgt USING (source))
+SELECT doc_id, size, source_size, target, (greatest(0, least(size, quota - start)) + greatest(0, least(size, quota - source_size - start))
+  + greatest(0, least(size, quota - 2 * source_size - start)))::BIGINT AS taken FROM pos"""
+
+
+@_query
+def op1_source_mix(spark: SparkSession, sf: str) -> DataFrame:
+    """Words that the mix by weights 5, 2, 1 takes of every document."""
+    return mixing.taken(mixing.mix(table(spark, sf, "documents"), MIX_WEIGHTS))
+
+
 @_query
 def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Counts, base verdict and risk-controlled verdict of every document; strata are the languages."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import minmax_dedup, mixing, quality_qda, quality_rules
+from gaugeworks.llm import minmax_dedup, mixing, packing, quality_qda, quality_rules
 from gaugeworks.llm.queries import MIX_WEIGHTS, quality_labels, table
 from gaugeworks.llm.stats import NAMES, with_stats
 from gaugeworks.llm.text import crc_mod
@@ -51,8 +51,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
             .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_times"))).select(*docs.columns))
 
 
+def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every document in training sequences: bins of words with offsets."""
+    return packing.pack(docs)
+
+
 STAGES = [("quality_classifier", classify), ("quality_rules", apply_rules), ("minhash_near_dedup", drop_near_copies),
-          ("source_mix", mix_sources)]
+          ("source_mix", mix_sources), ("best_fit_packing", pack_documents)]
 ORACLE_SQL = None
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import minmax_dedup, mixing, quality_qda, quality_rules
+from gaugeworks.llm import licenses, minmax_dedup, mixing, packing, quality_qda, quality_rules
 from gaugeworks.llm.stats import with_stats
 from gaugeworks.llm.text import crc_mod
 from gaugeworks.session import cut
@@ -74,6 +74,18 @@ def op3_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@_query
+def op7_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's place in bins of 2,048 words; equal texts never share a bin."""
+    return packing.pack(table(spark, sf, "documents"))
+
+
+@_query
+def op8_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Best licence of every document, its Dice coefficient, and the number of lines in matches."""
+    return licenses.scan_licenses(table(spark, sf, "documents"), keep=["doc_id"])
+
+
 @_query
 def op10_minmax_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Near-duplicate groups of all documents: three-word shingles, similarity of at least 0.85."""

@@ -2,7 +2,8 @@
 
 Parts are sentences, lines, paragraphs and the whole text, all of them normalised (lower case, letters and digits only). With
 a and b distinct bigrams the coefficient is at most 2 min(a, b) / (a + b), so a part is compared only with templates
-whose size lies within the bounds that this leaves; a part is left as soon as it has more bigrams than any bound allows.
+whose size lies within the bounds that this leaves. The same bounds give a least number of shared bigrams, by which most
+templates, and most texts, are left before a text is split into parts.
 
 Defined cases: a null text, an empty one and one without any match have a null licence, a coefficient of 0 and no
 matched line. Ties go to the first licence in alphabetical order.
@@ -11,7 +12,6 @@ matched line. Ties go to the first licence in alphabetical order.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -59,18 +59,10 @@ _SENTENCE = re.compile(r"(?<=[.!?:;])\s+")
 _BLANK = re.compile(r"\n[^\S\n]*\n")
 
 
-def bigrams(part: str, most: int | None = None) -> set | None:
-    """Distinct word bigrams of a normalised part; a single word stands for itself. None as soon as there are more than
-    ``most``."""
-    found, last = set(), None
-    for m in _TOKEN.finditer(part.lower()):
-        word = m.group()
-        if last is not None:
-            found.add((last, word))
-            if most is not None and len(found) > most:
-                return None
-        last = word
-    return found or ({(last,)} if last is not None else found)
+def bigrams(part: str) -> set:
+    """Distinct word bigrams of a normalised part; a single word stands for itself."""
+    words = _TOKEN.findall(part.lower())
+    return set(zip(words, words[1:])) or {(w,) for w in words}
 
 
 class Scanner:
@@ -78,39 +70,41 @@ class Scanner:
 
     def __init__(self, templates: list[tuple[str, str]] = TEMPLATES, least: float = LEAST_DICE):
         found = sorted(((len(b := bigrams(t)), name, b) for name, t in templates), key=lambda x: x[:2])
-        self.sizes = [f[0] for f in found]
         self.templates, self.least, self.spread = found, least, (2 - least) / least
-        # A part with n distinct bigrams has at least 2 n characters, and a match at least 1 / ``spread`` of those of a template.
-        self.shortest = int(2 * min(self.sizes) / self.spread) if found else 0
-        self.most = int(max(self.sizes, default=0) * self.spread)
         self.any = {pair for _, _, b in found for pair in b}
 
-    def best(self, part: str) -> tuple[float, str] | None:
-        """Coefficient (as ``-coefficient`` for ordering) and licence of the best matching template."""
-        if len(part) < self.shortest:
-            return None
-        grams = bigrams(part, self.most)
-        if grams is None or self.any.isdisjoint(grams):
-            return None
-        n = len(grams)
-        low = bisect_left(self.sizes, n / self.spread - 1e-9)
-        high = bisect_right(self.sizes, n * self.spread + 1e-9)
-        best = None
-        for m, name, gram in self.templates[low:high]:
-            dice = 2 * len(grams & gram) / (n + m)
-            if dice >= self.least and (best is None or (-dice, name) < best):
-                best = (-dice, name)
+    def candidates(self, text: str) -> list[tuple[int, str, set]]:
+        """Templates that some part of the text could match: by the bounds a match shares at least ``size / spread`` bigrams
+        with its template, and the bigrams of a part are bigrams of the text."""
+        words = _TOKEN.findall(text.lower())
+        shared = self.any.intersection(zip(words, words[1:]))
+        single = set(words) if len(words) == 1 or not all(len(g) == 2 for _, _, b in self.templates for g in b) else set()
+        return [t for t in self.templates
+                if len(shared & t[2]) + sum(g[0] in single for g in t[2] if len(g) == 1) >= t[0] / self.spread - 1e-9]
+
+    def best(self, part: str, among: list[tuple[int, str, set]]) -> tuple[float, str] | None:
+        """Coefficient (negative, for ordering) and licence of the best matching template."""
+        grams = bigrams(part)
+        n, best = len(grams), None
+        for m, name, gram in among:
+            if n / self.spread - 1e-9 <= m <= n * self.spread + 1e-9:
+                dice = 2 * len(grams & gram) / (n + m)
+                if dice >= self.least and (best is None or (-dice, name) < best):
+                    best = (-dice, name)
         return best
 
     def scan(self, text: str | None) -> tuple[str | None, float, int]:
         """Best licence, its coefficient, and the number of lines inside any match."""
         if not text:
             return None, 0.0, 0
+        among = self.candidates(text)
+        if not among:
+            return None, 0.0, 0
         best, marked, lines = None, set(), text.split("\n")
 
         def offer(part: str, first: int, last: int) -> None:
             nonlocal best
-            hit = self.best(part)
+            hit = self.best(part, among)
             if hit:
                 marked.update(range(first, last))
                 best = hit if best is None else min(best, hit)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import licenses, minmax_dedup, mixing, packing, quality_qda, quality_rules
+from gaugeworks.llm import licenses, minmax_dedup, mixing, packing, quality_qda, quality_rules, url_templates
 from gaugeworks.llm.stats import with_stats
 from gaugeworks.llm.text import crc_mod
 from gaugeworks.session import cut
@@ -74,6 +74,54 @@ def op3_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+#: The rules on hosts and paths.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+ORACLES["op4_url_filter"] = r"""
+WITH r AS (SELECT page_id, coalesce(url, '') AS u FROM pages),
+p AS (SELECT page_id, CASE WHEN instr(u, '://') > 0 THEN substr(u, instr(u, '://') + 3) ELSE '' END AS rest FROM r),
+q AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+lab AS (SELECT doc_id, min(quality) AS good FROM labels WHERE quality IN (0, 1) GROUP BY doc_id HAVING min(quality) = max(quality)),
+m AS (SELECT page_id, host, path, regexp_replace(regexp_replace(path, '^/', ''), '[0-9]+', '*', 'g') AS shape, good
+  FROM q LEFT JOIN lab ON doc_id = TRY_CAST(regexp_extract(path, '([0-9]+)[^0-9/]*/?$', 1) AS BIGINT)),
+s AS (SELECT host, shape, count(*) AS n, count(good) AS labels, coalesce(sum(good), 0) AS goods FROM m GROUP BY host, shape),
+st AS (SELECT host, shape, n, parts, d AS depth, parts[d + 1] AS part, array_to_string(parts[1:d], '/') AS prefix
+  FROM (SELECT host, shape, n, string_split(shape, '/') AS parts, unnest(range(len(string_split(shape, '/')))) AS d FROM s)),
+ch AS (SELECT host, prefix, depth, part, sum(n) AS n FROM st GROUP BY ALL),
+va AS (SELECT host, prefix, depth FROM ch GROUP BY ALL HAVING count(*) > 20 AND sum(n) < 3 * count(*)),
+tp AS (SELECT st.host, shape, list(CASE WHEN va.host IS NULL THEN part ELSE '*' END ORDER BY st.depth) AS t
+  FROM st LEFT JOIN va ON st.host = va.host AND st.prefix = va.prefix AND st.depth = va.depth GROUP BY st.host, shape),
+lv AS (SELECT host, shape, labels, goods, d AS depth, CASE WHEN d = 0 THEN '' ELSE '/' || array_to_string(t[1:d], '/') END AS node,
+  CASE WHEN d = 0 THEN NULL WHEN d = 1 THEN '' ELSE '/' || array_to_string(t[1:d - 1], '/') END AS parent
+  FROM (SELECT *, unnest(range(len(t) + 1)) AS d FROM s JOIN tp USING (host, shape))),
+nd AS (SELECT host, depth, node, sum(labels)::DOUBLE AS labels, sum(goods)::DOUBLE AS goods, max(parent) AS parent FROM lv GROUP BY ALL),
+ev AS (SELECT (coalesce(sum(goods), 0) + 1)::DOUBLE / (coalesce(sum(labels), 0) + 2) AS every FROM s),
+ab AS (SELECT nd.*, CASE WHEN nd.depth = 0 THEN every ELSE (u.goods + 10.0 * every) / (u.labels + 10.0) END AS above
+  FROM nd CROSS JOIN ev LEFT JOIN nd u ON u.host = nd.host AND u.depth = nd.depth - 1 AND u.node = nd.parent WHERE nd.labels > 0),
+jd AS (SELECT host, depth, node, (goods + 10.0 * above) / (labels + 10.0) AS purity FROM ab
+  WHERE abs(goods / labels - above) > 2.58 * sqrt(above * (1 - above) / labels)),
+bad AS (SELECT host, shape FROM lv JOIN jd USING (host, depth, node) GROUP BY host, shape HAVING arg_max(purity, depth) < 0.5),
+rl AS (SELECT page_id, m.host, path, shape, CASE
+  WHEN (m.host = 'example.com' OR ends_with(m.host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+  WHEN (m.host = 'example.net' OR ends_with(m.host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+  WHEN (m.host = 'org' OR ends_with(m.host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+  WHEN (m.host = 'net' OR ends_with(m.host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM m)
+SELECT page_id, rl.host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+  WHEN bad.host IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM rl LEFT JOIN bad ON bad.host = rl.host AND bad.shape = rl.shape"""
+
+
+@_query
+def op4_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """Verdict on every url. The last number of a path names the document whose quality label the page has."""
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    number = F.regexp_extract(url_templates.host_and_path(F.col("url"))[1], "([0-9]+)[^0-9/]*/?$", 1)
+    labels = quality_labels(spark, sf).select(F.col("doc_id").alias("_doc"), F.col("quality").alias("good"))
+    pages = pages.join(labels, number.try_cast("bigint") == F.col("_doc"), "left").drop("_doc")
+    return url_templates.judge_urls(pages, URL_RULES)
+
+
 @_query
 def op7_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's place in bins of 2,048 words; equal texts never share a bin."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import licenses, minmax_dedup, mixing, packing, quality_qda, quality_rules, url_templates
+from gaugeworks.llm import licenses, minmax_dedup, mixing, packing, quality_qda, quality_rules, url_templates, vector_forest
 from gaugeworks.llm.stats import with_stats
 from gaugeworks.llm.text import crc_mod
 from gaugeworks.session import cut
@@ -122,6 +122,13 @@ def op4_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return url_templates.judge_urls(pages, URL_RULES)
 
 
+@_query
+def op6_vector_forest(spark: SparkSession, sf: str) -> DataFrame:
+    """Links of all embeddings with a cosine of at least 0.95, and their components."""
+    found = vector_forest.vector_links(table(spark, sf, "embeddings"))
+    return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+
+
 @_query
 def op7_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's place in bins of 2,048 words; equal texts never share a bin."""

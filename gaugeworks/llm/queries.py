@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import licenses, minmax_dedup, mixing, packing, quality_qda, quality_rules, url_templates, vector_forest
+from gaugeworks.llm import language_id, licenses, minmax_dedup, mixing, packing, quality_qda, quality_rules, url_templates, vector_forest
 from gaugeworks.llm.stats import with_stats
 from gaugeworks.llm.text import crc_mod
 from gaugeworks.session import cut
@@ -141,6 +141,15 @@ def op8_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf, "documents"), keep=["doc_id"])
 
 
+@_query
+def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of every document; rows whose crc32 remainder is 2 are never learnt from."""
+    docs = table(spark, sf, "documents")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    model = language_id.learn(docs.where(~held_out))
+    return language_id.with_language(docs, model, keep=["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @_query
 def op10_minmax_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Near-duplicate groups of all documents: three-word shingles, similarity of at least 0.85."""

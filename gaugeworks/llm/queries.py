@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import language_id, licenses, minmax_dedup, mixing, packing, quality_qda, quality_rules, url_templates, vector_forest
+from gaugeworks.llm import bloom_lm, language_id, licenses, minmax_dedup, mixing, packing, quality_qda, quality_rules, url_templates, vector_forest
 from gaugeworks.llm.stats import with_stats
 from gaugeworks.llm.text import crc_mod
 from gaugeworks.session import cut
@@ -122,6 +122,15 @@ def op4_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return url_templates.judge_urls(pages, URL_RULES)
 
 
+@_query
+def op5_bloom_lm(spark: SparkSession, sf: str) -> DataFrame:
+    """Base and model score of every document; rows whose crc32 remainder is 2 are never learnt from."""
+    docs, held_out = table(spark, sf, "documents"), crc_mod(F.col("doc_id"), 7) == 2
+    model, rare = bloom_lm.learn(docs.where(~held_out))
+    return bloom_lm.score(docs, model, rare, keep=["doc_id"]).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @_query
 def op6_vector_forest(spark: SparkSession, sf: str) -> DataFrame:
     """Links of all embeddings with a cosine of at least 0.95, and their components."""

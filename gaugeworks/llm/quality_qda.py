@@ -122,6 +122,7 @@ def _matrix(columns: list[pa.Array]) -> np.ndarray:
 
 def with_score(stats: DataFrame, model: Model, out: str = "score") -> DataFrame:
     """``stats`` (any columns, among them those of ``stats.NAMES``) with the score as column ``out``."""
+    stats = stats.drop(out)
     names = stats.columns
     at = [names.index(n) for n in NAMES]
 

@@ -57,6 +57,6 @@ def _arrays(texts: list[bytes | None]) -> list[pa.Array]:
 
 
 def with_stats(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``df[keep]`` with the counts of every whole text as further columns. Columns of ``df`` with one of these
-    names must not be kept."""
+    """``df[keep]`` with the counts of every whole text as further columns. A null text counts as an empty one: all
+    counts are 0."""
     return map_texts(df, text, DDL, _arrays, keep)

@@ -10,6 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: A word is a run of characters other than blank, tab, line feed, vertical tab, form feed and return. All of these
 #: are single bytes in UTF-8, so the pattern works on encoded text.
@@ -64,20 +65,23 @@ def crc_mod(doc_id: Column, m: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % m
 
 
-def fresh(df: DataFrame, name: str) -> str:
-    """A column name that ``df`` does not have."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = "_" + name
-    return name
+def guarded(docs: DataFrame) -> DataFrame:
+    """``docs`` with names that cannot clash with those of an operator."""
+    return docs.toDF(*[f"in_{c}" for c in docs.columns])
+
+
+def restored(df: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from a frame derived from ``guarded(docs)``."""
+    return df.select(*[F.col(f"`in_{c}`").alias(c) for c in docs.columns])
 
 
 def map_texts(df: DataFrame, text: str, out: str, fn: Callable[[list[bytes | None]], list[pa.Array]],
               keep: list[str] | None = None) -> DataFrame:
-    """``df[keep]`` with further columns ``out`` (DDL) that ``fn`` derives from each Arrow batch of ``text``."""
-    keep = df.columns if keep is None else keep
-    from pyspark.sql.types import StructType
+    """``df[keep]`` with further columns ``out`` (DDL) that ``fn`` derives from each Arrow batch of ``text``. A kept column
+    with the name of a new one gives way to it."""
     added = StructType.fromDDL(out)
+    made_names = {n.lower() for n in added.fieldNames()}
+    keep = [c for c in (df.columns if keep is None else keep) if c.lower() not in made_names]
     passed = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("\x00text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

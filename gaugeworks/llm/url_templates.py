@@ -87,16 +87,18 @@ def rejected_shapes(urls: DataFrame, least_purity: float = LEAST_PURITY, prior:
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], url: str = "url", good: str = "good") -> DataFrame:
-    """``pages`` without ``url`` and ``good`` but with ``host, path, rule, verdict``. ``good``: label of the page, 1, 0 or null."""
-    keep = [c for c in pages.columns if c not in (url, good)]
+    """``pages`` without ``url`` and ``good`` but with ``host, path, rule, verdict`` (columns of these names are replaced).
+    ``good``: label of the page, 1, 0 or null."""
+    keep = [c for c in pages.columns if c.lower() not in {url, good, "host", "path", "rule", "verdict"}]
     host, path = host_and_path(F.coalesce(F.col(f"`{url}`"), F.lit("")))
-    named = pages.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{good}`").alias("good"), host.alias("host"), path.alias("path"))
+    page = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in keep]).alias("page")
+    named = pages.select(page, F.col(f"`{good}`").alias("good"), host.alias("host"), path.alias("path"))
     named = named.withColumn("shape", F.regexp_replace(F.regexp_replace("path", "^/", ""), "[0-9]+", "*"))
     bad = rejected_shapes(named.select("host", "shape", "good"))
     salted = bad.select(F.col("host").alias("_h"), F.col("shape").alias("_s"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
-    salt = F.pmod(F.xxhash64("path", *[F.col(f"`{c}`") for c in keep]), F.lit(SALTS)).cast("int")
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
     rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
     return (named.withColumn("_mine", salt)
             .join(salted, (F.col("host") == F.col("_h")) & (F.col("shape") == F.col("_s")) & (F.col("_mine") == F.col("_salt")), "left")
-            .select(*[F.col(f"`{c}`") for c in keep], "host", "path", rule.alias("rule"),
+            .select(*[F.col(f"page.`{c}`") for c in keep], "host", "path", rule.alias("rule"),
                     F.coalesce(verdict, F.when(F.col("_h").isNotNull(), "block").otherwise("allow")).alias("verdict")))

@@ -34,6 +34,8 @@ from gaugeworks.session import cut
 BAND_ROWS, BANDS = 5, 20
 #: Nodes on each side of a block.
 BLOCK = 128
+#: Bits of the bitmap of nodes: at most 131,072 words are broadcast.
+_BITMAP = 2**23
 _CHUNK = 8192
 
 
@@ -91,10 +93,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     drawn = cut(sketches(source, "text", ["doc_id"], width, rows, bands))
     sets = drawn.where("doc_id is not null and digest is not null")
-    first = sets.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count("*").alias("_n")).drop("_n")
-    named = sets.join(first.withColumnRenamed("digest", "_d"), F.col("digest") == F.col("_d"))
+    repeated = cut(sets.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count("*").alias("n")).where("n > 1")
+                   .select(F.col("digest").alias("_d"), "node"))
+    named = (sets.join(repeated, F.col("digest") == F.col("_d"), "left")
+             .select("doc_id", F.coalesce("node", "doc_id").alias("node"), "n_shingles", "bands"))
     copies = named.where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    members = (named.where("doc_id = node").select("node", "n_shingles", F.explode("bands").alias("band"))
+    # Dealt by band once: the two aggregates and the join below need no further shuffle.
+    members = (named.where("doc_id = node").select("node", "n_shingles", F.explode("bands").alias("band")).repartition("band")
                .groupBy("band", "node").agg(F.max("n_shingles").alias("size"), F.min("n_shingles").alias("least")))
     buckets = members.groupBy("band").agg(F.count("*").alias("m"), F.min("node").alias("center")).where("m > 1")
     crowd = cut(members.join(buckets.withColumnRenamed("band", "_b"), F.col("band") == F.col("_b")).drop("_b"))
@@ -110,9 +115,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def _texts_of(source: DataFrame, crowd: DataFrame) -> DataFrame:
-    """``node, text`` of the nodes that share a bucket."""
+    """``node, text`` of the nodes that share a bucket.
+
+    A bitmap of their hashes, of fixed size and therefore broadcast, leaves out most other texts before the shuffle.
+    """
     nodes = crowd.select("node").distinct()
-    return cut(nodes.join(source, F.col("node") == F.col("doc_id")).select("node", "text"))
+    spot = lambda c: F.pmod(F.xxhash64(c), F.lit(_BITMAP))
+    bit = F.expr("shiftleft(1L, cast(spot % 64 as int))")
+    bitmap = (nodes.select(spot("node").alias("spot")).groupBy(F.floor(F.col("spot") / 64).alias("word"))
+              .agg(F.bit_or(bit).alias("bits")))
+    likely = (source.withColumn("spot", spot("doc_id")).join(F.broadcast(bitmap), F.floor(F.col("spot") / 64) == F.col("word"))
+              .where(F.col("bits").bitwiseAND(bit) != 0).select("doc_id", "text"))
+    return cut(nodes.join(likely, F.col("node") == F.col("doc_id")).select("node", "text"))
 
 
 def _sizes_fit(percent: int):

@@ -203,14 +203,17 @@ def learn(docs: DataFrame, text: str = "text", max_bits: int = MAX_BITS, frequen
 
 
 def score(docs: DataFrame, model: Model, rare: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` and ``n_tokens, n_known, train_tokens long, base_score, score double`` of every whole text.
+    """``keep`` and ``n_tokens, n_known, train_tokens long, base_score, score double`` of every whole text. A kept column
+    with one of these names gives way to it.
 
     Exact counts of frequent words are at hand; the other words of a text are joined with their counts, by hash.
     """
-    keep = docs.columns if keep is None else keep
-    passed = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_text"))
+    made = {"n_tokens", "n_known", "train_tokens", "base_score", "score"}
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in made]
+    passed = docs.select(*[F.col(f"`{c}`").alias(f"in_{c}") for c in keep], F.col(f"`{text}`").alias("text"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
     hashes = WordHashes()
+    names = passed.columns[:-1]
     out = "row long, n_tokens long, known long, logs double, score double, words array<long>, times array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +242,7 @@ def score(docs: DataFrame, model: Model, rare: DataFrame, text: str = "text", ke
                     pa.array(np.add.reduceat(logs[back], starts)), pa.array(model_score),
                     pa.ListArray.from_arrays(ends, pa.array(words[codes % len(words)].view(np.int64))),
                     pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int32)))],
-                keep + ["row", "n_tokens", "known", "logs", "score", "words", "times"])
+                names + ["row", "n_tokens", "known", "logs", "score", "words", "times"])
 
     schema = StructType(list(passed.schema.fields[:-1]) + list(StructType.fromDDL(out).fields))
     scored = cut(passed.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()))
@@ -248,6 +251,6 @@ def score(docs: DataFrame, model: Model, rare: DataFrame, text: str = "text", ke
              .groupBy(F.col("row").alias("_row")).agg(F.sum(F.log10(F.col("n") + 1.0) * F.col("times")).alias("more"), F.sum("times").alias("also")))
     total = float(np.log10(model.tokens + model.distinct + 1))
     return scored.join(found, F.col("row") == F.col("_row"), "left").select(
-        *[F.col(f"`{c}`") for c in keep], "n_tokens", (F.col("known") + F.coalesce("also", F.lit(0))).alias("n_known"),
+        *[F.col(f"`in_{c}`").alias(c) for c in keep], "n_tokens", (F.col("known") + F.coalesce("also", F.lit(0))).alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
         (F.col("logs") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * total).alias("base_score"), "score")

@@ -8,7 +8,7 @@ leaves counts in the first of them only, so no list of pairs is needed to count
 vector and one chain of links per connected part.
 
 Copies (equal vectors) are one node with a number of members. Defined cases: vectors that are null, empty, zero or hold a
-null or non-finite component have no link; vectors of different length are never compared; rows with one id are vectors
+null or non-finite component, and rows without an id, have no link; vectors of different length are never compared; rows with one id are vectors
 of one component, and each counts the links of all.
 """
 
@@ -109,10 +109,11 @@ def vector_links(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
                 .withColumn("dim", F.size("v")))
     parts = [_links_of(nodes.where(F.col("dim") == d), least, trees, leaf, spill, sample, block, seed)
              for d in sorted(r[0] for r in nodes.select("dim").distinct().collect())]
-    named = (rows.where(sound).withColumnRenamed("v", "_v")
+    usable = F.coalesce(sound & F.col("vec_id").isNotNull(), F.lit(False))
+    named = (rows.where(usable).withColumnRenamed("v", "_v")
              .join(nodes, (F.col("_v") == F.col("v")), "left").select("vec_id", "node", "members"))
     none = [F.lit(None).cast("long").alias(c) for c in ("node", "members")]
-    named = named.unionByName(rows.where(~F.coalesce(sound, F.lit(False))).select("vec_id", *none))
+    named = named.unionByName(rows.where(~usable).select("vec_id", *none))
     if not parts:
         return named.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     counts, links = parts[0]

@@ -1,7 +1,11 @@
+"""Fixtures of the document operators: texts and rows that hold every odd case."""
+
 import random
 
 import pytest
 
+SF = "/root/testdata/sf0.001"
+
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 

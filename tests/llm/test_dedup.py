@@ -6,6 +6,7 @@ import pytest
 
 from gaugeworks.llm import minmax_dedup, vector_forest
 from gaugeworks.llm.links import components
+from odd_documents import docs, nothing, texts  # noqa: F401
 
 
 def shingles(text, width):

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeworks.llm import mixing, packing
+from odd_documents import docs, nothing, texts  # noqa: F401
 
 
 def fair(sizes, weights, passes=3):
@@ -74,39 +75,24 @@ def test_mix_of_nothing(spark, nothing, docs):
     assert mixing.taken(mixing.mix(wordless, [1])).where("taken <> 0 or target <> 0").isEmpty()
 
 
-def naive_best_fit(sizes, sources, clusters, capacity, per_source):
-    bins, out = [], []
-    for s, src, c in zip(sizes, sources, clusters):
-        fits = [k for k, b in enumerate(bins) if b["free"] >= s and c not in b["clusters"] and b["sources"].count(src) < per_source]
-        if not fits:
-            bins.append({"free": capacity, "clusters": set(), "sources": []})
-            fits = [len(bins) - 1]
-        tight = min(bins[k]["free"] for k in fits)
-        out.append((tight, {k for k in fits if bins[k]["free"] == tight}))
-        yield out[-1], bins
-        k = (yield)
-        bins[k]["free"] -= s
-        bins[k]["clusters"].add(c)
-        bins[k]["sources"].append(src)
-
-
 def test_every_item_goes_to_a_tightest_compatible_bin():
     rng = random.Random(4)
     sizes = sorted((rng.randint(1, 60) for _ in range(300)), reverse=True)
     sources = [rng.choice("aaab") for _ in sizes]
     clusters = [rng.randrange(40) if rng.random() < 0.5 else 100 + i for i in range(len(sizes))]
     got, offsets = packing.best_fit(sizes, sources, clusters, 100, 3)
-    naive = naive_best_fit(sizes, sources, clusters, 100, 3)
+    bins = []
     for k, b in enumerate(got):
-        (tight, allowed), _ = next(naive)
-        assert b in allowed and offsets[k] == 100 - tight
-        next(naive)
-        if k + 1 < len(got):
-            try:
-                # the generator expects the chosen bin and then moves on to the next item
-                naive.send(b)
-            except StopIteration:
-                break
+        fits = {n: x for n, x in enumerate(bins) if x["free"] >= sizes[k] and clusters[k] not in x["clusters"] and x["sources"].count(sources[k]) < 3}
+        if fits:
+            assert b in fits and fits[b]["free"] == min(x["free"] for x in fits.values())
+        else:
+            assert b == len(bins)
+            bins.append({"free": 100, "clusters": set(), "sources": []})
+        assert offsets[k] == 100 - bins[b]["free"]
+        bins[b]["free"] -= sizes[k]
+        bins[b]["clusters"].add(clusters[k])
+        bins[b]["sources"].append(sources[k])
 
 
 def check_packing(rows, docs, capacity, per_source):

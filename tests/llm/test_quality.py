@@ -6,8 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF
 from gaugeworks.llm import quality_qda, quality_rules, queries
+from odd_documents import SF, docs, nothing, texts  # noqa: F401
 from gaugeworks.llm.stats import NAMES, text_stats, with_stats
 from gaugeworks.llm.text import crc_mod
 

@@ -232,35 +232,65 @@ def k5(spark, sf):
     return s.select("sensor", "n", *[F.round(F.col("s")[i], 2).alias(f"s{i}") for i in range(3)])
 
 
+ALL_SENSORS = "ids AS (SELECT DISTINCT sensor FROM readings)"
 AR2 = """m AS (SELECT sensor, sum(y1 * y1) AS a, sum(y1 * y2) AS b, sum(y2 * y2) AS c, sum(y * y1) AS u, sum(y * y2) AS v,
     sum(y * y) AS yy, count(*) AS rows FROM lagged WHERE y2 IS NOT NULL GROUP BY sensor),
   ar AS (SELECT *, (u * c - v * b) / (a * c - b * b) AS phi1, (v * a - u * b) / (a * c - b * b) AS phi2
-    FROM m WHERE rows > 4 AND a * c - b * b > 1e-6 * a * c)"""
+    FROM m WHERE rows > 2)"""
 
 
-@query("k5_ar2_fit", with_(READINGS, LAGGED, AR2) + """
+@query("k5_ar2_fit", with_(READINGS, LAGGED, ALL_SENSORS, AR2) + """
 SELECT sensor, round(phi1, 6) AS phi1, round(phi2, 6) AS phi2,
-  round((yy - phi1 * u - phi2 * v) / (rows - 2), 3) AS sigma2 FROM ar""")
+  round((yy - phi1 * u - phi2 * v) / (rows - 2), 3) AS sigma2 FROM ids LEFT JOIN ar USING (sensor)""")
 def k5b(spark, sf):
-    model = arma.fit(readings(spark, sf), ["sensor"], ORDER, p=2).where("n > 6")
+    model = arma.fit(readings(spark, sf), ["sensor"], ORDER, p=2)
     return model.select("sensor", F.round(F.col("phi")[0], 6).alias("phi1"), F.round(F.col("phi")[1], 6).alias("phi2"),
                         F.round("sigma2", 3).alias("sigma2"))
 
 
 AR1 = """m AS (SELECT sensor, sum(y * y1) / sum(y1 * y1) AS phi, sum(y * y) - sum(y * y1) ** 2 / sum(y1 * y1) AS sse,
-    count(*) AS rows FROM {0} WHERE y1 IS NOT NULL GROUP BY sensor HAVING count(*) > 2),
+    count(*) AS rows FROM {0} WHERE y1 IS NOT NULL GROUP BY sensor HAVING count(*) > 1),
   l AS (SELECT sensor, arg_max(y, (us, event_id)) AS last FROM {0} GROUP BY sensor)"""
 
 
-@query("k6_ar1_forecast", with_(READINGS, LAGGED, AR1.format("lagged")) + """
+def ahead(df, *columns, digits=4):
+    """Rows of a forecast with rounded values, as the oracles give them."""
+    return df.select(*[F.col("h").cast("long").alias("h") if c == "h" else F.round(c, digits).alias(c) if c in ("forecast", "upper") else c
+                       for c in columns])
+
+
+@query("k6_ar1_forecast", with_(READINGS, LAGGED, ALL_SENSORS, AR1.format("lagged")) + """
 SELECT sensor, h, round(last * phi ** h, 5) AS forecast, CASE WHEN abs(phi) < 1 THEN round(last * phi ** h
   + 1.959963984540054 * sqrt(sse / (rows - 1) * (1 - phi ** (2 * h)) / (1 - phi * phi)), 5) END AS upper
-FROM m JOIN l USING (sensor), range(1, 13) r(h)""")
+FROM ids LEFT JOIN m USING (sensor) LEFT JOIN l USING (sensor), range(1, 13) r(h)""")
 def k6(spark, sf):
-    model = arma.fit(readings(spark, sf), ["sensor"], ORDER, p=1).where("n > 3")
-    return arma.forecast(model, ["sensor"], 12).select(
-        "sensor", F.col("h").cast("long").alias("h"), F.round("forecast", 5).alias("forecast"),
-        F.round("upper", 5).alias("upper"))
+    model = arma.fit(readings(spark, sf), ["sensor"], ORDER, p=1)
+    return ahead(arma.forecast(model, ["sensor"], 12), "sensor", "h", "forecast", "upper", digits=5)
+
+
+# AR(3) by Cramer's rule; the recursion carries the last three values and weights. Stationary by Jury's conditions.
+AR3 = f"""z3 AS (SELECT sensor, us, event_id, value AS y, lag(value) {W} AS y1, lag(value, 2) {W} AS y2, lag(value, 3) {W} AS y3
+    FROM readings),
+  m AS (SELECT sensor, sum(y1 * y1) AS a, sum(y1 * y2) AS b, sum(y1 * y3) AS c, sum(y2 * y2) AS d, sum(y2 * y3) AS e, sum(y3 * y3) AS f,
+    sum(y * y1) AS u, sum(y * y2) AS v, sum(y * y3) AS w, sum(y * y) AS yy, count(*) AS rows FROM z3 WHERE y3 IS NOT NULL
+    GROUP BY sensor HAVING count(*) > 3),
+  det AS (SELECT *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) AS det FROM m),
+  phi AS (SELECT *, (u * (d * f - e * e) - b * (v * f - w * e) + c * (v * e - w * d)) / det AS p1,
+    (a * (v * f - w * e) - u * (b * f - c * e) + c * (b * w - c * v)) / det AS p2,
+    (a * (d * w - e * v) - b * (b * w - c * v) + u * (b * e - c * d)) / det AS p3 FROM det),
+  model AS (SELECT sensor, p1, p2, p3, (yy - p1 * u - p2 * v - p3 * w) / (rows - 3) AS s2, abs(p3) < 1 AND 1 - p1 - p2 - p3 > 0
+    AND 1 + p1 - p2 + p3 > 0 AND 1 - p3 * p3 > abs(p2 + p1 * p3) AS steady FROM phi),
+  ends AS (SELECT sensor, y AS x1, y1 AS x2, y2 AS x3 FROM z3 QUALIFY row_number() OVER (PARTITION BY sensor ORDER BY us DESC, event_id DESC) = 1),
+  run AS (SELECT sensor, 0 AS h, x1, x2, x3, 1.0::DOUBLE AS w1, 0.0::DOUBLE AS w2, 0.0::DOUBLE AS w3, 0.0::DOUBLE AS var FROM ends
+    UNION ALL SELECT r.sensor, h + 1, p1 * x1 + p2 * x2 + p3 * x3, x1, x2, p1 * w1 + p2 * w2 + p3 * w3, w1, w2, var + w1 * w1
+    FROM run r JOIN model USING (sensor) WHERE h < 12)"""
+
+
+@query("k6_ar3_forecast", "WITH RECURSIVE " + READINGS + ",\n" + AR3 + """
+SELECT sensor, h::BIGINT AS h, round(x1, 4) AS forecast, CASE WHEN steady THEN round(x1 + 1.959963984540054 * sqrt(s2 * var), 4) END AS upper
+FROM run JOIN model USING (sensor) WHERE h > 0""")
+def k6c(spark, sf):
+    return ahead(arma.forecast(arma.fit(readings(spark, sf), ["sensor"], ORDER, p=3), ["sensor"], 12), "sensor", "h", "forecast", "upper")
 
 
 @query("k6_ar_forecast")
@@ -268,10 +298,38 @@ def k6b(spark, sf):
     return arma.forecast(arma.fit(readings(spark, sf), ["sensor"], ORDER, p=3), ["sensor"], 12)
 
 
+# ARMA(1,1) with a long AR of one term: two regressions with one and two unknowns.
+ARMA11 = """ar AS (SELECT sensor, sum(y * y1) / sum(y1 * y1) AS pi FROM {0} WHERE y2 IS NOT NULL GROUP BY sensor),
+  mm AS (SELECT sensor, sum(y1 * y1) AS a, sum(y1 * (y1 - pi * y2)) AS b, sum((y1 - pi * y2) ** 2) AS c, sum(y * y1) AS u,
+    sum(y * (y1 - pi * y2)) AS v, sum(y * y) AS yy, count(*) AS rows FROM {0} JOIN ar USING (sensor) WHERE y2 IS NOT NULL
+    GROUP BY sensor HAVING count(*) > 2),
+  arma AS (SELECT *, (u * c - v * b) / (a * c - b * b) AS phi, (v * a - u * b) / (a * c - b * b) AS theta FROM mm),
+  ends AS (SELECT sensor, y, y1 FROM {0} QUALIFY row_number() OVER (PARTITION BY sensor ORDER BY us DESC, event_id DESC) = 1),
+  next AS (SELECT sensor, phi, theta, (yy - phi * u - theta * v) / (rows - 2) AS s2, phi * y + theta * (y - pi * y1) AS f1
+    FROM arma JOIN ar USING (sensor) JOIN ends USING (sensor))"""
+
+
+@query("k7_arma11_fit", with_(READINGS, LAGGED, ALL_SENSORS, ARMA11.format("lagged")) + """
+SELECT sensor, round(phi, 5) AS phi, round(theta, 5) AS theta, round(s2, 3) AS sigma2 FROM ids LEFT JOIN next USING (sensor)""")
+def k7b(spark, sf):
+    model = arma.fit(readings(spark, sf), ["sensor"], ORDER, p=1, q=1, long_order=1)
+    return model.select("sensor", F.round(F.col("phi")[0], 5).alias("phi"), F.round(F.col("theta")[0], 5).alias("theta"),
+                        F.round("sigma2", 3).alias("sigma2"))
+
+
+@query("k8_arma11_forecast", with_(READINGS, LAGGED, ALL_SENSORS, ARMA11.format("lagged")) + """
+SELECT sensor, h, round(f1 * phi ** (h - 1), 4) AS forecast, CASE WHEN abs(phi) < 1 THEN round(f1 * phi ** (h - 1) + 1.959963984540054 *
+  sqrt(s2 * (1 + (phi + theta) ** 2 * (1 - phi ** (2 * h - 2)) / (1 - phi * phi))), 4) END AS upper
+FROM ids LEFT JOIN next USING (sensor), range(1, 13) r(h)""")
+def k8b(spark, sf):
+    model = arma.fit(readings(spark, sf), ["sensor"], ORDER, p=1, q=1, long_order=1)
+    return ahead(arma.forecast(model, ["sensor"], 12), "sensor", "h", "forecast", "upper")
+
+
 @query("k7_arma_fit")
 def k7(spark, sf):
     return arma.fit(readings(spark, sf), ["sensor"], ORDER, p=3, q=4).select(
-        "sensor", "n", F.col("phi").cast("string").alias("phi"), F.col("theta").cast("string").alias("theta"), "sigma2")
+        "sensor", "n", F.col("phi").cast("string").alias("phi"), F.col("theta").cast("string").alias("theta"), "sigma2", "reason")
 
 
 @query("k8_arma_forecast")
@@ -280,17 +338,24 @@ def k8(spark, sf):
 
 
 DIFFED = f"""dd AS (SELECT sensor, us, event_id, value - lag(value) {W} AS y, value FROM readings),
-  z AS (SELECT sensor, us, event_id, y, lag(y) {W} AS y1 FROM dd WHERE y IS NOT NULL)"""
+  z AS (SELECT sensor, us, event_id, y, lag(y) {W} AS y1, lag(y, 2) {W} AS y2 FROM dd WHERE y IS NOT NULL)"""
+LEVELS = "v AS (SELECT sensor, arg_max(value, (us, event_id)) AS level FROM readings GROUP BY sensor)"
 
 
-@query("k9_arima_110_forecast", with_(READINGS, DIFFED, AR1.format("z"), """
-v AS (SELECT sensor, arg_max(value, (us, event_id)) AS level FROM readings GROUP BY sensor)""") + """
+@query("k9_arima_110_forecast", with_(READINGS, DIFFED, AR1.format("z"), LEVELS) + """
 SELECT sensor, h, round(level + last * phi * (1 - phi ** h) / (1 - phi), 4) AS forecast
-FROM m JOIN l USING (sensor) JOIN v USING (sensor), range(1, 21) r(h)""")
+FROM v LEFT JOIN m USING (sensor) LEFT JOIN l USING (sensor), range(1, 21) r(h)""")
 def k9(spark, sf):
-    model = arma.fit(readings(spark, sf), ["sensor"], ORDER, p=1, d=1).where("n > 3")
-    return arma.forecast(model, ["sensor"], 20, d=1).select(
-        "sensor", F.col("h").cast("long").alias("h"), F.round("forecast", 4).alias("forecast"))
+    model = arma.fit(readings(spark, sf), ["sensor"], ORDER, p=1, d=1)
+    return ahead(arma.forecast(model, ["sensor"], 20, d=1), "sensor", "h", "forecast")
+
+
+@query("k9_arima_111_forecast", with_(READINGS, DIFFED, ARMA11.format("z"), LEVELS) + """
+SELECT sensor, h, round(level + f1 * (1 - phi ** h) / (1 - phi), 4) AS forecast
+FROM v LEFT JOIN next USING (sensor), range(1, 21) r(h)""")
+def k9c(spark, sf):
+    out = arma.arima_forecast(readings(spark, sf), ["sensor"], ORDER, p=1, q=1, long_order=1)
+    return ahead(out, "sensor", "h", "forecast")
 
 
 @query("k9_arima_forecast")
@@ -305,12 +370,41 @@ def monthly_by_nation(spark, sf):
     return resample.resample(orders, ["c_nationkey"], 30 * DAY, F.col("value"))
 
 
-for method in ("ar", "arma", "rbf"):
+MONTHLY = f"""b AS (SELECT c_nationkey, epoch_us(o_orderdate) // 1000000 // {30 * DAY} * {30 * DAY} AS bucket, sum(o_totalprice) AS s
+    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL),
+  span AS (SELECT c_nationkey, unnest(range(min(bucket), max(bucket) + 1, {30 * DAY})) AS bucket FROM b GROUP BY c_nationkey),
+  f AS (SELECT c_nationkey AS sensor, bucket AS us, 0 AS event_id, round(avg(coalesce(s, 0)) OVER (PARTITION BY c_nationkey ORDER BY bucket
+    ROWS UNBOUNDED PRECEDING), 3) AS value FROM span LEFT JOIN b USING (c_nationkey, bucket))"""
+MONTHS = LAGGED.replace("FROM readings", "FROM f")
+
+for method in ("ar", "arma", "arima", "rbf"):
     @query(f"k10_many_series_{method}")
     def k10(spark, sf, method=method):
         return jobs.cell_forecasts(monthly_by_nation(spark, sf), ["c_nationkey"], method, p=3, q=2)
 
 
+@query("k10_many_series_ar1", with_(MONTHLY, MONTHS, AR1.format("lagged")) + """
+SELECT sensor AS c_nationkey, h, round(last * phi ** h, 1) AS forecast FROM m JOIN l USING (sensor), range(1, 13) r(h)""")
+def k10b(spark, sf):
+    out = jobs.cell_forecasts(monthly_by_nation(spark, sf), ["c_nationkey"], "ar", p=1)
+    return ahead(out, "c_nationkey", "h", "forecast", digits=1)
+
+
+@query("k10_many_series_arma11", with_(MONTHLY, MONTHS, ARMA11.format("lagged")) + """
+SELECT sensor AS c_nationkey, h, round(f1 * phi ** (h - 1), 1) AS forecast FROM next, range(1, 13) r(h)""")
+def k10c(spark, sf):
+    out = jobs.cell_forecasts(monthly_by_nation(spark, sf), ["c_nationkey"], "arma", p=1, q=1, long_order=1)
+    return ahead(out, "c_nationkey", "h", "forecast", digits=1)
+
+
+@query("k10_many_series_arima111", with_(MONTHLY, DIFFED.replace("FROM readings", "FROM f"), ARMA11.format("z"),
+                                        LEVELS.replace("FROM readings", "FROM f")) + """
+SELECT sensor AS c_nationkey, h, round(level + f1 * (1 - phi ** h) / (1 - phi), 0) AS forecast FROM next JOIN v USING (sensor), range(1, 4) r(h)""")
+def k10d(spark, sf):
+    out = jobs.cell_forecasts(monthly_by_nation(spark, sf), ["c_nationkey"], "arima", p=1, q=1, n=3, long_order=1)
+    return ahead(out, "c_nationkey", "h", "forecast", digits=0)
+
+
 @query("k11_geo_forecast")
 def k11(spark, sf):
     return jobs.geo_forecast(readings(spark, sf), positions(spark, sf), BOX)
@@ -326,7 +420,29 @@ SELECT 'box' AS series, h, round(level + last * phi * (1 - phi ** h) / (1 - phi)
 FROM m JOIN l USING (sensor), v, range(1, 21) r(h)""")
 def k11b(spark, sf):
     out = jobs.geo_forecast(readings(spark, sf), positions(spark, sf), BOX, p=1, q=0)
-    return out.select("series", F.col("h").cast("long").alias("h"), F.round("forecast", 4).alias("forecast"))
+    return ahead(out, "series", "h", "forecast")
+
+
+@query("k11_geo_forecast_111", with_(
+    READINGS, BOXED, DIFFED.replace("FROM readings", "FROM total"), ARMA11.format("z"),
+    "v AS (SELECT arg_max(value, us) AS level FROM total)") + """
+SELECT 'box' AS series, h, round(level + f1 * (1 - phi ** h) / (1 - phi), 4) AS forecast FROM next, v, range(1, 21) r(h)""")
+def k11c(spark, sf):
+    out = jobs.geo_forecast(readings(spark, sf), positions(spark, sf), BOX, p=1, q=1, long_order=1)
+    return ahead(out, "series", "h", "forecast")
+
+
+AREA = f"""b AS (SELECT t - t % 86400 AS bucket, sum(value) AS s FROM readings WHERE {IN_BOX} GROUP BY ALL),
+  span AS (SELECT unnest(range(min(bucket), max(bucket) + 1, 86400)) AS bucket FROM b),
+  f AS (SELECT 1 AS sensor, bucket AS us, 0 AS event_id, round(avg(coalesce(s, 0)) OVER (ORDER BY bucket ROWS UNBOUNDED PRECEDING), 3) AS value
+    FROM span LEFT JOIN b USING (bucket))"""
+
+
+@query("k12_area_forecast_ar1", with_(READINGS, AREA, MONTHS, AR1.format("lagged")) + """
+SELECT 'area' AS series, h, round(last * phi ** h, 3) AS forecast FROM m JOIN l USING (sensor), range(1, 13) r(h)""")
+def k12c(spark, sf):
+    out = jobs.area_forecast(readings(spark, sf), positions(spark, sf), BOX, DAY, F.col("v.m"), p=1)
+    return ahead(out, "series", "h", "forecast", digits=3)
 
 
 @query("k12_area_series", with_(READINGS, f"""b AS (SELECT t - t % 86400 AS bucket, sum(value) AS s FROM readings

@@ -54,11 +54,11 @@ def alert_job(seconds: int = 10, keys: Sequence[str] = ("sensor",), threshold: f
 
 
 def geo_forecast(df: DataFrame, positions: DataFrame, box: Sequence[float], p: int = 5, q: int = 3,
-                 n: int = 20) -> DataFrame:
+                 n: int = 20, long_order: int | None = None) -> DataFrame:
     """ARIMA over the summed readings of a box."""
     total = (aggregate.sum_by_time(lookup.geo_box(df, positions, box))
              .select(F.lit("box").alias("series"), "ts", "value"))
-    return arma.arima_forecast(total, ["series"], ["ts"], p=p, q=q, d=1, n=n)
+    return arma.arima_forecast(total, ["series"], ["ts"], p=p, q=q, d=1, n=n, long_order=long_order)
 
 
 def area_series(df: DataFrame, positions: DataFrame, box: Sequence[float], seconds: int,
@@ -72,19 +72,19 @@ def area_forecast(df: DataFrame, positions: DataFrame, box: Sequence[float], sec
                   value: Column | None = None, p: int = 3, n: int = 12, origin: int = 0) -> DataFrame:
     """AR forecast of a resampled area."""
     series = area_series(df, positions, box, seconds, value, origin)
-    # One row per bucket: the series is short, so it needs no splitting.
-    return arma.forecast(arma.fit(series, ["series"], ["bucket"], p=p, target_rows=None), ["series"], n)
+    return arma.forecast(arma.fit(series, ["series"], ["bucket"], p=p), ["series"], n)
 
 
 def cell_forecasts(resampled: DataFrame, keys: Sequence[str], method: str, p: int = 3, q: int = 4,
-                   n: int = 12) -> DataFrame:
-    """AR, ARMA or RBF forecast of many resampled series in one job."""
+                   n: int = 12, long_order: int | None = None) -> DataFrame:
+    """AR, ARMA, ARIMA or RBF forecast of many resampled series in one job."""
     if method == "rbf":
         return rbf.forecast_index(resampled, keys, ["bucket"], n=n)
-    if method not in ("ar", "arma"):
+    if method not in ("ar", "arma", "arima"):
         raise ValueError(f"unknown method {method!r}")
-    model = arma.fit(resampled, keys, ["bucket"], p=p, q=q if method == "arma" else 0, target_rows=None)
-    return arma.forecast(model, keys, n)
+    d = int(method == "arima")
+    model = arma.fit(resampled, keys, ["bucket"], p=p, q=0 if method == "ar" else q, d=d, long_order=long_order)
+    return arma.forecast(model, keys, n, d)
 
 
 def grid_readings(events: DataFrame, owner: str = "owner", step: int = 35) -> DataFrame:

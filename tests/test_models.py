@@ -81,9 +81,52 @@ def test_explosive_model_has_no_interval(spark):
     assert all(r["lower"] is None and r["forecast"] > 1.1 ** 59 for r in rows)
 
 
-def test_short_series_are_left_out(spark):
-    df = frame(spark, a=np.arange(3.0), b=simulate([0.4], [], 100, 4))
-    assert {r["k"] for r in arma.fit(df, ["k"], ["t"], p=3, q=1).collect()} == {"b"}
+def test_step_matrix_is_the_direct_one(spark):
+    y = simulate([0.5, 0.2], [], 300, 1)
+    row = arma.moment_sums(frame(spark, a=y), ["k"], ["t"], "value", 5).first()
+    for k in (1, 3, 5):
+        basis = np.array([[*(y[t - i] - y[t - i - 1] for i in range(k)), y[t - k]] for t in range(k, len(y))])
+        got = arma.step_matrices(np.array([row["yy"]]), np.array([row["ys"][:k]]), np.array([row["ss"][:k]]),
+                                 np.array([row["head"][:k + 1]]), np.array([row["tail"][:k + 1]]))[0]
+        assert np.allclose(got, basis.T @ basis)
+
+
+@pytest.mark.parametrize("n", [12, 24, 33, 200])
+def test_hannan_rissanen_by_direct_regressions(spark, n):
+    y, p, q = simulate([0.5], [0.3], n, 7), 2, 1
+    model = arma.fit(frame(spark, a=y, b=simulate([0.5], [], 900, 3)), ["k"], ["t"], p=p, q=q).where("k = 'a'").first()
+    m = arma.long_ar_order(n, p, q)
+    k = max(p, m + q)
+    lag = lambda z, j: z[k - j:len(z) - j]
+    pi = np.linalg.lstsq(np.column_stack([lag(y, j) for j in range(1, m + 1)]), lag(y, 0), rcond=None)[0]
+    e = np.full(n, np.nan)
+    for t in range(m, n):
+        e[t] = y[t] - sum(c * y[t - 1 - j] for j, c in enumerate(pi))
+    x = np.column_stack([*(lag(y, j) for j in range(1, p + 1)), *(lag(e, j) for j in range(1, q + 1))])
+    want = np.linalg.lstsq(x, lag(y, 0), rcond=None)[0]
+    assert np.allclose(model["phi"] + model["theta"], want, atol=1e-8)
+    assert model["recent_e"][0] == pytest.approx(e[-1]) and model["reason"] is None
+
+
+@pytest.mark.parametrize("level", [1e6, 1e8])
+def test_high_levels_keep_their_precision(spark, level):
+    y = level + np.random.default_rng(1).normal(size=2000)
+    model = arma.fit(frame(spark, a=y), ["k"], ["t"], p=3).first()
+    x = np.column_stack([y[2:-1] - y[1:-2], y[1:-2] - y[:-3], y[:-3]])
+    c = np.linalg.lstsq(x / np.abs(x).max(axis=0), np.diff(y)[2:], rcond=None)[0] / np.abs(x).max(axis=0)
+    assert np.allclose(model["phi"], [1 + c[0], c[1] - c[0], c[2] - c[1]], atol=1e-5)
+    assert sum(model["phi"]) == pytest.approx(1, abs=1e-4)
+
+
+def test_no_series_is_lost(spark):
+    df = frame(spark, **{f"s{n}": simulate([0.4], [0.2], n, n) for n in (1, 2, 3, 5, 8, *range(12, 41))}, long=simulate([0.4], [], 100_000, 4))
+    for p, q, d in ((3, 0, 0), (3, 4, 0), (5, 3, 1)):
+        rows = {r["k"]: r for r in arma.fit(df, ["k"], ["t"], p=p, q=q, d=d).collect()}
+        assert len(rows) == 35
+        assert all(r["reason"] is not None if r["phi"] is None else r["reason"] in (None, "coefficients not unique") for r in rows.values())
+        assert rows["s3"]["phi"] is None and all(rows[f"s{n}"]["phi"] is not None for n in range(24, 41))
+    ahead = arma.arima_forecast(df, ["k"], ["t"], n=2).where("k in ('s3', 's40')").orderBy("k", "h").collect()
+    assert [r["forecast"] is None for r in ahead] == [True, True, False, False]
 
 
 @pytest.mark.parametrize("target", [None, 100])

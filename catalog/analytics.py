@@ -78,6 +78,22 @@ def j2b(spark, sf):
     return run_stream(spark, count_job(600, 60), event_stream(spark, sf))[0]
 
 
+UNEVEN = """s AS (SELECT t - t % 250 - 250 * i AS window_start, site FROM readings, range(3) r(i) WHERE t - t % 250 - 250 * i + 600 > t)"""
+
+
+@query("j2_uneven_slide_batch", with_(READINGS, UNEVEN) + """
+SELECT window_start, window_start + 600 AS window_end, site, count(*) AS n FROM s GROUP BY ALL""")
+def j2c(spark, sf):
+    return count_job(600, 250).run_batch(readings(spark, sf))
+
+
+@query("j2_uneven_slide_stream", with_(READINGS, UNEVEN) + """
+SELECT * FROM (SELECT window_start, window_start + 600 AS window_end, site, count(*) AS n FROM s GROUP BY ALL)
+WHERE """ + CLOSED.format(600))
+def j2d(spark, sf):
+    return run_stream(spark, count_job(600, 250), event_stream(spark, sf))[0]
+
+
 @query("j13_restarted_stream", with_(READINGS) + """
 SELECT * FROM (SELECT t - t % 86400 AS window_start, t - t % 86400 + 86400 AS window_end, site, count(*) AS n
   FROM readings GROUP BY ALL) WHERE """ + CLOSED.format(DAY))
@@ -139,7 +155,7 @@ def j7(spark, sf):
 
 
 @query("j8_collect", with_(READINGS, RISKS, PEAKS, CLASSED, BROAD) + """
-SELECT 'cluster_eval_status' AS name, 'ddos' AS type, window_start + 86400 AS t,
+SELECT 'attack_share' AS name, 'ddos' AS type, window_start + 86400 AS t,
   round(attack_broadness, 9) AS value FROM status""")
 def j8(spark, sf):
     out = jobs.cluster_status_job(DAY).run_batch(risk_series(spark, sf))
@@ -216,9 +232,9 @@ NORMAL = """p AS (SELECT *, CASE WHEN stat <= -1.61 THEN 2.1659 + 1.4412 * stat
 
 
 @query("k4_stationarity", with_(READINGS, LAGGED, ADF, NORMAL) + """
-SELECT sensor, round(pvalue, 6) AS pvalue, CASE WHEN size <= 60 THEN 'small dataset'
-  WHEN pvalue < 0.05 THEN 'stationary (by significance level)' WHEN stat > top THEN 'non-stationary'
-  ELSE 'stationary (by critical values)' END AS feature FROM v""")
+SELECT sensor, round(pvalue, 6) AS pvalue, CASE WHEN size <= 60 THEN 'too few points'
+  WHEN pvalue < 0.05 THEN 'unit root rejected at 5 %' WHEN stat > top THEN 'unit root not rejected'
+  ELSE 'unit root rejected at 10 % only' END AS feature FROM v""")
 def k4(spark, sf):
     return stationarity.stationarity(readings(spark, sf), ["sensor"], ORDER, min_records=60).select(
         "sensor", F.round("pvalue", 6).alias("pvalue"), "feature")

@@ -89,7 +89,7 @@ def risk_series(spark: SparkSession, sf: str) -> DataFrame:
     r = readings(spark, sf).where(F.col("site").isin("click", "view"))
     risk = F.when(F.col("site") == "click", "ddos").otherwise("overload")
     labels = F.create_map(
-        F.lit("__name__"), F.lit("node_eval_status"), F.lit("instance"), F.col("labels")["instance"],
+        F.lit("__name__"), F.lit("instance_risk"), F.lit("instance"), F.col("labels")["instance"],
         F.lit("risk"), risk, F.lit("when"), F.when(F.col("v.alt") < 80, "now").otherwise("future"))
     return r.select(labels.alias("labels"), "ts", (F.col("value") / 500).alias("value"))
 

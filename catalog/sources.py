@@ -112,9 +112,8 @@ ALERTS = with_(READINGS, """c AS (SELECT t - t % 86400 AS window_start, swimlane
     WHERE CASE WHEN mad = 0 THEN value <> med ELSE abs(value - med) / (1.4826 * mad) > 3.5 END GROUP BY ALL),
   i AS (SELECT window_start, sensor, count(*) AS items FROM c GROUP BY ALL),
   alerts AS (SELECT window_start, sensor, CAST(0 AS BIGINT) AS page, CAST(sum(n) AS BIGINT) AS outliers, items,
-    'Found ' || CAST(sum(n) AS BIGINT) || ' outliers among ' || items || ' items: '
-    || string_agg(printf('%.2f', value), ', ' ORDER BY value)
-    || '. Task: detect_outliers (tumbling 86400s)' AS message
+    '{"task":"detect_outliers","seconds":86400,"items":' || items || ',"outliers":' || CAST(sum(n) AS BIGINT) || ',"values":['
+    || string_agg('"' || printf('%.2f', value) || '"', ',' ORDER BY value) || ']}' AS message
     FROM o JOIN i USING (window_start, sensor) GROUP BY window_start, sensor, items)""")
 
 

@@ -100,7 +100,8 @@ def tumbling_start(ts: Column, seconds: int, origin: int = 0) -> Column:
 
 
 def sliding_starts(ts: Column, seconds: int, slide: int) -> Column:
-    """Array with the epoch starts of all sliding windows that hold ``ts``."""
+    """Array with the epoch starts of all sliding windows that hold ``ts``; starts are multiples of ``slide``, which need not
+    divide the width."""
     last = tumbling_start(ts, slide)
-    n = seconds // slide
-    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: last - i * F.lit(slide))
+    starts = F.transform(F.sequence(F.lit(0), F.lit(-(-seconds // slide) - 1)), lambda i: last - i * F.lit(slide))
+    return starts if seconds % slide == 0 else F.filter(starts, lambda s: s + F.lit(seconds) > F.unix_seconds(ts))

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.scalars import tumbling_start
+from gaugeworks.operators.series import TARGET_ROWS, with_next, with_running
+
+GAP_PART = 10_000
 
 
 def bucket_totals(df: DataFrame, keys: Sequence[str], seconds: int, value: Column | None = None,
@@ -23,26 +26,28 @@ def bucket_totals(df: DataFrame, keys: Sequence[str], seconds: int, value: Colum
     return fill_gaps(sums, keys, seconds) if fill else sums
 
 
-def fill_gaps(sums: DataFrame, keys: Sequence[str], seconds: int) -> DataFrame:
+def fill_gaps(sums: DataFrame, keys: Sequence[str], seconds: int, target_rows: int | None = TARGET_ROWS) -> DataFrame:
     """Insert zero buckets after each bucket up to the next one of the same series.
 
-    Works on bucket rows, whose number per series is bounded by time over bucket width.
+    Works on bucket rows, whose number per series is bounded by time over bucket width; a series with very many is split
+    along time. A gap is written out in two steps, so that no array holds more than ``GAP_PART`` buckets.
     """
-    nxt = F.lead("bucket").over(Window.partitionBy(*keys).orderBy("bucket"))
-    last = F.greatest(F.coalesce(nxt - F.lit(seconds), F.col("bucket")), F.col("bucket"))
-    return (sums.withColumn("_first", F.col("bucket"))
-            .withColumn("_all", F.sequence(F.col("bucket"), last, F.lit(seconds).cast("long")))
-            .select(*keys, F.explode("_all").alias("bucket"), "_first", "total")
-            .withColumn("total", F.when(F.col("bucket") == F.col("_first"), F.col("total"))
-                        .otherwise(F.lit(0.0))).drop("_first"))
-
-
-def running_mean(totals: DataFrame, keys: Sequence[str], digits: int = 3) -> DataFrame:
+    ahead = with_next(sums, keys, "bucket", target_rows)
+    last = F.coalesce(F.col("_next") - F.lit(seconds), F.col("bucket"))
+    part = F.lit(seconds * GAP_PART).cast("long")
+    return (ahead.withColumn("_first", F.col("bucket")).withColumn("_last", F.greatest(last, F.col("bucket")))
+            .withColumn("_part", F.explode(F.sequence(F.col("_first"), F.col("_last"), part)))
+            .withColumn("bucket", F.explode(F.sequence(F.col("_part"), F.least(F.col("_last"), F.col("_part") + part - F.lit(seconds)),
+                                                       F.lit(seconds).cast("long"))))
+            .withColumn("total", F.when(F.col("bucket") == F.col("_first"), F.col("total")).otherwise(F.lit(0.0)))
+            .select(*keys, "bucket", "total"))
+
+
+def running_mean(totals: DataFrame, keys: Sequence[str], digits: int = 3, target_rows: int | None = TARGET_ROWS) -> DataFrame:
     """Mean of the bucket totals so far, the accumulator being carried from bucket to bucket."""
-    w = (Window.partitionBy(*keys).orderBy("bucket")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    mean = F.sum("total").over(w) / F.count(F.lit(1)).over(w)
-    return totals.withColumn("value", F.round(mean, digits))
+    run = with_running(totals, keys, ["bucket"], "total", target_rows)
+    mean = F.col("running_sum") / F.col("running_count")
+    return run.withColumn("value", F.round(mean, digits)).drop("running_sum", "running_count")
 
 
 def resample(df: DataFrame, keys: Sequence[str], seconds: int, value: Column | None = None,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -81,16 +80,25 @@ def _utc(text: str) -> dt.datetime:
     return t if t.tzinfo else t.replace(tzinfo=dt.timezone.utc)
 
 
-def recent(df: DataFrame, duration: str, anchor: dt.datetime | None = None, ts: str = "ts") -> DataFrame:
+def recent(df: DataFrame, duration: str, anchor: dt.datetime | None = None, ts: str = "ts",
+           slice_seconds: int | None = None) -> DataFrame:
     """Rows not older than ``duration`` before the anchor, by default the latest row of ``df``.
 
-    The default anchor is a scalar subquery over the time column alone.
+    On a table partitioned by ``slice`` give its width: the range then prunes partitions, and the default anchor, a
+    scalar subquery over the time column, reads the last slice only.
     """
-    span = F.make_dt_interval(secs=F.lit(duration_seconds(duration)))
+    seconds = duration_seconds(duration)
+    span = F.make_dt_interval(secs=F.lit(seconds))
     if anchor is not None:
-        return df.where(F.col(ts) >= F.lit(anchor) - span)
-    newest = df.agg(F.max(ts).alias("newest")).scalar()
-    return df.where(F.col(ts) >= newest - span)
+        out = df.where(F.col(ts) >= F.lit(anchor) - span)
+        return out.where(F.col("slice") >= (int(anchor.timestamp()) - seconds) // slice_seconds) if slice_seconds else out
+    last = df.where(F.col("slice") == df.agg(F.max("slice").alias("last")).scalar()) if slice_seconds else df
+    newest = last.agg(F.max(ts).alias("newest")).scalar()
+    out = df.where(F.col(ts) >= newest - span)
+    if slice_seconds:
+        edge = last.agg(F.floor((F.unix_seconds(F.max(ts)) - seconds) / slice_seconds).alias("edge")).scalar()
+        out = out.where(F.col("slice") >= edge)
+    return out
 
 
 def min_records(df: DataFrame, keys: Sequence[str], more_than: int) -> DataFrame:
@@ -101,30 +109,40 @@ def min_records(df: DataFrame, keys: Sequence[str], more_than: int) -> DataFrame
 
 @dataclass(frozen=True)
 class Matcher:
-    """A label test: ``EQ``, ``NEQ``, ``RE`` or ``NRE``; patterns cover the whole label text."""
+    """A label test: ``EQ``, ``NEQ``, ``RE`` or ``NRE``; patterns (Java's dialect) cover the whole label text."""
 
     label: str
     value: str
     rule: str = "EQ"
 
     def column(self, labels: str = "labels") -> Column:
-        text = F.coalesce(F.try_element_at(F.col(labels), F.lit(self.label)), F.lit(""))
+        return self.test(F.coalesce(F.try_element_at(F.col(labels), F.lit(self.label)), F.lit("")))
+
+    def test(self, text: Column) -> Column:
         if self.rule in ("EQ", "NEQ"):
             hit = text == self.value
         elif self.rule in ("RE", "NRE"):
-            re.compile(self.value)
-            hit = text.rlike(f"^(?:{self.value})$")
+            hit = text.rlike(rf"\A(?:{self.value})\z")
         else:
             raise ValueError(f"unknown rule {self.rule!r}")
         return ~hit if self.rule.startswith("N") else hit
 
 
-def select_metrics(df: DataFrame, from_ms: int, to_ms: int, matchers: Sequence[Matcher]) -> DataFrame:
-    """Metric rows within ``[from_ms, to_ms]`` that pass all matchers."""
+def select_metrics(df: DataFrame, from_ms: int, to_ms: int, matchers: Sequence[Matcher],
+                   slice_seconds: int | None = None, by: dict[str, str] | None = None) -> DataFrame:
+    """Metric rows within ``[from_ms, to_ms]`` that pass all matchers.
+
+    On a partitioned table ``slice_seconds`` makes the range prune slices, and ``by`` names the partition column that holds
+    a label (``{"__name__": "site"}``): a test on that label then prunes partitions, too.
+    """
     out = df.where(F.col("ts").between(F.timestamp_millis(F.lit(from_ms)),
                                        F.timestamp_millis(F.lit(to_ms))))
+    if slice_seconds:
+        out = out.where(F.col("slice").between(from_ms // 1000 // slice_seconds, to_ms // 1000 // slice_seconds))
     for m in matchers:
         out = out.where(m.column())
+        if m.label in (by or {}):
+            out = out.where(m.test(F.coalesce(F.col(by[m.label]), F.lit(""))))
     return out
 
 

@@ -1,7 +1,7 @@
 """Per-series order operators that hold up when one series has a large share of all rows.
 
 A plain ``Window.partitionBy(series)`` puts a whole series into one task. Here a series above
-``target_rows`` is first split along its order column into chunks of about that size; work runs per
+``target_rows`` is first split along its order columns into chunks of about that size; work runs per
 (series, chunk), and the little that crosses a chunk edge (the last k rows, a running total) is carried
 over by a table with a few rows per chunk.
 """
@@ -12,7 +12,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gaugeworks.session import cut
 
@@ -22,36 +21,31 @@ BROADCAST_ROWS = 200_000
 _FEW_LAGS = 6
 
 
-def _position(df: DataFrame, order: str) -> Column:
-    if isinstance(df.schema[order].dataType, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(order).cast("timestamp")).cast("double")
-    return F.col(order).cast("double")
-
-
-def split_hot(df: DataFrame, keys: Sequence[str], order: str,
+def split_hot(df: DataFrame, keys: Sequence[str], order: Sequence[str],
               target_rows: int | None = TARGET_ROWS) -> tuple[DataFrame, int]:
     """Add ``_chunk`` (and ``_hot`` if any series is split) and say about how many chunks split series have.
 
-    One counting job (partial aggregation, two columns read) finds the series above ``target_rows``.
-    There are at most rows / target_rows of those. Without any, ``_chunk`` is the constant 0 and the
-    plan gains nothing. ``target_rows=None`` skips the count for series known to be short.
+    One counting job (partial aggregation, key columns only) finds the series above ``target_rows``.
+    There are at most rows / target_rows of those. Their rows are range-partitioned by keys and all order columns, whose
+    sampled bounds follow the rows however bunched their times are, and written out with their partition as
+    chunk. Without any hot series ``_chunk`` is the constant 0 and the plan gains nothing. ``target_rows=None`` skips the
+    count.
     """
     keys = list(keys)
     if target_rows is None:
         return df.withColumn("_chunk", F.lit(0).cast("long")), 0
-    pos = _position(df, order)
-    hot = (df.select(*keys, pos.alias("_pos")).groupBy(*keys)
-           .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_from"), F.max("_pos").alias("_to"))
-           .where(F.col("_n") > target_rows)
-           .select(*keys, "_from", "_n",
-                   ((F.col("_to") - F.col("_from") + 1.0) * target_rows / F.col("_n")).alias("_width")))
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > target_rows)
     n_hot, n_rows = hot.agg(F.count(F.lit(1)), F.sum("_n")).first()
     if n_hot == 0:
         return df.withColumn("_chunk", F.lit(0).cast("long")), 0
-    side = _if_small(hot.drop("_n"), n_hot)
-    chunk = F.coalesce(F.floor((pos - F.col("_from")) / F.col("_width")), F.lit(0)).cast("long")
-    split = df.join(side, keys, "left").withColumn("_chunk", chunk).withColumn("_hot", F.col("_width").isNotNull())
-    return split.drop("_from", "_width"), n_rows // target_rows + 2 * n_hot
+    side = _if_small(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot")), n_hot)
+    same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
+    marked = df.join(side, same, "left").drop(*[f"_hot_{k}" for k in keys]).withColumn("_hot", F.col("_hot").isNotNull())
+    parts = max(2, -(-n_rows // target_rows))
+    pieces = cut(marked.where("_hot").repartitionByRange(parts, *keys, *order)
+                 .withColumn("_chunk", F.spark_partition_id().cast("long")))
+    rest = marked.where(~F.col("_hot")).withColumn("_chunk", F.lit(0).cast("long"))
+    return pieces.unionByName(rest), parts + n_hot
 
 
 def _if_small(df: DataFrame, rows: int) -> DataFrame:
@@ -63,10 +57,10 @@ def with_lags(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: s
               target_rows: int | None = TARGET_ROWS, name: str = "lags") -> DataFrame:
     """Add the array ``name`` of the up to ``k`` earlier values of the series, nearest first.
 
-    ``order`` must be a total order within a series; its first column is the one chunks are cut along.
+    ``order`` must be a total order within a series.
     """
     keys, order = list(keys), list(order)
-    split, chunks = split_hot(df, keys, order[0], target_rows)
+    split, chunks = split_hot(df, keys, order, target_rows)
     w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     # The struct keeps null values in the list.
     item = F.struct(F.col(value).alias("x"))
@@ -107,7 +101,7 @@ def with_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
                  target_rows: int | None = TARGET_ROWS) -> DataFrame:
     """Add ``running_count`` (the 1-based time index) and, given ``value``, ``running_sum``."""
     keys, order = list(keys), list(order)
-    split, chunks = split_hot(df, keys, order[0], target_rows)
+    split, chunks = split_hot(df, keys, order, target_rows)
     w = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     total = F.sum(value) if value else F.sum(F.lit(0.0))
@@ -130,6 +124,20 @@ def with_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
     return out.drop("_chunk", "_hot")
 
 
+def with_next(df: DataFrame, keys: Sequence[str], column: str, target_rows: int | None = TARGET_ROWS,
+              name: str = "_next") -> DataFrame:
+    """Add the following value of the series in the order of ``column`` itself; null on its last row."""
+    keys = list(keys)
+    split, chunks = split_hot(df, keys, [column], target_rows)
+    out = split.withColumn(name, F.lead(column).over(Window.partitionBy(*keys, "_chunk").orderBy(column)))
+    if chunks:
+        firsts = split.where("_hot").groupBy(*keys, "_chunk").agg(F.min(column).alias("_first"))
+        after = firsts.select(*keys, "_chunk", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_chunk")).alias("_after"))
+        out = (out.join(_if_small(after, chunks), [*keys, "_chunk"], "left")
+               .withColumn(name, F.coalesce(name, "_after")).drop("_after"))
+    return out.drop("_chunk", "_hot")
+
+
 def with_page(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int,
               target_rows: int | None = TARGET_ROWS, name: str = "page") -> DataFrame:
     """Number consecutive pages of ``rows`` rows within a series, from 0.

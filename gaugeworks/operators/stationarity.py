@@ -21,10 +21,10 @@ P_SMALL = (2.1659, 1.4412, 0.038269)
 P_LARGE = (1.7339, 0.93202, -0.12745, -0.010368)
 P_SPLIT, P_MIN, P_MAX = -1.61, -18.83, 2.74
 
-SMALL = "small dataset"
-BY_P = "stationary (by significance level)"
-BY_CRITICAL = "stationary (by critical values)"
-NON_STATIONARY = "non-stationary"
+SMALL = "too few points"
+BY_P = "unit root rejected at 5 %"
+BY_CRITICAL = "unit root rejected at 10 % only"
+NON_STATIONARY = "unit root not rejected"
 
 
 def _poly(x: Column, coefs: tuple[float, ...]) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,23 +27,23 @@ def outlier_job(seconds: int = 10, keys: Sequence[str] = ("sensor",), threshold:
 
 def outlier_alerts(closed: DataFrame, seconds: int = 10, keys: Sequence[str] = ("sensor",),
                    threshold: float = outliers.THRESHOLD, name: str = "detect_outliers",
-                   page_rows: int = 1000) -> DataFrame:
+                   page_rows: int = 1000, render: Callable[[Column], Column] = F.to_json) -> DataFrame:
     """Message for each window that has outliers; ``closed`` holds the state rows of the windows.
 
-    A window with more than ``page_rows`` distinct outlying values gets several messages, by ``page``.
+    ``render`` makes the text from a struct of ``task, seconds, items, outliers, values``. A window with more than
+    ``page_rows`` distinct outlying values gets several messages, by ``page``.
     """
     group = ["window_start", *keys]
-    # Outliers are few and read three times below.
+    # The state is read three times below, and outliers are few.
+    closed = cut(closed)
     found = cut(outliers.mad_outliers(closed, group, "value", "n", threshold))
     listed = (with_page(found.select(*group, "value"), group, ["value"], page_rows)
               .groupBy(*group, "page").agg(F.sort_array(F.collect_list("value")).alias("_v")))
     totals = (closed.groupBy(*group).agg(F.sum("n").alias("items"))
               .join(found.groupBy(*group).agg(F.sum("n").alias("outliers")), group))
-    text = F.array_join(F.transform("_v", lambda v: F.format_string("%.2f", v)), ", ")
-    return (listed.join(totals, group)
-            .select(*group, "page", "outliers", "items", F.format_string(
-                f"Found %d outliers among %d items: %s. Task: {name} (tumbling {seconds}s)",
-                "outliers", "items", text).alias("message")))
+    values = F.transform("_v", lambda v: F.format_string("%.2f", v)).alias("values")
+    fields = F.struct(F.lit(name).alias("task"), F.lit(seconds).alias("seconds"), "items", "outliers", values)
+    return listed.join(totals, group).select(*group, "page", "outliers", "items", render(fields).alias("message"))
 
 
 def alert_job(seconds: int = 10, keys: Sequence[str] = ("sensor",), threshold: float = outliers.THRESHOLD,

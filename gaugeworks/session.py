@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,14 @@ def build_session(app: str = "gaugeworks", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to all workers; needed where it is not installed on the machines of the cluster. The functions of
+    some operators run in Python workers, which import it."""
+    root = Path(__file__).resolve().parent
+    made = shutil.make_archive(str(Path(tempfile.mkdtemp(prefix="gaugeworks-")) / "gaugeworks"), "zip", root.parent, root.name)
+    spark.sparkContext.addPyFile(made)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 

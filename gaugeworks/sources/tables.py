@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions import geo
 from gaugeworks.functions.scalars import duration_seconds
-from gaugeworks.operators.select import PAGE_ROWS, point_lists
+from gaugeworks.operators.select import PAGE_ROWS, point_lists, recent
 
 
 def with_slice(df: DataFrame, seconds: int, ts: str = "ts") -> DataFrame:
@@ -30,11 +30,10 @@ def write_readings(df: DataFrame, path: str, slice_seconds: int, mode: str = "ap
      .write.mode(mode).partitionBy(*cols).parquet(path))
 
 
-def expire(df: DataFrame, keep: str = "30d", anchor: dt.datetime | None = None) -> DataFrame:
-    """Rows not older than ``keep`` before the anchor (default: the newest row)."""
-    span = F.make_dt_interval(secs=F.lit(duration_seconds(keep)))
-    newest = F.lit(anchor) if anchor is not None else df.agg(F.max("ts").alias("newest")).scalar()
-    return df.where(F.col("ts") >= newest - span)
+def expire(df: DataFrame, keep: str = "30d", anchor: dt.datetime | None = None, slice_seconds: int | None = None) -> DataFrame:
+    """Rows not older than ``keep`` before the anchor (default: the newest row). With the width of its slices, a
+    partitioned table is read from the retention edge on."""
+    return recent(df, keep, anchor, slice_seconds=slice_seconds)
 
 
 def expired_slices(df: DataFrame, slice_seconds: int, keep: str, anchor: dt.datetime) -> DataFrame:

@@ -42,11 +42,22 @@ def test_running_totals(skewed, target):
 
 def test_split_is_only_made_for_hot_series(skewed):
     df, _ = skewed
-    split, hot = series.split_hot(df, ["k"], "t", 40)
+    split, hot = series.split_hot(df, ["k"], ["t"], 40)
     assert hot
     chunks = {r["k"]: r["n"] for r in split.groupBy("k").agg(F.count_distinct("_chunk").alias("n")).collect()}
     assert chunks["hot"] > 3 and chunks["a"] == chunks["b"] == 1
-    assert not series.split_hot(df, ["k"], "t", 5000)[1]
+    assert not series.split_hot(df, ["k"], ["t"], 5000)[1]
+
+
+def test_split_holds_under_bursts_and_far_times(spark):
+    far = F.when(F.col("id") == 7, 10**15).when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 500)
+    df = spark.range(50_000).select(F.lit("k").alias("k"), far.alias("t"), "id")
+    split, _ = series.split_hot(df, ["k"], ["t", "id"], 1000)
+    assert split.groupBy("_chunk").count().agg(F.max("count")).first()[0] <= 2000
+    got = series.with_running(df, ["k"], ["t", "id"], target_rows=1000)
+    assert got.select("running_count").distinct().count() == 50_000
+    ahead = series.with_next(df.select("k", F.col("id").alias("t")), ["k"], "t", 1000)
+    assert ahead.where("_next = t + 1").count() == 49_999
 
 
 def test_lags_keep_null_values(spark):

@@ -1,3 +1,4 @@
+import json
 import datetime as dt
 
 import numpy as np
@@ -147,8 +148,9 @@ def test_cluster_status(spark):
     status = risk.broadness(peaks).first()
     assert status["attack_broadness"] == pytest.approx(5 / 11)
     rep = risk.cluster_report(peaks).first()["report"]
-    assert "overloaded(3)=[o0, o1, o2]" in rep and "ddos(4)=" in rep and "both(1)=[b0]" in rep
-    assert "3 x (0.10, 0.10)" in rep and "4 x (0.90, 0.22)" in rep
+    rep = json.loads(rep)
+    assert rep["overloaded"] == {"n": 3, "members": ["o0", "o1", "o2"]} and rep["ddos"]["n"] == 4 and rep["both"]["members"] == ["b0"]
+    assert [(c["size"], c["ddos"], c["overload"]) for c in rep["clusters"]][:1] == [(3, 0.1, 0.1)] and rep["clusters"][-1]["size"] == 4
     assert risk.broadness(peaks.where("instance like 's%'")).first()["attack_broadness"] == 0
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gaugeworks.llm.text import WORD, WordHashes, encoded, mix64
+from gaugeworks.llm.text import encoded, mix64, word_hashes, words_of
 from gaugeworks.session import cut
 
 BASE, HASHES, BITS_PER_ENTRY, MAX_BITS, MU = 1.5, 6, 8, 2**31, 200.0
@@ -33,7 +33,8 @@ BASE, HASHES, BITS_PER_ENTRY, MAX_BITS, MU = 1.5, 6, 8, 2**31, 200.0
 FREQUENT = 2**18
 _SEGMENT_BITS = 2**20
 _SAMPLE = 256
-_GROUP = 1_000_000
+#: Tokens of a group of texts; pairs that a task holds before it passes them on.
+_GROUP, _HELD = 1_000_000, 2_500_000
 #: No word is a blank.
 _END = b" "
 _MOST_LEVELS = 128
@@ -115,16 +116,16 @@ class Model:
     mu: float
 
 
-def _tokens(batches: Iterator[pa.RecordBatch], hashes: WordHashes, column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def _tokens(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Groups of rows with the hashes of all their tokens and the number of tokens of each row."""
     for b in batches:
         at = 0
         parts, lens = [], []
         size = 0
         for i, raw in enumerate(encoded(b.column(column))):
-            words = WORD.findall(raw.lower()) if raw else []
+            words = words_of(raw and raw.lower())
             words.append(_END)
-            parts.append(hashes.of(words))
+            parts.append(word_hashes(words))
             lens.append(len(words))
             size += len(words)
             if size >= _GROUP:
@@ -134,14 +135,24 @@ def _tokens(batches: Iterator[pa.RecordBatch], hashes: WordHashes, column: int)
             yield b.slice(at), np.concatenate(parts), np.array(lens)
 
 
+def _summed(held: list[np.ndarray], counts: list[np.ndarray], segments: int) -> pa.RecordBatch:
+    """Counts of n-grams from several groups, one row per n-gram."""
+    keys, n = np.concatenate(held), np.concatenate(counts)
+    sort = np.argsort(keys, kind="stable")
+    keys, n = keys[sort], n[sort]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    keys = keys[first]
+    return pa.RecordBatch.from_arrays([pa.array(segment_of(keys, segments).astype(np.int32)), pa.array(keys.view(np.int64)),
+                                       pa.array(np.add.reduceat(n, first))], ["segment", "key", "n"])
+
+
 def learn(docs: DataFrame, text: str = "text", max_bits: int = MAX_BITS, frequent: int = FREQUENT, mu: float = MU) -> tuple[Model, DataFrame]:
     """``(model, word counts)``; the counts are ``key, n``, one row per distinct token."""
     source = docs.select(F.col(f"`{text}`").alias("text"))
-    hashes = WordHashes()
-    end = np.uint64(hashes[_END])
+    end = word_hashes([_END])[0]
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, h, _ in _tokens(batches, hashes, 0):
+        for _, h, _ in _tokens(batches, 0):
             pairs = pair_keys(h, end)
             pairs = pairs[pairs % np.uint64(_SAMPLE) == 0]
             for kind, keys in ((1, h), (2, pairs)):
@@ -170,10 +181,17 @@ def learn(docs: DataFrame, text: str = "text", max_bits: int = MAX_BITS, frequen
     segments = max(1, min(max_bits, entries * BITS_PER_ENTRY) // _SEGMENT_BITS + 1)
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, h, _ in _tokens(batches, hashes, 0):
+        held, counts, size = [], [], 0
+        for _, h, _ in _tokens(batches, 0):
             keys, n = np.unique(pair_keys(h, end), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(segment_of(keys, segments).astype(np.int32)), pa.array(keys.view(np.int64)), pa.array(n)],
-                                             ["segment", "key", "n"])
+            held.append(keys)
+            counts.append(n)
+            size += len(keys)
+            if size > _HELD:
+                yield _summed(held, counts, segments)
+                held, counts, size = [], [], 0
+        if held:
+            yield _summed(held, counts, segments)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -191,7 +209,8 @@ def learn(docs: DataFrame, text: str = "text", max_bits: int = MAX_BITS, frequen
         return pd.DataFrame({"segment": [pdf["segment"].iloc[0]], "data": [data.tobytes()]})
 
     data = np.zeros(segments * (_SEGMENT_BITS // 8), np.uint8)
-    for r in summed.groupBy("segment").applyInPandas(build, "segment int, data binary").toLocalIterator():
+    filled = cut(summed.groupBy("segment").applyInPandas(build, "segment int, data binary"))
+    for r in filled.toLocalIterator():
         at = r.segment * (_SEGMENT_BITS // 8)
         data[at:at + _SEGMENT_BITS // 8] = np.frombuffer(r.data, np.uint8)
     top = vocabulary.where(F.col("n") >= least_frequent).orderBy("key").toArrow() if tokens else None
@@ -212,7 +231,6 @@ def score(docs: DataFrame, model: Model, rare: DataFrame, text: str = "text", ke
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in made]
     passed = docs.select(*[F.col(f"`{c}`").alias(f"in_{c}") for c in keep], F.col(f"`{text}`").alias("text"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    hashes = WordHashes()
     names = passed.columns[:-1]
     out = "row long, n_tokens long, known long, logs double, score double, words array<long>, times array<int>"
 
@@ -220,7 +238,7 @@ def score(docs: DataFrame, model: Model, rare: DataFrame, text: str = "text", ke
         m = sent.value
         value, total = count_of_level(), float(m.tokens + m.distinct + 1)
         end = np.uint64(m.end)
-        for b, h, lens in _tokens(batches, hashes, len(keep)):
+        for b, h, lens in _tokens(batches, len(keep)):
             starts = np.cumsum(lens) - lens
             owner = np.repeat(np.arange(len(lens)), lens)
             words, back = np.unique(h, return_inverse=True)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.links import components
-from gaugeworks.llm.text import WORD, WordHashes, map_texts, mix64, shingle_hashes
+from gaugeworks.llm.text import map_texts, mix64, shingle_hashes, word_hashes, words_of
 from gaugeworks.session import cut
 
 #: Signature values per band, and bands: a pair of similarity 0.85 shares no band with probability 8e-6, one of 0.8 with
@@ -39,10 +39,9 @@ _BITMAP = 2**23
 _CHUNK = 8192
 
 
-def shingle_set(raw: bytes | None, width: int, hashes: WordHashes) -> np.ndarray:
+def shingle_set(raw: bytes | None, width: int) -> np.ndarray:
     """Sorted distinct hashes of the word shingles of a text, A-Z lower-cased."""
-    words = WORD.findall(raw.lower()) if raw else []
-    return np.unique(shingle_hashes(hashes.of(words), width))
+    return np.unique(shingle_hashes(word_hashes(words_of(raw and raw.lower())), width))
 
 
 def minmax_signature(x: np.ndarray, perms: int, seed: int = 1) -> np.ndarray:
@@ -69,12 +68,12 @@ def band_keys(signature: np.ndarray, rows: int, bands: int) -> np.ndarray:
 def sketches(docs: DataFrame, text: str, keep: list[str], width: int, rows: int = BAND_ROWS,
              bands: int = BANDS) -> DataFrame:
     """``keep`` and ``n_shingles long, digest binary, bands array<long>`` of every whole text (digest null for an empty set)."""
-    hashes, perms = WordHashes(), -(-rows * bands // 2)
+    perms = -(-rows * bands // 2)
 
     def run(texts: list[bytes | None]) -> list[pa.Array]:
         n, digest, keys = [], [], []
         for raw in texts:
-            x = shingle_set(raw, width, hashes)
+            x = shingle_set(raw, width)
             n.append(len(x))
             digest.append(xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None)
             keys.append(band_keys(minmax_signature(x, perms), rows, bands) if len(x) else [])
@@ -142,7 +141,6 @@ def _against_center(crowd: DataFrame, texts: DataFrame, width: int, percent: int
              .join(centers, F.col("center") == F.col("c")).where(_sizes_fit(percent)).select("node", "center"))
     other = texts.select(F.col("node").alias("c"), F.col("text").alias("text2"))
     rows = pairs.join(texts, "node").join(other, F.col("center") == F.col("c")).select("node", "center", "text", "text2")
-    hashes = WordHashes()
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, against = None, None
@@ -152,8 +150,8 @@ def _against_center(crowd: DataFrame, texts: DataFrame, width: int, percent: int
             for i in range(b.num_rows):
                 raw = theirs[i].as_py()
                 if raw != last or against is None:
-                    last, against = raw, shingle_set(raw, width, hashes)
-                keep.append(similar(shingle_set(mine[i].as_py(), width, hashes), against, percent))
+                    last, against = raw, shingle_set(raw, width)
+                keep.append(similar(shingle_set(mine[i].as_py(), width), against, percent))
             yield pa.RecordBatch.from_arrays(b.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return rows.mapInArrow(confirm, "a long, b long").distinct()
@@ -192,12 +190,11 @@ def _within_blocks(crowd: DataFrame, found: DataFrame, texts: DataFrame, width:
                                              F.lit(True).alias("asks"))
     right = mine.select("band", "node", "comp", every(nx).alias("bx"), (spot % ny).cast("int").alias("by"), F.lit(False).alias("asks"))
     rows = left.unionByName(right).join(texts, "node")
-    hashes = WordHashes()
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         sets = {}
         for node, text in zip(pdf["node"], pdf["text"]):
-            sets.setdefault(node, []).append(shingle_set(text.encode("utf-8", "surrogatepass") if text else b"", width, hashes))
+            sets.setdefault(node, []).append(shingle_set(text.encode("utf-8", "surrogatepass") if text else b"", width))
         parent = {}
 
         def root(c: int) -> int:

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from gaugeworks.llm.text import WORD, map_texts
+from gaugeworks.llm.text import map_texts, words_of
 
 #: The characters that count as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -36,10 +36,10 @@ def text_stats(raw: bytes | None) -> tuple[int, ...]:
     if not raw:
         return (0,) * len(NAMES)
     by = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
-    words = WORD.findall(raw)
+    words = words_of(raw)
     n_dup, n_lines, seen = 0, 0, set()
     for line in raw.split(b"\n"):
-        if line and WORD.search(line):
+        if line and not line.isspace():
             n_lines += 1
             n_dup += line in seen
             seen.add(line)

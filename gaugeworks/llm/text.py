@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,24 +11,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-#: A word is a run of characters other than blank, tab, line feed, vertical tab, form feed and return. All of these
-#: are single bytes in UTF-8, so the pattern works on encoded text.
-WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+#: A word is a run of characters other than blank, tab, line feed, vertical tab, form feed and return.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
-_CACHE_WORDS = 400_000
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, kept for the words met last."""
+def words_of(raw: bytes | None) -> list[bytes]:
+    """The words of a UTF-8 text: ``bytes.split`` cuts at just the six characters that end a word."""
+    return raw.split() if raw else []
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > _CACHE_WORDS:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -190,11 +190,13 @@ def e14(spark, sf):
 
 
 @query("e14_risk_members", with_(READINGS, RISKS, PEAKS, CLASSED) + """
-SELECT window_start, CAST(0 AS BIGINT) AS page, coalesce(string_agg(instance, ',' ORDER BY instance)
-  FILTER (cls = 'both'), '') AS both FROM classed WHERE cls <> 'safe' GROUP BY window_start""")
+SELECT window_start, CAST(0 AS BIGINT) AS page, coalesce(string_agg(instance, ',' ORDER BY instance) FILTER (cls = 'both'), '') AS both,
+  coalesce(string_agg(instance, ',' ORDER BY instance) FILTER (cls = 'ddos'), '') AS ddos,
+  coalesce(string_agg(instance, ',' ORDER BY instance) FILTER (cls = 'overloaded'), '') AS overloaded
+FROM classed WHERE cls <> 'safe' GROUP BY window_start""")
 def e14b(spark, sf):
     return risk.class_members(peaks(spark, sf)).select(
-        "window_start", "page", F.array_join("both_members", ",").alias("both"))
+        "window_start", "page", *[F.array_join(f"{c}_members", ",").alias(c) for c in ("both", "ddos", "overloaded")])
 
 
 BROAD = """broad AS (SELECT window_start, count(*) AS n_total, count(*) FILTER (cls <> 'safe') AS n_threat,

@@ -13,9 +13,6 @@ from gaugeworks.plans import jobs
 from gaugeworks.session import scratch_path
 from gaugeworks.sources import files, kafka, tables
 
-MONTHS = [(y, m) for y in range(1995, 2002) for m in range(1, 13) if (y, m) <= (2001, 8)]
-
-
 @query("a1_wide_csv_import", with_(SENSORS) + """
 SELECT CASE WHEN c_custkey % 2 = 0 THEN n_name ELSE n_name || '.' || c_name END AS label,
   CAST(25 + c_custkey * 7 % 45 AS DOUBLE) + 0.37 AS lat, CAST(-20 + c_custkey * 11 % 60 AS DOUBLE) + 0.61 AS lng,
@@ -25,7 +22,10 @@ GROUP BY c_custkey, c_name, n_name, date_trunc('month', o_orderdate)""")
 def a1(spark, sf):
     cust = table(spark, sf, "customer").join(
         table(spark, sf, "nation").withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey")
-    head = {(y, m): f"{m}/1/{y % 100:02d}" for y, m in MONTHS}
+    # A wide file has one column per month of the orders.
+    first, last = table(spark, sf, "orders").agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    months = [divmod(i, 12) for i in range(first.year * 12 + first.month - 1, last.year * 12 + last.month)]
+    head = {(y, m + 1): f"{m + 1}/1/{y % 100:02d}" for y, m in months}
     ym = F.year("o_orderdate") * 100 + F.month("o_orderdate")
     counts = (table(spark, sf, "orders").groupBy("o_custkey")
               .agg(*[F.count_if(ym == y * 100 + m).alias(h) for (y, m), h in head.items()]))

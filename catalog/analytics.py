@@ -503,6 +503,30 @@ def k13(spark, sf):
     return out.select("sensor", F.col("h").cast("long").alias("h"), F.round("forecast", 6).alias("forecast"))
 
 
+# Ridge regression on two bumps: a system of two equations.
+RBF2 = """x AS (SELECT sensor, value, row_number() OVER (PARTITION BY sensor ORDER BY us DESC, event_id DESC) - 1 AS back,
+    avg(value) OVER (PARTITION BY sensor) AS mean FROM {0}),
+  f AS (SELECT sensor, mean, value - mean AS y, exp(-0.125 * back * back) AS f1, exp(-0.125 * (back - 1) ** 2) AS f2 FROM x),
+  g AS (SELECT sensor, mean, sum(f1 * f1) + 1.0 / 40 AS a, sum(f1 * f2) AS b, sum(f2 * f2) + 1.0 / 40 AS c, sum(f1 * y) AS u,
+    sum(f2 * y) AS v FROM f GROUP BY sensor, mean),
+  w AS (SELECT sensor, mean, (u * c - v * b) / (a * c - b * b) AS w1, (v * a - u * b) / (a * c - b * b) AS w2 FROM g)"""
+
+
+@query("k13_rbf_two_landmarks", with_(READINGS, RBF2.format("readings")) + """
+SELECT sensor, h, round(mean + w1 * exp(-0.125 * h * h) + w2 * exp(-0.125 * (h + 1) ** 2), 5) AS forecast FROM w, range(1, 13) r(h)""")
+def k13c(spark, sf):
+    out = rbf.forecast_index(readings(spark, sf), ["sensor"], ORDER, n=12, landmarks=2)
+    return ahead(out, "sensor", "h", "forecast", digits=5)
+
+
+@query("k10_many_series_rbf2", with_(MONTHLY, RBF2.format("f")).replace("f AS (SELECT sensor, mean", "ff AS (SELECT sensor, mean").replace(
+    "sum(f2 * y) AS v FROM f GROUP", "sum(f2 * y) AS v FROM ff GROUP") + """
+SELECT sensor AS c_nationkey, h, round(mean + w1 * exp(-0.125 * h * h) + w2 * exp(-0.125 * (h + 1) ** 2), 1) AS forecast FROM w, range(1, 13) r(h)""")
+def k10e(spark, sf):
+    out = jobs.cell_forecasts(monthly_by_nation(spark, sf), ["c_nationkey"], "rbf", landmarks=2)
+    return ahead(out, "c_nationkey", "h", "forecast", digits=1)
+
+
 @query("k13_rbf_forecast")
 def k13b(spark, sf):
     return rbf.forecast_index(readings(spark, sf), ["sensor"], ORDER, n=12)

@@ -76,10 +76,10 @@ def area_forecast(df: DataFrame, positions: DataFrame, box: Sequence[float], sec
 
 
 def cell_forecasts(resampled: DataFrame, keys: Sequence[str], method: str, p: int = 3, q: int = 4,
-                   n: int = 12, long_order: int | None = None) -> DataFrame:
+                   n: int = 12, long_order: int | None = None, landmarks: int = rbf.LANDMARKS) -> DataFrame:
     """AR, ARMA, ARIMA or RBF forecast of many resampled series in one job."""
     if method == "rbf":
-        return rbf.forecast_index(resampled, keys, ["bucket"], n=n)
+        return rbf.forecast_index(resampled, keys, ["bucket"], n=n, landmarks=landmarks)
     if method not in ("ar", "arma", "arima"):
         raise ValueError(f"unknown method {method!r}")
     d = int(method == "arima")

@@ -132,7 +132,10 @@ def cell_links(core: DataFrame, keys: Sequence[str], r: float) -> DataFrame:
         level += 1
         if level > _MAX_LEVEL:
             return links.union(_links_by_points(core, unsettled, cell, ids, r, level - 1)).distinct()
-        small = _boxes(core, cell, level)
+        # Only cells with an open pair are cut further.
+        still = unsettled.select(*[F.col(f"{c}_a").alias(c) for c in cell]).union(
+            unsettled.select(*[F.col(f"{c}_b").alias(c) for c in cell])).distinct()
+        small = _boxes(core.join(still, cell, "left_semi"), cell, level)
         parents = unsettled.select(*ids, *[f"{c}_{s}" for s in "ab" for c in ("su", "sv")])
         for s in "ab":
             child = _side(small, cell, s).withColumnsRenamed(

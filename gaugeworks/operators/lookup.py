@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.functions import geo
+from gaugeworks.session import cut
+
+#: Most tiles a side that cover a box.
+COVER = 8
 
 
 def with_label(df: DataFrame, sensors: DataFrame) -> DataFrame:
@@ -63,8 +67,9 @@ def box_table(spark, boxes: Sequence[Sequence[float]], lng_first: bool = False)
 def boxes_of_sensors(positions: DataFrame, boxes: DataFrame) -> DataFrame:
     """(box, sensor) pairs of a box × point-sensor range join, as an equi join on map tiles.
 
-    Each box is covered at the zoom where a tile is at least as large as the box, so by at most four
-    tiles; sensors look their tile up at every zoom. No nested loop, however many boxes there are.
+    Each box is covered at the finest zoom at which it spans at most ``COVER`` tiles a side; sensors look their tile up at the
+    zooms that occur, of which there are at most ``geo.MAX_ZOOM + 1``. No nested loop, however many boxes there are, and a
+    box of the whole world is spread over many tiles.
     """
     top = geo.MAX_ZOOM
     zooms = F.sequence(F.lit(0), F.lit(top))
@@ -74,7 +79,7 @@ def boxes_of_sensors(positions: DataFrame, boxes: DataFrame) -> DataFrame:
         return F.call_function("shiftright", F.col(tile), F.lit(top) - zoom)
 
     def fits(zoom):
-        return (at("x2", zoom) - at("x1", zoom) <= 1) & (at("y2", zoom) - at("y1", zoom) <= 1)
+        return (at("x2", zoom) - at("x1", zoom) < COVER) & (at("y2", zoom) - at("y1", zoom) < COVER)
 
     zoom = F.col("zoom")
     corners = boxes.withColumns({
@@ -84,9 +89,10 @@ def boxes_of_sensors(positions: DataFrame, boxes: DataFrame) -> DataFrame:
              .withColumn("x", F.explode(F.sequence(at("x1", zoom), at("x2", zoom))))
              .withColumn("y", F.explode(F.sequence(at("y1", zoom), at("y2", zoom))))
              .select("box", "zoom", "x", "y", F.struct("lat1", "lng1", "lat2", "lng2").alias("b")))
+    used = sorted(r[0] for r in tiles.select("zoom").distinct().collect())
     points = (positions.select("sensor", "lat1", "lng1", geo.tile_x(F.col("lng1"), top).alias("x0"),
                                geo.tile_y(F.col("lat1"), top).alias("y0"))
-              .withColumn("zoom", F.explode(zooms))
+              .withColumn("zoom", F.explode(F.lit(used).cast("array<int>")))
               .select("sensor", "lat1", "lng1", "zoom", at("x0", zoom).alias("x"), at("y0", zoom).alias("y")))
     exact = geo.point_in_box(F.col("lat1"), F.col("lng1"), F.col("b.lat1"), F.col("b.lng1"),
                              F.col("b.lat2"), F.col("b.lng2"))
@@ -97,13 +103,15 @@ def box_sweep(df: DataFrame, positions: DataFrame, boxes: DataFrame) -> DataFram
     """``sum(value)`` by time for each of many boxes in one job.
 
     Sensors with the same set of boxes are summed together first, so overlapping boxes do not multiply
-    the readings.
+    the readings. Readings are shuffled by the number of their set, the least sensor in it.
     """
-    sets = (boxes_of_sensors(positions, boxes).groupBy("sensor")
-            .agg(F.sort_array(F.collect_list("box")).alias("boxes")))
-    return (df.join(sets, "sensor")
-            .groupBy("boxes", "ts").agg(F.sum("value").alias("_sum"))
-            .select(F.explode("boxes").alias("box"), "ts", "_sum")
+    sets = cut(boxes_of_sensors(positions, boxes).groupBy("sensor")
+               .agg(F.sort_array(F.collect_list("box")).alias("boxes")))
+    names = sets.groupBy("boxes").agg(F.min("sensor").alias("_set"))
+    numbered = sets.join(names, "boxes").select("sensor", "_set")
+    return (df.join(numbered, "sensor")
+            .groupBy("_set", "ts").agg(F.sum("value").alias("_sum"))
+            .join(names, "_set").select(F.explode("boxes").alias("box"), "ts", "_sum")
             .groupBy("box", "ts").agg(F.sum("_sum").alias("value")))
 
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,7 +60,30 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/scratch/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/scratch/{name}-{uuid.uuid4().hex}"
+    for made in _scopes.__dict__.get("open", [])[-1:]:
+        made.append(path)
+    return path
+
+
+_scopes = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove what this thread writes to scratch paths within the block. Results must have been stored elsewhere by its end."""
+    _scopes.__dict__.setdefault("open", []).append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.open.pop():
+            remove_path(spark, path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gaugeworks.functions import geo
 from gaugeworks.functions.scalars import duration_seconds
 from gaugeworks.operators.select import PAGE_ROWS, point_lists, recent
+from gaugeworks.session import remove_path
 
 
 def with_slice(df: DataFrame, seconds: int, ts: str = "ts") -> DataFrame:
@@ -36,10 +37,23 @@ def expire(df: DataFrame, keep: str = "30d", anchor: dt.datetime | None = None,
     return recent(df, keep, anchor, slice_seconds=slice_seconds)
 
 
-def expired_slices(df: DataFrame, slice_seconds: int, keep: str, anchor: dt.datetime) -> DataFrame:
-    """Whole slices that lie before the retention edge: partitions which can be dropped."""
+def expired_slices(df: DataFrame, slice_seconds: int, keep: str, anchor: dt.datetime, by: Sequence[str] = ()) -> DataFrame:
+    """Whole slices that lie before the retention edge: partitions which can be dropped. With ``by`` one row per partition."""
     edge = int(anchor.timestamp()) - duration_seconds(keep)
-    return df.where((F.col("slice") + 1) * slice_seconds <= edge).select("slice").distinct()
+    return df.where((F.col("slice") + 1) * slice_seconds <= edge).select(*by, "slice").distinct()
+
+
+def drop_expired(spark: SparkSession, path: str, slice_seconds: int, keep: str, anchor: dt.datetime,
+                 by: Sequence[str] = ("measurement", "site")) -> list[str]:
+    """Remove the folders of the slices that lie wholly before the retention edge; gives the removed folders.
+
+    The table is laid out as ``write_readings`` writes it. What comes to the driver is a list of partitions, not of rows.
+    """
+    old = expired_slices(spark.read.parquet(path).select(*by, "slice"), slice_seconds, keep, anchor, by)
+    gone = ["/".join([path.rstrip("/"), *(f"{c}={r[c]}" for c in by), f"slice={r['slice']}"]) for r in old.collect()]
+    for folder in gone:
+        remove_path(spark, folder)
+    return gone
 
 
 def read_back_diff(source: DataFrame, stored: DataFrame, keys: Sequence[str] = ("sensor", "ts"),

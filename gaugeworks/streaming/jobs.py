@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gaugeworks.functions.scalars import sliding_starts
+from gaugeworks.session import scratch_scope
 from gaugeworks.sources.tables import write_batch
 
 Step = Callable[[DataFrame], DataFrame]
@@ -90,12 +91,13 @@ class WindowJob:
         def on_batch(closed: DataFrame, batch_id: int) -> None:
             # A result may read its input several times, but a micro-batch must run only once.
             closed.write.mode("overwrite").parquet(held)
-            done = self.finish(closed.sparkSession.read.schema(closed.schema).parquet(held))
-            if self.save:
-                write_batch(done, path, batch_id)
-                done = done.sparkSession.read.schema(done.schema).parquet(f"{path.rstrip('/')}/batch={batch_id}")
-            for sink in sinks:
-                sink(done, batch_id)
+            with scratch_scope(closed.sparkSession):
+                done = self.finish(closed.sparkSession.read.schema(closed.schema).parquet(held))
+                if self.save:
+                    write_batch(done, path, batch_id)
+                    done = done.sparkSession.read.schema(done.schema).parquet(f"{path.rstrip('/')}/batch={batch_id}")
+                for sink in sinks:
+                    sink(done, batch_id)
 
         return (self.closed_in_stream(stream).writeStream.queryName(self.name).outputMode("append")
                 .option("checkpointLocation", checkpoint).foreachBatch(on_batch)

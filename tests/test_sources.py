@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 
 import pytest
@@ -107,3 +108,36 @@ def test_range_join_equals_nested_loop(spark):
     want = pts.join(b, F.expr("lat1 BETWEEN a AND c AND lng1 BETWEEN b AND d")).select("box", "sensor")
     got = lookup.boxes_of_sensors(pts, boxes)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_retention_prunes_and_drops_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    day = 86400
+    rows = spark.range(40 * 24).select(F.lit("m").alias("measurement"), F.lit("s").alias("site"),
+                                       F.timestamp_seconds(F.col("id") * 3600).alias("ts"), F.col("id").alias("value"))
+    tables.write_readings(rows, path, day)
+    anchor = dt.datetime(1970, 2, 10, tzinfo=dt.timezone.utc)
+    stored = spark.read.parquet(path)
+    for kept in (tables.expire(stored, "5d", anchor, day), select.recent(stored, "5d", anchor, slice_seconds=day),
+                 select.recent(stored, "5d", slice_seconds=day)):
+        assert kept.count() in (5 * 24, 5 * 24 + 1)
+        assert kept.select("slice").distinct().count() <= 6
+    plan = select.recent(stored, "5d", anchor, slice_seconds=day)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(slice" in plan
+    gone = tables.drop_expired(spark, path, day, "5d", anchor)
+    assert len(gone) == 35 and spark.read.parquet(path).count() == 5 * 24
+
+
+def test_metric_range_and_name_prune_partitions(spark, tmp_path):
+    Matcher, select_metrics = select.Matcher, select.select_metrics
+    path = str(tmp_path / "m")
+    rows = spark.range(1000).select(F.lit("m").alias("measurement"), F.concat(F.lit("k"), F.col("id") % 3).alias("site"),
+                                    F.timestamp_seconds(F.col("id") * 3600).alias("ts"), F.create_map(
+                                        F.lit("__name__"), F.concat(F.lit("k"), F.col("id") % 3)).alias("labels"))
+    tables.write_readings(rows, path, 86400)
+    df = spark.read.parquet(path)
+    tests = [Matcher("__name__", "k[01]", "RE")]
+    pruned = select_metrics(df, 0, 5 * 86400 * 1000, tests, 86400, {"__name__": "site"})
+    assert pruned.count() == select_metrics(df, 0, 5 * 86400 * 1000, tests).count() > 0
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "slice" in plan.split("PartitionFilters")[1].split("]")[0] and "RLIKE" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]

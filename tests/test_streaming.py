@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 import datetime as dt
 
 import numpy as np
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from gaugeworks.operators import bayes
 from gaugeworks.plans import jobs, risk
 from gaugeworks.sources import kafka, tables
+from gaugeworks.session import shared_dir
 from gaugeworks.streaming.jobs import WindowJob, chain, drop_report, late_rows
 from test_clusters import random_cpt
 
@@ -43,9 +45,12 @@ def test_outlier_stream_equals_batch(spark, tmp_path):
     write(spark.sql(CLOSER.format(T0 + 300)), tmp_path / "in")
     sent = []
     job = jobs.alert_job(10)
+    scratch = Path(shared_dir(spark).removeprefix("file:")) / "scratch"
+    before = set(scratch.glob("*"))
     q = job.start(stream(spark, tmp_path / "in", rows.schema), str(tmp_path / "cp"), str(tmp_path / "out"),
                   sinks=[lambda df, b: sent.extend(r["value"] for r in kafka.to_records(df).collect())])
     q.awaitTermination(120)
+    assert set(scratch.glob("*")) == before
     got = tables.read_batches(spark, str(tmp_path / "out")).orderBy("window_start").collect()
     want = job.run_batch(rows).orderBy("window_start").collect()
     assert got == want and len(want) >= 10

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gaugeworks.llm.text import encoded, mix64, word_hashes, words_of
+from gaugeworks.llm.text import encoded, mix64, slices, word_hashes, words_of
 from gaugeworks.session import cut
 
 BASE, HASHES, BITS_PER_ENTRY, MAX_BITS, MU = 1.5, 6, 8, 2**31, 200.0
@@ -118,7 +118,7 @@ class Model:
 
 def _tokens(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Groups of rows with the hashes of all their tokens and the number of tokens of each row."""
-    for b in batches:
+    for b in (part for whole in batches for part in slices(whole, 2048)):
         at = 0
         parts, lens = [], []
         size = 0

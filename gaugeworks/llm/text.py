@@ -14,6 +14,8 @@ from pyspark.sql.types import StructType
 #: A word is a run of characters other than blank, tab, line feed, vertical tab, form feed and return.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
+_SLICE = 1024
+
 
 def words_of(raw: bytes | None) -> list[bytes]:
     """The words of a UTF-8 text: ``bytes.split`` cuts at just the six characters that end a word."""
@@ -48,6 +50,12 @@ def encoded(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def slices(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
+    """An Arrow batch in parts: texts become Python objects, so few of them at a time."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
@@ -78,7 +86,7 @@ def map_texts(df: DataFrame, text: str, out: str, fn: Callable[[list[bytes | Non
     passed = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("\x00text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, _SLICE)):
             cols = batch.columns
             made = fn(encoded(cols[-1]))
             yield pa.RecordBatch.from_arrays(cols[:-1] + made, keep + added.fieldNames())

@@ -28,7 +28,7 @@ PASSES = 3
 _UNIT, _STEP = 2**31, 1327217885
 _CELL = 2**21
 _CHUNK = 2**16
-_BUCKET_ROWS = 20_000
+_BUCKET_ROWS = 4_000
 
 
 @dataclass

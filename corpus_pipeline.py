@@ -7,31 +7,29 @@ from pyspark.sql import functions as F
 
 from gaugeworks.llm import minmax_dedup, mixing, packing, quality_qda, quality_rules
 from gaugeworks.llm.queries import MIX_WEIGHTS, quality_labels, table
-from gaugeworks.llm.stats import NAMES, with_stats
+from gaugeworks.llm.stats import with_stats
 from gaugeworks.llm.text import crc_mod, guarded, restored
-from gaugeworks.session import cut, scratch_path
+from gaugeworks.session import cut, remove_path, scratch_path, scratch_scope
 
 MIN_SCORE = 0.3
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier scores at ``MIN_SCORE`` or above. Null and empty texts have a score, too;
-    without labels every score is 0.5 and all documents stay."""
-    stats = cut(with_stats(guarded(docs), "in_text"))
-    labelled = (stats.select(F.col("in_doc_id").alias("doc_id"), *NAMES).where(crc_mod(F.col("doc_id"), 5) != 0)
-                .join(quality_labels(spark, sf_dir), "doc_id"))
-    scored = quality_qda.with_score(stats, quality_qda.fit(labelled, "quality"))
+    without labels every score is 0.5 and all documents stay. Texts are counted twice, for the fit and for the scores, which
+    costs less than to write them once more."""
+    learnt = (with_stats(docs, keep=["doc_id"]).where(crc_mod(F.col("doc_id"), 5) != 0)
+              .join(quality_labels(spark, sf_dir), "doc_id"))
+    scored = quality_qda.with_score(with_stats(guarded(docs), "in_text"), quality_qda.fit(learnt, "quality"))
     return restored(scored.where(F.col("score") >= MIN_SCORE), docs)
 
 
 def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the risk-controlled rules of their language (null is one, too). Texts with
     fewer than 50 words, null and empty ones among them, go."""
-    stats = cut(with_stats(guarded(docs), "in_text"))
     labels = quality_labels(spark, sf_dir).select("doc_id", (F.col("quality") == 1).alias("good"))
-    counts = stats.select(F.col("in_doc_id").alias("doc_id"), F.col("in_lang").alias("lang"), *NAMES)
-    cutoffs = quality_rules.learn_cutoffs(counts, labels, "lang")
-    return restored(quality_rules.with_verdict(stats, cutoffs, "in_lang").where("kept"), docs)
+    cutoffs = quality_rules.learn_cutoffs(with_stats(docs, keep=["doc_id", "lang"]), labels, "lang")
+    return restored(quality_rules.with_verdict(with_stats(guarded(docs), "in_text"), cutoffs, "in_lang").where("kept"), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,10 +66,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written below the shared folder and read again by the next."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; each result is written below the shared folder and read again by the next. What a
+    stage wrote on the way, and the result before its own, go as soon as it is done."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove_path(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

@@ -5,8 +5,8 @@ entered q times (with 1 .. q mixed into its hash). A count is read back by repea
 miss, so wrong reads only ever come out too high and geometrically rarely; a pair is taken to be no more frequent than
 its words. The filter is cut into segments by the hash of the n-gram: a segment is filled by one task from counts that were summed
 before, and all segments together have a fixed greatest size (``max_bits``), which bounds the broadcast. If the
-n-grams need more room, the least frequent ones are left out by a threshold that a 1 in 256 sample of all n-gram keys,
-counted exactly, gives; words never are.
+n-grams need more room, the least frequent pairs are left out by a threshold that a 1 in 256 sample of all pair keys,
+counted exactly, gives; words never are. If all fit there is no threshold.
 
 P(w | h) = (c(h w) + mu * P(w)) / (c(h) + mu) with P(w) = (c(w) + 1) / (N + V + 1); the first word of a text follows
 an end. Words are known by 64-bit hashes. Defined cases: a null or empty text is one end; without training texts N and V are
@@ -35,6 +35,8 @@ _SEGMENT_BITS = 2**20
 _SAMPLE = 256
 #: Tokens of a group of texts; pairs that a task holds before it passes them on.
 _GROUP, _HELD = 1_000_000, 2_500_000
+#: Added to the count of a word, by which it is told from a pair; above any count of a pair.
+_WORD = 2**62
 #: No word is a blank.
 _END = b" "
 _MOST_LEVELS = 128
@@ -135,6 +137,18 @@ def _tokens(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa
             yield b.slice(at), np.concatenate(parts), np.array(lens)
 
 
+def _fitting(shape: list[tuple[int, int]], room: int) -> tuple[int, int]:
+    """Least count for which all n-grams of at least that count fit into ``room`` entries (1 if all do, ``_WORD`` if none does),
+    and their entries. ``shape``: count and number of n-grams with that count."""
+    least, used = _WORD, 0
+    for n, k in sorted(shape, reverse=True):
+        more = int(level_of(np.array([n]))[0]) * k
+        if used + more > room:
+            return least, used
+        least, used = n, used + more
+    return 1, used
+
+
 def _summed(held: list[np.ndarray], counts: list[np.ndarray], segments: int) -> pa.RecordBatch:
     """Counts of n-grams from several groups, one row per n-gram."""
     keys, n = np.concatenate(held), np.concatenate(counts)
@@ -171,13 +185,11 @@ def learn(docs: DataFrame, text: str = "text", max_bits: int = MAX_BITS, frequen
         if k > room:
             break
         least_frequent, room = n, room - k
-    entries = sum(int(level_of(np.array([r.n]))[0]) * r.k for r in shape if r.kind == 1)
-    pairs = sorted(((r.n, int(level_of(np.array([r.n]))[0]) * r.k * _SAMPLE) for r in shape if r.kind == 2), reverse=True)
-    least_pair = 1
-    for n, k in pairs:
-        if (entries + k) * BITS_PER_ENTRY > max_bits:
-            break
-        least_pair, entries = n, entries + k
+    entries = sum(int(level_of(np.array([n]))[0]) * k for n, k in by_count)
+    least_pair, more = _fitting([(r.n, r.k * _SAMPLE) for r in shape if r.kind == 2], max_bits // BITS_PER_ENTRY - entries)
+    if entries * BITS_PER_ENTRY > max_bits:
+        least_pair = _WORD
+    entries += more
     segments = max(1, min(max_bits, entries * BITS_PER_ENTRY) // _SEGMENT_BITS + 1)
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,13 +208,15 @@ def learn(docs: DataFrame, text: str = "text", max_bits: int = MAX_BITS, frequen
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys = b.column(0).to_numpy().view(np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(segment_of(keys, segments).astype(np.int32)), *b.columns], ["segment", "key", "n"])
+            flagged = pa.array(b.column(1).to_numpy() + _WORD)
+            yield pa.RecordBatch.from_arrays([pa.array(segment_of(keys, segments).astype(np.int32)), b.column(0), flagged], ["segment", "key", "n"])
 
     shape_ = "segment int, key long, n long"
     vocabulary = counted.where("kind = 1").select("key", "n")
     rows = source.mapInArrow(grams, shape_).unionByName(vocabulary.mapInArrow(place, shape_))
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(4096, segments // 8))
     summed = rows.repartition(parts, "segment").groupBy("segment", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= least_pair)
+    summed = summed.withColumn("n", F.pmod("n", F.lit(_WORD)))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         data = fill_segment(pdf["key"].to_numpy(np.int64).view(np.uint64), pdf["n"].to_numpy())

@@ -63,6 +63,40 @@ def test_little_room_leaves_out_rare_pairs_only(spark, docs):
     assert len(small.filter.data) <= 2 * 2**17 and small.tokens == full.tokens
 
 
+def counts_of(texts):
+    """Counts of words, and of pairs by key, of all texts."""
+    words, pairs = Counter(), Counter()
+    end = bloom_lm.word_hashes([b" "])[0]
+    for t in texts:
+        tokens = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower()) + [b" "]
+        words.update(tokens)
+        pairs.update(bloom_lm.pair_keys(bloom_lm.word_hashes(tokens), end).tolist())
+    return words, pairs
+
+
+@pytest.mark.parametrize("max_bits", [2**14, 2**17, 2**20, 2**31])
+def test_words_are_never_left_out(spark, docs, max_bits):
+    words, _ = counts_of(r.text for r in docs.select("text").collect())
+    model, _ = bloom_lm.learn(docs, max_bits=max_bits)
+    got = model.filter.levels(bloom_lm.word_hashes(list(words)))
+    assert (got >= bloom_lm.level_of(np.array(list(words.values())))).all()
+
+
+def test_nothing_is_left_out_where_all_fits(spark):
+    # Frequent pairs alone are in the sample of keys; the rare ones are many fewer than there is room for.
+    end, rows = bloom_lm.word_hashes([b" "])[0], []
+    for i in range(2000):
+        h = bloom_lm.word_hashes([f"f{i}".encode(), b" "])
+        if (bloom_lm.pair_keys(h, end)[1:] % np.uint64(bloom_lm._SAMPLE) == 0).any():
+            rows += [f"f{i}"] * 50
+    rows += ["seldom seen words", "once only"]
+    words, pairs = counts_of(rows)
+    assert rows[0] != "seldom seen words" and len(pairs) < 100
+    model, _ = bloom_lm.learn(spark.createDataFrame([(t,) for t in rows], "text string"))
+    for keys, n in ((bloom_lm.word_hashes(list(words)), words.values()), (np.array(list(pairs), np.uint64), pairs.values())):
+        assert (model.filter.levels(keys) >= bloom_lm.level_of(np.array(list(n)))).all()
+
+
 def test_scores_without_training_texts(spark, docs, nothing):
     model, rare = bloom_lm.learn(nothing)
     got = bloom_lm.score(docs, model, rare, keep=["doc_id"])

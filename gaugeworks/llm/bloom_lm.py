@@ -5,8 +5,9 @@ entered q times (with 1 .. q mixed into its hash). A count is read back by repea
 miss, so wrong reads only ever come out too high and geometrically rarely; a pair is taken to be no more frequent than
 its words. The filter is cut into segments by the hash of the n-gram: a segment is filled by one task from counts that were summed
 before, and all segments together have a fixed greatest size (``max_bits``), which bounds the broadcast. If the
-n-grams need more room, the least frequent pairs are left out by a threshold that a 1 in 256 sample of all pair keys,
-counted exactly, gives; words never are. If all fit there is no threshold.
+n-grams need more room, the filter holds the most frequent ones, words first, by thresholds from the counts of words and of
+a 1 in 256 sample of all pair keys; the others stay in a table (``Model.rest``) that grows with the corpus. An n-gram read
+below the level of its threshold is looked up there by a join, so every n-gram counts whatever their number.
 
 P(w | h) = (c(h w) + mu * P(w)) / (c(h) + mu) with P(w) = (c(w) + 1) / (N + V + 1); the first word of a text follows
 an end. Words are known by 64-bit hashes. Defined cases: a null or empty text is one end; without training texts N and V are
@@ -16,11 +17,12 @@ an end. Words are known by 64-bit hashes. Defined cases: a null or empty text is
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -116,6 +118,10 @@ class Model:
     frequent: np.ndarray
     frequent_counts: np.ndarray
     mu: float
+    #: Least levels of words and of pairs in the filter, and ``key, n`` of all other n-grams, None if there are none.
+    least_word: int = 1
+    least_pair: int = 1
+    rest: DataFrame | None = None
 
 
 def _tokens(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -185,10 +191,10 @@ def learn(docs: DataFrame, text: str = "text", max_bits: int = MAX_BITS, frequen
         if k > room:
             break
         least_frequent, room = n, room - k
-    entries = sum(int(level_of(np.array([n]))[0]) * k for n, k in by_count)
+    least_word, entries = _fitting(by_count, max_bits // BITS_PER_ENTRY)
     least_pair, more = _fitting([(r.n, r.k * _SAMPLE) for r in shape if r.kind == 2], max_bits // BITS_PER_ENTRY - entries)
-    if entries * BITS_PER_ENTRY > max_bits:
-        least_pair = _WORD
+    if least_word > 1:
+        least_pair, more = _WORD, 0
     entries += more
     segments = max(1, min(max_bits, entries * BITS_PER_ENTRY) // _SEGMENT_BITS + 1)
 
@@ -215,7 +221,12 @@ def learn(docs: DataFrame, text: str = "text", max_bits: int = MAX_BITS, frequen
     vocabulary = counted.where("kind = 1").select("key", "n")
     rows = source.mapInArrow(grams, shape_).unionByName(vocabulary.mapInArrow(place, shape_))
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(4096, segments // 8))
-    summed = rows.repartition(parts, "segment").groupBy("segment", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= least_pair)
+    summed = rows.repartition(parts, "segment").groupBy("segment", "key").agg(F.sum("n").alias("n"))
+    rest = None
+    if least_pair > 1:
+        held = F.when(F.col("n") >= _WORD, F.col("n") - _WORD >= least_word).otherwise(F.col("n") >= least_pair)
+        split = cut(summed.withColumn("held", held))
+        summed, rest = split.where("held").drop("held"), split.where(~F.col("held")).select("key", F.pmod("n", F.lit(_WORD)).alias("n"))
     summed = summed.withColumn("n", F.pmod("n", F.lit(_WORD)))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -232,7 +243,51 @@ def learn(docs: DataFrame, text: str = "text", max_bits: int = MAX_BITS, frequen
     sort = np.argsort(keys, kind="stable")
     counts = top.column("n").to_numpy()[sort] if tokens else np.zeros(0, np.int64)
     rare = vocabulary.where(F.col("n") < least_frequent)
-    return Model(Filter(data, segments if tokens else 0), tokens, distinct, int(end), keys[sort], counts, mu), rare
+    return Model(Filter(data, segments if tokens else 0), tokens, distinct, int(end), keys[sort], counts, mu,
+                 *(int(level_of(np.array([n]))[0]) for n in (least_word, least_pair)), rest), rare
+
+
+def _levels(model: Model, keys: np.ndarray, least: int, found: tuple[np.ndarray, np.ndarray] | None) -> np.ndarray:
+    """Levels of keys from the filter or, below its least level, from the sorted keys and levels that were looked up."""
+    levels = model.filter.levels(keys)
+    if found is not None:
+        at = np.minimum(np.searchsorted(found[0], keys), max(len(found[0]) - 1, 0))
+        there = found[0][at] == keys if len(found[0]) else np.zeros(len(keys), bool)
+        levels = np.where(levels >= least, levels, np.where(there, found[1][at], 0) if len(found[0]) else 0)
+    return levels
+
+
+def _looked_up(docs: DataFrame, sent: Broadcast, rest: DataFrame) -> DataFrame:
+    """``docs`` (the last column is the text) with ``_keys`` and ``_counts`` of the n-grams of a text that are in ``rest``."""
+    fixed = cut(docs.withColumn("_row", F.monotonically_increasing_id()))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = sent.value
+        end = np.uint64(m.end)
+        for b, h, lens in _tokens(batches, 1):
+            owner = np.repeat(np.arange(len(lens)), lens)
+            rows, keys = [], []
+            for grams, least in ((h, m.least_word), (pair_keys(h, end), m.least_pair)):
+                distinct, back = np.unique(grams, return_inverse=True)
+                open_ = np.flatnonzero((m.filter.levels(distinct) < least)[back])
+                codes = np.unique(owner[open_] * len(distinct) + back[open_])
+                rows.append(codes // len(distinct))
+                keys.append(distinct[codes % len(distinct)])
+            ids = b.column(0).to_numpy()[np.concatenate(rows)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(keys).view(np.int64))], ["_id", "_key"])
+
+    asked = fixed.select("_row", fixed.columns[-2]).mapInArrow(ask, "_id long, _key long")
+    found = (asked.join(rest, F.col("_key") == F.col("key")).groupBy("_id")
+             .agg(F.collect_list(F.struct("key", "n")).alias("_found"))
+             .select("_id", F.col("_found.key").alias("_keys"), F.col("_found.n").alias("_counts")))
+    return fixed.join(found, F.col("_row") == F.col("_id"), "left").select(*docs.columns[:-1], "_keys", "_counts", docs.columns[-1])
+
+
+def _found(b: pa.RecordBatch, at: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and their levels from two list columns of a batch. A key has one count, whichever text asks."""
+    keys, counts = (b.column(k).flatten().to_numpy(zero_copy_only=False) for k in (at, at + 1))
+    keys, first = np.unique(keys.astype(np.int64).view(np.uint64), return_index=True)
+    return keys, level_of(counts[first].astype(np.int64))
 
 
 def score(docs: DataFrame, model: Model, rare: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -244,22 +299,25 @@ def score(docs: DataFrame, model: Model, rare: DataFrame, text: str = "text", ke
     made = {"n_tokens", "n_known", "train_tokens", "base_score", "score"}
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in made]
     passed = docs.select(*[F.col(f"`{c}`").alias(f"in_{c}") for c in keep], F.col(f"`{text}`").alias("text"))
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    names = passed.columns[:-1]
+    sent = docs.sparkSession.sparkContext.broadcast(replace(model, rest=None))
+    names, more = passed.columns[:-1], 0
+    if model.rest is not None:
+        passed, more = _looked_up(passed, sent, model.rest), 2
     out = "row long, n_tokens long, known long, logs double, score double, words array<long>, times array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         value, total = count_of_level(), float(m.tokens + m.distinct + 1)
         end = np.uint64(m.end)
-        for b, h, lens in _tokens(batches, len(keep)):
+        for b, h, lens in _tokens(batches, len(keep) + more):
+            found = _found(b, len(keep)) if more else None
             starts = np.cumsum(lens) - lens
             owner = np.repeat(np.arange(len(lens)), lens)
             words, back = np.unique(h, return_inverse=True)
-            n_words = value[m.filter.levels(words)]
+            n_words = value[_levels(m, words, m.least_word, found)]
             before = np.concatenate([[np.searchsorted(words, end)], back[:-1]])
             keys, pair = np.unique(pair_keys(h, end), return_inverse=True)
-            seen = np.minimum(value[m.filter.levels(keys)][pair], np.minimum(n_words[back], n_words[before]))
+            seen = np.minimum(value[_levels(m, keys, m.least_pair, found)][pair], np.minimum(n_words[back], n_words[before]))
             p = (seen + m.mu * (n_words[back] + 1) / total) / (n_words[before] + m.mu)
             model_score = np.add.reduceat(np.log10(p), starts)
             at = np.minimum(np.searchsorted(m.frequent, words), max(len(m.frequent) - 1, 0))
@@ -276,7 +334,7 @@ def score(docs: DataFrame, model: Model, rare: DataFrame, text: str = "text", ke
                     pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int32)))],
                 names + ["row", "n_tokens", "known", "logs", "score", "words", "times"])
 
-    schema = StructType(list(passed.schema.fields[:-1]) + list(StructType.fromDDL(out).fields))
+    schema = StructType(list(passed.schema.fields[:len(keep)]) + list(StructType.fromDDL(out).fields))
     scored = cut(passed.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()))
     pairs = scored.select("row", F.inline(F.arrays_zip("words", "times"))).select("row", F.col("words").alias("word"), F.col("times").alias("times"))
     found = (pairs.join(rare, F.col("word") == F.col("key"))

@@ -78,8 +78,31 @@ def counts_of(texts):
 def test_words_are_never_left_out(spark, docs, max_bits):
     words, _ = counts_of(r.text for r in docs.select("text").collect())
     model, _ = bloom_lm.learn(docs, max_bits=max_bits)
-    got = model.filter.levels(bloom_lm.word_hashes(list(words)))
-    assert (got >= bloom_lm.level_of(np.array(list(words.values())))).all()
+    keys, want = bloom_lm.word_hashes(list(words)), bloom_lm.level_of(np.array(list(words.values())))
+    got = model.filter.levels(keys)
+    rest = {} if model.rest is None else {r.key % 2**64: r.n for r in model.rest.collect()}
+    assert all(g >= w if w >= model.least_word and int(k) not in rest else rest[int(k)] == n for k, g, w, n in zip(keys, got, want, words.values()))
+
+
+@pytest.mark.parametrize("max_bits", [2**14, 2**17, 2**20, 2**22])
+def test_model_scores_do_not_depend_on_the_room(spark, docs, max_bits):
+    rows = [(r.text or "") for r in docs.select("text").collect()]
+    words, pairs = counts_of(rows)
+    value, end, total = bloom_lm.count_of_level(), bloom_lm.word_hashes([b" "])[0], sum(words.values()) + len(words) + 1
+    by_hash = dict(zip(bloom_lm.word_hashes(list(words)).tolist(), words.values()))
+    stands_for = lambda n: value[bloom_lm.level_of(np.array([n]))[0]]
+    want = []
+    for t in rows:
+        h = bloom_lm.word_hashes(re.findall(rb"[^\x20\x09-\x0D]+", t.encode().lower()) + [b" "])
+        n = [stands_for(by_hash[x]) for x in [int(end), *h.tolist()]]
+        both = [stands_for(pairs[k]) for k in bloom_lm.pair_keys(h, end).tolist()]
+        want.append(sum(math.log10((min(b, w, p) + 200 * (w + 1) / total) / (p + 200)) for b, w, p in zip(both, n[1:], n)))
+    model, rare = bloom_lm.learn(docs, max_bits=max_bits)
+    assert len(model.filter.data) <= max_bits // 8 + 2**17
+    numbered = spark.createDataFrame(list(enumerate(rows)), "id long, text string")
+    got = [r.score for r in bloom_lm.score(numbered, model, rare, keep=["id"]).orderBy("id").collect()]
+    assert np.allclose(got, want, rtol=0.02)
+    assert sum(got) == pytest.approx(sum(want), rel=0.003)
 
 
 def test_nothing_is_left_out_where_all_fits(spark):

@@ -53,6 +53,14 @@ def _if_small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def _carried(df: DataFrame, carry: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """``df`` with the columns that ``carry``, of about ``rows`` rows, has per series and chunk. A null key is a key, as in ``split_hot``."""
+    on = [*keys, "_chunk"]
+    side = _if_small(carry.withColumnsRenamed({c: f"_at_{c}" for c in on}), rows)
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"`_at_{c}`")) for c in on]
+    return df.join(side, same, "left").drop(*[f"_at_{c}" for c in on])
+
+
 def with_lags(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, k: int,
               target_rows: int | None = TARGET_ROWS, name: str = "lags") -> DataFrame:
     """Add the array ``name`` of the up to ``k`` earlier values of the series, nearest first.
@@ -72,8 +80,7 @@ def with_lags(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: s
     else:
         own = split.withColumn(name, F.reverse(F.collect_list(item).over(w.rowsBetween(-k, -1))))
     if chunks:
-        carry = _if_small(_carry_last(split, keys, order, value, k), chunks * k)
-        own = (own.join(carry, [*keys, "_chunk"], "left")
+        own = (_carried(own, _carry_last(split, keys, order, value, k), keys, chunks * k)
                .withColumn(name, F.when(
                    (F.size(name) < k) & F.col("_carry").isNotNull(),
                    F.slice(F.concat(F.col(name), F.col("_carry")), 1, k)).otherwise(F.col(name)))
@@ -114,7 +121,7 @@ def with_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
                    .agg(F.count(F.lit(1)).alias("_n"), total.alias("_s"))
                    .select(*keys, "_chunk", F.sum("_n").over(before).alias("_n0"),
                            F.sum("_s").over(before).alias("_s0")))
-        out = out.join(_if_small(offsets, chunks), [*keys, "_chunk"], "left").withColumn(
+        out = _carried(out, offsets, keys, chunks).withColumn(
             "running_count", F.col("running_count") + F.coalesce("_n0", F.lit(0)))
         if value:
             out = out.withColumn("running_sum", F.when(
@@ -133,7 +140,7 @@ def with_next(df: DataFrame, keys: Sequence[str], column: str, target_rows: int
     if chunks:
         firsts = split.where("_hot").groupBy(*keys, "_chunk").agg(F.min(column).alias("_first"))
         after = firsts.select(*keys, "_chunk", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_chunk")).alias("_after"))
-        out = (out.join(_if_small(after, chunks), [*keys, "_chunk"], "left")
+        out = (_carried(out, after, keys, chunks)
                .withColumn(name, F.coalesce(name, "_after")).drop("_after"))
     return out.drop("_chunk", "_hot")
 

@@ -68,6 +68,17 @@ def test_lags_keep_null_values(spark):
         assert rows[4]["lags"] == [None, 2.0]
 
 
+def test_hot_series_with_a_null_key(spark):
+    df = spark.range(900).select(F.when(F.col("id") % 9 == 0, "a").alias("k"), F.when(F.col("id") % 2 == 0, 1).alias("j"),
+                                 F.col("id").alias("t"), (F.col("id") % 7).cast("double").alias("value"))
+    rows = lambda made: sorted(made.select(sorted(made.columns)).collect(), key=lambda r: r.t)
+    for fn in (lambda n: series.with_lags(df, ["k", "j"], ["t"], "value", 3, n), lambda n: series.with_lags(df, ["k", "j"], ["t"], "value", 9, n),
+               lambda n: series.with_running(df, ["k", "j"], ["t"], "value", n), lambda n: series.with_page(df, ["k", "j"], ["t"], 10, n),
+               lambda n: series.with_next(df, ["k", "j"], "t", n), lambda n: series.difference(df, ["k", "j"], ["t"], "value", n)):
+        assert rows(fn(40)) == rows(fn(None))
+        assert fn(40).columns == fn(None).columns
+
+
 def test_difference_and_back(skewed):
     df, pdf = skewed
     d = series.difference(df, ["k"], ["t", "id"], "value", 40)

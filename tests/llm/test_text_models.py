@@ -1,5 +1,6 @@
 import math
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -199,6 +200,37 @@ def test_scan_agrees_with_the_plain_one(spark, texts):
     assert scanner.scan(mit)[0] == "MIT" and scanner.scan(more[4])[0] == "MIT" and scanner.scan(more[5])[0] in ("GPL-2.0", "all-rights-reserved")
 
 
+@pytest.mark.parametrize("mark", ["", " * ", "# ", "// ", "-- "])
+@pytest.mark.parametrize("name, width", [(n, w) for n in ("GPL-3.0", "GPL-2.0", "LGPL-3.0", "AGPL-3.0", "MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0")
+                                         for w in (30, 72)])
+def test_wrapped_headers(mark, name, width):
+    notice = max((t for n, t in licenses.TEMPLATES if n == name), key=len)
+    lines = [mark + line for line in textwrap.wrap(notice, width)]
+    head = [mark + "Copyright (C) 2019 some one <a@b.c>", mark.rstrip(), mark + "part of a tool that reads numbers"]
+    tail = [mark + "and it goes on here with other words.", "import os", "x = 1", "", "def f(x):", "    return x + 1"]
+    got = licenses.Scanner().scan("\n".join(head + lines + tail))
+    assert got[:2] == (name, 1.0) and got[2] >= len(lines)
+
+
+def test_bodies_and_near_licences():
+    scan = licenses.Scanner().scan
+    met = ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are\nmet:\n"
+           "1. Redistributions of source code must retain the above copyright\nnotice, this list of conditions and the following disclaimer.\n"
+           "2. Redistributions in binary form must reproduce the above copyright\nnotice, this list of conditions and the following disclaimer in the\n"
+           "documentation and/or other materials provided with the distribution.\n")
+    third = ("3. Neither the name of the copyright holder nor the names of its\ncontributors may be used to endorse or promote products derived from\n"
+             "this software without specific prior written permission.\n")
+    end = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS\n"AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.'
+    assert scan(met + end)[:2] == ("BSD-2-Clause", 1.0) and scan(met + third + end)[:2] == ("BSD-3-Clause", 1.0)
+    assert scan('1.1. "Contributor"\n    means each individual or legal entity that creates, contributes to\n    the creation of, or owns Covered Software.\n\n'
+                '1.2. "Contributor Version"\n    means the combination of the Contributions of others')[:2] == ("MPL-2.0", 1.0)
+    assert scan("x\n\nBy exercising the Licensed Rights (defined below), You accept and agree to\nbe bound by the terms and conditions of this Creative Commons\n"
+                "Attribution-ShareAlike 4.0 International Public License (\"Public License\"). To the\nextent this Public License may be interpreted as a contract")[:2] == (
+                    "CC-BY-SA-4.0", 1.0)
+    assert scan("This tool and all of its parts are released under the MIT License, see there, by the people who wrote it.") == ("MIT", 1.0, 1)
+    assert scan("we licensed\nmany things under\nthe sun and all\nrights to them") == (None, 0.0, 0)
+
+
 def test_scan_of_odd_tables(spark, docs, nothing):
     got = licenses.scan_licenses(docs)
     assert got.count() == docs.count() and got.where("text is null and (license is not null or dice <> 0)").isEmpty()

@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from gaugeworks.llm.text import map_texts
 
 SAMPLE, QUANTILE = 4000, 0.999
+#: Fewest texts a language is learnt from while others of its texts are kept for its rejection limit.
+FEW = 20
 ORDER, SHARPNESS = 4, 10.0
 _BLANK, _PAD = 0x20, 3
 _CHARS = 4_000_000
@@ -219,7 +221,8 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample: int = SAMPLE,
           quantile: float = QUANTILE) -> Model:
-    """Fit on a sample of the labelled texts of ``docs``; a fifth of the sample calibrates the rejection."""
+    """Fit on a sample of the labelled texts of ``docs``; a fifth of the sample calibrates the rejection. A language with fewer
+    than ``FEW`` texts outside that fifth is learnt from all of them, and nothing is rejected by it."""
     rows = docs.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text"),
                        F.pmod(F.xxhash64(F.col(f"`{doc_id}`")), F.lit(1_000_000)).alias("spot")).where("lang is not null and text is not null")
     sizes = [(r.lang, min(1.0, sample / r.n)) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()]
@@ -228,6 +231,15 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
     rate = F.element_at(F.create_map(*[F.lit(v) for pair in sizes for v in pair]), F.col("lang"))
     drawn = rows.where(F.col("spot") < rate * 1_000_000)
     tune = F.col("spot") % 5 == 0
+    enough = {r.lang for r in drawn.where(~tune).groupBy("lang").agg(F.count("*").alias("n")).collect() if r.n >= min(FEW, sample // 2)}
+    few = [(name, share) for name, share in sizes if name not in enough]
+    if few:
+        # Repeated ids share one spot: where the draw thins out such a language, its first texts by spot and hash are taken.
+        thinned = [name for name, share in few if share < 1]
+        drawn = drawn.where(~F.col("lang").isin(thinned)) if thinned else drawn
+        for name in thinned:
+            drawn = drawn.unionByName(rows.where(F.col("lang") == name).orderBy("spot", F.xxhash64("text")).limit(sample))
+        tune &= ~F.col("lang").isin([name for name, _ in few])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

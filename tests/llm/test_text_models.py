@@ -155,6 +155,18 @@ def test_languages_of_held_out_rows(spark):
     assert right / n > 0.97 and got.count() == 1000 and got.where("score < 0 or score > 1").isEmpty()
 
 
+@pytest.mark.parametrize("copies, sample", [(1, 4000), (300, 4000), (300, 40)])
+def test_languages_with_few_labels_or_one_id_are_learnt(spark, copies, sample):
+    # Ids of the fifth that calibrates, and the greatest spot of many, which a draw leaves out.
+    spots = spark.range(10_000).select("id", F.pmod(F.xxhash64("id"), F.lit(1_000_000)).alias("spot")).where("spot % 5 = 0").orderBy("spot").collect()
+    greek = [(spots[-1].id, f"λόγος τοῦ ἀνθρώπου ἐν ἀρχῇ {i}", "el") for i in range(copies)]
+    latin = [(i, f"the quick brown fox jumps over the lazy dog {i}", "en") for i in range(100)]
+    model = language_id.learn(spark.createDataFrame(greek + latin, "doc_id long, text string, lang string"), sample=sample)
+    assert model.languages == ["el", "en"] and model.limits[0] == float("inf") and model.limits[1] < float("inf")
+    got = language_id.with_language(spark.createDataFrame([("ἐν ἀρχῇ τοῦ λόγος",)], "text string"), model).first()
+    assert got.lang_pred == "el" and got.accepted
+
+
 def test_undetermined_texts_and_rejection(spark, docs, nothing):
     model = language_id.learn(queries.table(spark, SF01, "documents"))
     odd = spark.createDataFrame([(0, None), (1, ""), (2, "123 !?"), (3, "\x00"), (4, "Ω λόγος τοῦ ἀνθρώπου"), (5, "a"), (6, "𝒜𝒷𝒸")], "doc_id long, text string")

@@ -6,7 +6,8 @@ the most lenient one downwards, and the last cutoff before the first failed test
 binomial bound says that at most ``risk / rules`` of the good documents are rejected, at confidence
 ``1 - error / (rules * strata)``: fixed-sequence testing within a rule, Bonferroni across rules and strata. Strata whose
 holdouts are too small to pass any test are pooled (by their size alone) and tested as one; if the pool is too small as
-well, or a stratum has no labelled row, its documents are judged by the base rules alone.
+well, or a stratum has no labelled row, its documents are judged by the base rules alone. The bound of the pool holds for
+its mix; so are therefore those of a pooled stratum whose own labelled good rows lose more than ``risk`` to the pool's cutoffs.
 """
 
 from __future__ import annotations
@@ -88,7 +89,8 @@ def lowest_cutoff(cells: dict[int, int], steps: int, risk: float, error: float)
 
 def learn_cutoffs(stats: DataFrame, labels: DataFrame, stratum: str, risk: float = RISK,
                   error: float = ERROR) -> DataFrame:
-    """``stratum, pooled, cutoffs map<rule, double>``: one row per stratum for which any rule passed.
+    """``stratum, pooled, cutoffs map<rule, double>, good, lost``: one row per stratum for which any rule passed. ``good`` counts
+    its labelled good rows, ``lost`` those beyond a cutoff (once per rule); null cutoffs leave the base rules alone.
 
     ``stats`` holds ``doc_id``, the stratum and the counts, ``labels`` the columns ``doc_id, good``. Good documents that
     pass the base rules are counted by stratum, rule and grid cell; all further work is on these counts.
@@ -101,7 +103,7 @@ def learn_cutoffs(stats: DataFrame, labels: DataFrame, stratum: str, risk: float
     sizes = counts.where(F.col("rule") == RULES[0][0]).groupBy("stratum").agg(F.sum("n").alias("size"))
     each_risk = risk / len(RULES)
     least = _least_holdout(each_risk, error / (len(RULES) * max(1, sizes.count())))
-    groups = cut(sizes.select("stratum", (F.col("size") < least).alias("pooled"),
+    groups = cut(sizes.select("stratum", "size", (F.col("size") < least).alias("pooled"),
                               F.when(F.col("size") >= least, F.col("stratum")).alias("pool")))
     each_error = error / (len(RULES) * max(1, groups.select("pooled", "pool").distinct().count()))
     steps = {r[0]: (r[3], r[4]) for r in RULES}
@@ -114,11 +116,17 @@ def learn_cutoffs(stats: DataFrame, labels: DataFrame, stratum: str, risk: float
         return pd.DataFrame(rows, columns=["pooled", "pool", "rule", "cutoff"])
 
     cells = counts.join(groups.withColumnRenamed("stratum", "_s"), F.col("stratum").eqNullSafe(F.col("_s")))
-    chosen = cells.groupBy("pooled", "pool", "rule").applyInPandas(choose, "pooled boolean, pool string, rule string, cutoff double")
+    chosen = cut(cells.groupBy("pooled", "pool", "rule").applyInPandas(choose, "pooled boolean, pool string, rule string, cutoff double"))
     maps = chosen.groupBy(F.col("pooled").alias("_pooled"), F.col("pool").alias("_pool")).agg(
         F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
-    return cut(groups.join(maps, (F.col("pooled") == F.col("_pooled")) & F.col("pool").eqNullSafe(F.col("_pool")))
-               .select("stratum", "pooled", "cutoffs"))
+    step = F.create_map(*[F.lit(v) for r in RULES for v in (r[0], r[3])])
+    there = groups.join(maps, (F.col("pooled") == F.col("_pooled")) & F.col("pool").eqNullSafe(F.col("_pool")))
+    beyond = F.col("cell") > F.round(F.col("cutoffs")[F.col("rule")] / step[F.col("rule")])
+    rows = there.join(counts.withColumnRenamed("stratum", "_s"), F.col("stratum").eqNullSafe(F.col("_s")))
+    lost = rows.groupBy("stratum").agg(F.sum(F.when(beyond, F.col("n")).otherwise(0)).alias("lost"))
+    own = there.join(lost.withColumnRenamed("stratum", "_s"), F.col("stratum").eqNullSafe(F.col("_s")))
+    return cut(own.select("stratum", "pooled", F.when(~F.col("pooled") | (F.col("lost") <= risk * F.col("size")), F.col("cutoffs")).alias("cutoffs"),
+                          F.col("size").alias("good"), "lost"))
 
 
 def _least_holdout(risk: float, error: float) -> int:

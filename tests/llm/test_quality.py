@@ -66,6 +66,21 @@ def test_rules_hold_the_risk_and_pool_small_strata(spark):
     assert {(r.bad, r.kept) for r in verdicts} == {(True, False), (False, True)}
 
 
+def test_a_small_stratum_does_not_pay_for_the_pool(spark):
+    # 70 small languages of 99 good rows; in one of them 14 good rows have as many symbols as the bad rows have.
+    n = F.col("id")
+    bad, lang = n % 100 == 0, F.floor(n / 100) % 70
+    stats = spark.range(7000).select(
+        n.alias("doc_id"), F.concat(F.lit("small"), lang.cast("string")).alias("lang"),
+        *[F.when(bad | ((lang == 3) & (n % 100 < 15)), 300).otherwise(0).alias(c) if c == "n_symbols" else F.lit(400 if c == "n_words" else 0).alias(c) for c in NAMES])
+    cutoffs = quality_rules.learn_cutoffs(stats, spark.range(7000).select(n.alias("doc_id"), (~bad).alias("good")), "lang")
+    rows = {r.stratum: r for r in cutoffs.collect()}
+    assert all(r.pooled and r.good == 99 for r in rows.values()) and len(rows) == 70
+    assert (rows["small3"].lost, rows["small3"].cutoffs) == (14, None) and rows["small4"].lost == 0
+    judged = quality_rules.with_verdict(stats, cutoffs, "lang").withColumn("good", F.col("doc_id") % 100 != 0)
+    assert judged.where("good and not kept").isEmpty() and judged.where("kept and not good").select("lang").distinct().count() == 1
+
+
 def test_rules_on_odd_and_empty_tables(spark, docs, nothing):
     labels = spark.createDataFrame([(0, True), (1, None), (None, True)], "doc_id long, good boolean")
     for d in (docs, nothing):

@@ -126,7 +126,7 @@ def with_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
         if value:
             out = out.withColumn("running_sum", F.when(
                 F.col("running_sum").isNull(), F.col("_s0")).otherwise(
-                F.col("running_sum") + F.coalesce("_s0", F.lit(0.0))))
+                F.col("running_sum") + F.coalesce("_s0", F.lit(0))))
         out = out.drop("_n0", "_s0")
     return out.drop("_chunk", "_hot")
 

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import bloom_lm, language_id, licenses, minmax_dedup, mixing, packing, quality_qda, quality_rules, url_templates, vector_forest
+from gaugeworks.llm import (bit_packing, bloom_lm, language_id, licenses, minmax_dedup, mixing, packing, periodic_runs, prefix_trie, quality_qda,
+                            quality_rules, url_templates, vector_forest)
 from gaugeworks.llm.stats import with_stats
-from gaugeworks.llm.text import crc_mod
+from gaugeworks.llm.text import WORD_PATTERN, crc_mod
 from gaugeworks.session import cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +165,119 @@ def op10_minmax_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Near-duplicate groups of all documents: three-word shingles, similarity of at least 0.85."""
     found = minmax_dedup.near_duplicates(table(spark, sf, "documents"), width=3, percent=85)
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+#: SQL text of the unsigned crc32 of decimal digits: every byte is followed by eight shifts (-1) of the remainder.
+_SQL_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split({0}, ''), lambda ch:
+  [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1
+  THEN xor(c // 2, 3988292384) ELSE c // 2 END), 4294967295)"""
+
+ORACLES["op11_periodic_runs"] = r"""
+WITH src AS (SELECT row_number() OVER () AS r, doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(text, '[^\x20\x09-\x0D]+') END AS w,
+  CASE WHEN doc_id IS NOT NULL THEN {crc} ELSE 1 END AS h FROM documents),
+par AS (SELECT *, h // 10 AS g, len(w) AS n FROM src),
+pa2 AS (SELECT *, CASE WHEN n > 0 THEN g % n ELSE 0 END AS a FROM par),
+pa3 AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM pa2),
+docs AS (SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN
+  list_transform(range(n), lambda i: w[(CASE WHEN i < a THEN i ELSE a + (i - a) % p END)::BIGINT + 1]) ELSE w END AS w FROM pa3),
+win AS (SELECT r, n, i, hash(w[i + 1], w[i + 2], w[i + 3], w[i + 4], w[i + 5]) AS x, w[i + 1:i + 5] AS five FROM (SELECT r, n, w, unnest(range(n - 4)) AS i FROM docs WHERE n > 5)),
+eq AS (SELECT u.r, u.i, v.i - u.i AS d FROM win u JOIN win v ON u.r = v.r AND u.x = v.x AND u.five = v.five AND v.i > u.i AND v.i - u.i <= u.n / 4),
+isl AS (SELECT r, d, min(i) AS s, count(*) + 4 AS l FROM (SELECT *, i - row_number() OVER (PARTITION BY r, d ORDER BY i) AS grp FROM eq) GROUP BY r, d, grp),
+runs AS (SELECT r, s, l + d AS length, min(d) AS period FROM isl WHERE l + d >= 6 AND l >= 3 * d GROUP BY r, s, l + d),
+best AS (SELECT r, s, length, period, row_number() OVER (PARTITION BY r ORDER BY length::DECIMAL(38, 10) / period DESC, s, period) AS k FROM runs),
+txt AS (SELECT r, count(*) AS n_runs, string_agg(s || ',' || length || ',' || period || chr(10), '' ORDER BY s, period) AS t FROM runs GROUP BY r),
+gone AS (SELECT DISTINCT r, unnest(range(s + period, s + length)) AS i FROM runs),
+col AS (SELECT r, string_agg(x, ' ' ORDER BY i) AS c FROM (SELECT r, unnest(range(n)) AS i, unnest(w) AS x FROM docs) ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period,
+  (1000 * length // period)::BIGINT AS exponent_milli, sha256(coalesce(t, '')) AS runs_sha256, sha256(coalesce(c, '')) AS collapsed_sha256
+FROM docs LEFT JOIN txt ON txt.r = docs.r LEFT JOIN best ON best.r = docs.r AND k = 1 LEFT JOIN col ON col.r = docs.r""".replace(
+    "{crc}", _SQL_CRC32.format("doc_id::VARCHAR"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: of each tenth document, by crc32 of its id, the words from a place on repeat in a period. Rows
+    without an id stay as they are."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD_PATTERN), F.lit(0))
+
+    def repeated(w):
+        n, g = F.size(w).cast("long"), F.floor(F.col("_crc") / 10)
+        a = g % n
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
+        # Place and period are values of their own within the list of places, worked out once a text.
+        at = F.transform(F.array(F.struct(a.alias("a"), p.alias("p"))), lambda v: F.transform(
+            F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.when(i < v["a"], i).otherwise(v["a"] + (i - v["a"]) % v["p"])))[0]
+        return F.array_join(F.transform(at, lambda i: F.get(w, i.cast("int"))), " ")
+
+    planted = F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, repeated(w)))[0]
+    return (docs.select("doc_id", "text", crc.alias("_crc"))
+            .select("doc_id", F.when(F.col("_crc") % 10 == 0, planted).otherwise(F.col("text")).alias("text")))
+
+
+@_query
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs of every document, after some texts have been made periodic: their number, the most repeated one, and digests of
+    all runs and of the collapsed text."""
+    found = periodic_runs.with_runs(with_planted_runs(table(spark, sf, "documents")), keep=["doc_id"])
+    best = F.aggregate("runs", F.expr("cast(null as struct<start:long,length:long,period:long>)"), lambda b, r: F.when(
+        b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b))
+    lines = F.array_join(F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@_query
+def op12_bit_packed_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Place, number and checksum of the token ids of every document, read back from the files of packed ids."""
+    import public_tokenizers
+
+    folder = bit_packing.fresh_folder(spark)
+    bit_packing.write_files(table(spark, sf, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return bit_packing.read_documents(spark, folder)
+
+
+ORACLES["op13_prefix_trie"] = r"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+  md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, {crc} % 4 AS h, conv_id - conv_id % 20 AS base FROM (SELECT DISTINCT conv_id FROM t)),
+a AS (SELECT c.conv_id, 0 AS part, pos, role, text FROM c JOIN t ON t.conv_id = c.base AND pos <= h
+  UNION ALL SELECT c.conv_id, 1, pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND pos > h),
+b AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS pos, md5(length(role) || ':' || role || text) AS d,
+  coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS words FROM a),
+l AS (SELECT c.conv_id, coalesce(list(d ORDER BY pos) FILTER (d IS NOT NULL), []) AS ds, coalesce(list(words ORDER BY pos) FILTER (d IS NOT NULL), []) AS ws
+  FROM c LEFT JOIN b ON b.conv_id = c.conv_id GROUP BY c.conv_id),
+m AS (SELECT conv_id, len(ds) AS size, d AS depth, array_to_string(ds[1:d], ',') AS node, CASE WHEN d > 0 THEN array_to_string(ds[1:d - 1], ',') END AS parent,
+  CASE WHEN d > 0 THEN ws[d] ELSE 0 END AS words FROM (SELECT *, unnest(range(len(ds) + 1)) AS d FROM l)),
+n AS (SELECT depth, node, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+  coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = depth), '') AS ends FROM m GROUP BY depth, node),
+k AS (SELECT depth - 1 AS depth, parent AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+v AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (depth, node)),
+u AS (SELECT x.depth, x.node, sum(CASE WHEN v.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((v.n_convs - 1) * v.words) AS saved
+  FROM v JOIN m ON m.conv_id = v.conv_id AND m.depth <= v.depth JOIN n x ON x.depth = m.depth AND x.node = m.node GROUP BY ALL)
+SELECT v.conv_id, v.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, v.n_convs::BIGINT AS n_convs, v.n_children::BIGINT AS n_children,
+  u.n_leaves::BIGINT AS n_leaves, u.saved::BIGINT AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM v JOIN u ON u.depth = v.depth AND u.node = v.node LEFT JOIN n p ON p.depth = v.depth - 1 AND p.node = v.parent""".replace(
+    "{crc}", _SQL_CRC32.format("conv_id::VARCHAR"))
+
+
+def rebuilt_turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns of conversations that begin like the first one of their twenty, and all conversations, turnless ones included."""
+    plain = cut(prefix_trie.numbered(cut(prefix_trie.turn_digests(conversations)), ["turn"]))
+    h = F.crc32(F.col("conv").cast("string").cast("binary")) % 4
+    convs = cut(plain.select("conv").distinct())
+    heads = plain.where("conv % 20 = 0 and pos <= 3").select(F.col("conv").alias("base"), "pos", "digest", "words")
+    given = (convs.withColumn("h", h).join(heads, (F.col("conv") - F.col("conv") % 20 == F.col("base")) & (F.col("pos") <= F.col("h")))
+             .select("conv", F.lit(0).alias("part"), "pos", "digest", "words"))
+    own = plain.where(F.col("pos") > h).select("conv", F.lit(1).alias("part"), "pos", "digest", "words")
+    return cut(prefix_trie.numbered(cut(given.unionByName(own)), ["part", "pos"])), convs
+
+
+@_query
+def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    """All nodes of the prefix trie of the rebuilt conversations."""
+    nodes, ends = prefix_trie.prefix_trie(*rebuilt_turns(table(spark, sf, "conversations")))
+    return nodes.join(prefix_trie.ends_digests(ends), ["depth", "key"], "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256"))

@@ -31,6 +31,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -47,14 +48,22 @@ MAGIC, _HEADER = b"GWBITS01", struct.Struct("<IIQQQ")
 GROUP, BLOCK_IDS, FILE_IDS = 32, 4096, 1 << 23
 END_ID = 0
 #: Known pieces of text a worker keeps, and their greatest length; longer ones are encoded each time.
-CACHE_PIECES, CACHE_CHARS = 500_000, 64
+CACHE_PIECES, CACHE_CHARS = 400_000, 64
 FOLDER_FILES = 1000
-_ENCODE_ROWS, _LINES = 256, 2000
+_ENCODE_ROWS = 512
 _FIRST = "\x00"
 _MANIFEST = "file string, n_docs long, n_ids long"
 _READ = "file string, place long, doc_id long, local long, n_tokens long, ids_crc32 long"
 # A blank before a character that is no white space begins a new piece in byte-level vocabularies.
 _PIECES = re.compile(r" (?=\S)")
+# Letters, runs of ASCII signs (no apostrophe, and no "<", which may begin a special token) and line feeds, each a token of its own.
+_LETTERS, _SIGNS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", r"!-&(-/:;=-@\[-`{-~"
+_PLAIN = re.compile(rf"[{_LETTERS}]+(?:(?:[{_SIGNS}]+\n?|\n)[{_LETTERS}]+)*[{_SIGNS}]*")
+_PARTS = re.compile(rf"[{_LETTERS}]+|[{_SIGNS}]+|\n")
+# The printable characters that stand for the 256 bytes in byte-level vocabularies: those that print stand for themselves.
+_PRINT = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_OTHERS = {b: 0x100 + k for k, b in enumerate(b for b in range(256) if b not in _PRINT)}
+_BYTES, _BLANK = _OTHERS, chr(_OTHERS[0x20])
 
 
 def bit_width(vocabulary: int) -> int:
@@ -155,8 +164,10 @@ class PieceEncoder:
     """Ids of texts through the ``tokenizers`` library, which sees each frequent piece of text once.
 
     Byte-level vocabularies never join what stands before a blank with what follows it, so a text is cut there, and pieces met
-    before take their ids from a bounded table. New pieces go to the library many at a time, each on a line of its own where
-    line feeds are found to be ids of their own. ``whole=True`` encodes texts as they are, for vocabularies of another kind.
+    before take their ids from a table of two generations: when the young one is full it becomes the old one, and what is
+    met again moves back, so frequent pieces stay. New pieces of letters, signs and line feeds go to the model of the vocabulary word by
+    word; all others, and all where the vocabulary is found to cut in another way, go through the whole pipeline of the library.
+    ``whole=True`` encodes texts as they are, for vocabularies of another kind.
     """
 
     def __init__(self, file: str, special_as_text: bool = False, whole: bool = False):
@@ -165,42 +176,65 @@ class PieceEncoder:
         self._tok = Tokenizer.from_file(file)
         self._tok.encode_special_tokens = special_as_text
         self.vocabulary = self._tok.get_vocab_size(with_added_tokens=True)
-        self._whole, self._known = whole, {}
-        one, line, two, both = self._encode([" a", "\n", " b", " a\n b"])
-        self._line = int(line[0]) if len(line) == 1 and np.array_equal(np.concatenate([one, line, two]), both) else None
+        self._whole, self._model = whole, self._tok.model
+        self._signs: dict[str, bytes] = {}
+        self._known, self._by_word = _Known(self._piece, {}), True
+        probe = " ab.\nCd,ef gh\u00e9 xyzzyq"
+        self._by_word = not whole and np.array_equal(self._encode([probe])[0], self([probe])[0])
+        self._known = _Known(self._piece, {})
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of pieces. A piece has lost the blank it was cut at; the first one of a text begins with a mark instead."""
-        plain = [p for p in pieces if self._line is not None and p[:1] != _FIRST and len(p.split()) == 1]
-        known = {}
-        for at in range(0, len(plain), _LINES):
-            some = plain[at:at + _LINES]
-            ids = self._encode([" " + "\n ".join(some)])[0]
-            cuts = np.flatnonzero(ids == self._line).tolist()
-            known.update((p, ids[a:b].tobytes()) for p, a, b in zip(some, [0, *(c + 1 for c in cuts)], [*cuts, len(ids)]))
-        rest = [p for p in pieces if p not in known]
-        texts = [p[1:] if p[:1] == _FIRST else " " + p for p in rest]
-        return known | {p: ids.tobytes() for p, ids in zip(rest, self._encode(texts))}
+    def _word(self, word: str, blank: str = "") -> bytes:
+        """Ids of a run of letters, by the byte alphabet of the model."""
+        mapped = blank + word if word.isascii() and word != "\n" else blank + word.encode().decode("latin-1").translate(_BYTES)
+        return array("I", [t.id for t in self._model.tokenize(mapped)]).tobytes()
+
+    def _part(self, part: str) -> bytes:
+        """Ids of what follows the first word of a piece; those of short signs are kept."""
+        ids = self._word(part)
+        if len(part) <= 2 and not part.isalpha():
+            self._signs[part] = ids
+        return ids
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece, which has lost the blank it was cut at; the first one of a text begins with a mark instead."""
+        if self._by_word:
+            if piece.isalpha():
+                return self._word(piece, _BLANK)
+            if _PLAIN.fullmatch(piece):
+                first, *others = _PARTS.findall(piece)
+                return self._known[first] + b"".join(self._signs.get(p) or self._part(p) for p in others)
+        return self._encode([piece[1:] if piece[:1] == _FIRST else " " + piece])[0].tobytes()
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if self._whole:
             return self._encode(texts)
-        cuts = [_PIECES.split(_FIRST + t) for t in texts]
-        wanted = set().union(*cuts)
-        if len(self._known) > CACHE_PIECES:
-            self._known = {}
-        made = self._learn([p for p in wanted if p not in self._known])
-        self._known.update(made)
-        out = [np.frombuffer(b"".join(map(self._known.__getitem__, c)), np.uint32) for c in cuts]
-        for p in made:
-            if p[:1] == _FIRST or len(p) > CACHE_CHARS:
-                del self._known[p]
+        out = []
+        for text in texts:
+            if len(self._known) > CACHE_PIECES:
+                self._known = _Known(self._piece, dict(self._known))
+            out.append(np.frombuffer(b"".join(map(self._known.__getitem__, _PIECES.split(_FIRST + text))), np.uint32))
         return out
 
 
+class _Known(dict):
+    """Ids of pieces met before; others come from the generation before this one, or are worked out."""
+
+    def __init__(self, make: Callable[[str], bytes], old: dict[str, bytes]):
+        super().__init__()
+        self._make, self._old = make, old
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self._old.get(piece)
+        if ids is None:
+            ids = self._make(piece)
+        if len(piece) <= CACHE_CHARS and piece[:1] != _FIRST:
+            self[piece] = ids
+        return ids
+
+
 @functools.lru_cache(maxsize=2)
 def _encoder(file: str, special_as_text: bool, whole: bool) -> PieceEncoder:
     """One encoder a worker process, so that tasks share what it has learnt."""

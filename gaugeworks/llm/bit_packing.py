@@ -27,6 +27,7 @@ an id are all kept, in the order of a hash of their texts; an empty table makes
 from __future__ import annotations
 
 import functools
+import gc
 import re
 import struct
 import uuid
@@ -211,11 +212,17 @@ class PieceEncoder:
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if self._whole:
             return self._encode(texts)
-        out = []
-        for text in texts:
-            if len(self._known) > CACHE_PIECES:
-                self._known = _Known(self._piece, dict(self._known))
-            out.append(np.frombuffer(b"".join(map(self._known.__getitem__, _PIECES.split(_FIRST + text))), np.uint32))
+        # Nothing here makes cycles, and the collector would walk the table of pieces again and again.
+        collects, out = gc.isenabled(), []
+        gc.disable()
+        try:
+            for text in texts:
+                if len(self._known) > CACHE_PIECES:
+                    self._known = _Known(self._piece, dict(self._known))
+                out.append(np.frombuffer(b"".join(map(self._known.__getitem__, _PIECES.split(_FIRST + text))), np.uint32))
+        finally:
+            if collects:
+                gc.enable()
         return out
 
 

@@ -78,6 +78,19 @@ def op3_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
 #: The rules on hosts and paths.
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
+def _sql_level(d: int) -> str:
+    """One level of the tree of templates: children, variable branches, merged children, longer prefixes."""
+    part = f"parts[{d + 1}]" if d < 15 else "array_to_string(parts[16:], '/')"
+    share = "(gg + 10.0 * every) / (ll + 10.0)"
+    return f"""k{d} AS MATERIALIZED (SELECT host, prefix, {part} AS part, sum(n) AS n, sum(labels) AS l, sum(goods) AS g FROM t{d} WHERE len(parts) > {d} GROUP BY ALL),
+b{d} AS (SELECT host, prefix, sum(n) AS nn, sum(l) AS ll, sum(g) AS gg FROM k{d} GROUP BY ALL HAVING exp(ln(sum(n)) - sum(n * ln(n)) / sum(n)) > 20.5),
+m{d} AS (SELECT host, prefix, part FROM k{d} JOIN b{d} USING (host, prefix) CROSS JOIN ev
+  WHERE 20 * n < nn AND NOT (l > 0 AND abs(g / l - {share}) > 2.58 * sqrt({share} * (1 - {share}) / l))),
+t{d + 1} AS MATERIALIZED (SELECT t.* REPLACE (CASE WHEN len(parts) > {d} THEN t.prefix || '/' || (CASE WHEN m.part IS NULL THEN {part} ELSE '*' END) ELSE t.prefix END AS prefix,
+  CASE WHEN len(parts) > {d} THEN list_append(t.t, CASE WHEN m.part IS NULL THEN {part} ELSE '*' END) ELSE t.t END AS t)
+  FROM t{d} t LEFT JOIN m{d} m ON m.host = t.host AND m.prefix = t.prefix AND m.part = {part} AND len(parts) > {d}),"""
+
+
 ORACLES["op4_url_filter"] = r"""
 WITH r AS (SELECT page_id, coalesce(url, '') AS u FROM pages),
 p AS (SELECT page_id, CASE WHEN instr(u, '://') > 0 THEN substr(u, instr(u, '://') + 3) ELSE '' END AS rest FROM r),
@@ -87,17 +100,12 @@ lab AS (SELECT doc_id, min(quality) AS good FROM labels WHERE quality IN (0, 1)
 m AS (SELECT page_id, host, path, regexp_replace(regexp_replace(path, '^/', ''), '[0-9]+', '*', 'g') AS shape, good
   FROM q LEFT JOIN lab ON doc_id = TRY_CAST(regexp_extract(path, '([0-9]+)[^0-9/]*/?$', 1) AS BIGINT)),
 s AS (SELECT host, shape, count(*) AS n, count(good) AS labels, coalesce(sum(good), 0) AS goods FROM m GROUP BY host, shape),
-st AS (SELECT host, shape, n, parts, d AS depth, parts[d + 1] AS part, array_to_string(parts[1:d], '/') AS prefix
-  FROM (SELECT host, shape, n, string_split(shape, '/') AS parts, unnest(range(len(string_split(shape, '/')))) AS d FROM s)),
-ch AS (SELECT host, prefix, depth, part, sum(n) AS n FROM st GROUP BY ALL),
-va AS (SELECT host, prefix, depth FROM ch GROUP BY ALL HAVING count(*) > 20 AND sum(n) < 3 * count(*)),
-tp AS (SELECT st.host, shape, list(CASE WHEN va.host IS NULL THEN part ELSE '*' END ORDER BY st.depth) AS t
-  FROM st LEFT JOIN va ON st.host = va.host AND st.prefix = va.prefix AND st.depth = va.depth GROUP BY st.host, shape),
-lv AS (SELECT host, shape, labels, goods, d AS depth, CASE WHEN d = 0 THEN '' ELSE '/' || array_to_string(t[1:d], '/') END AS node,
+ev AS (SELECT (coalesce(sum(goods), 0) + 1)::DOUBLE / (coalesce(sum(labels), 0) + 2) AS every FROM s),
+t0 AS (SELECT *, string_split(shape, '/') AS parts, '' AS prefix, []::VARCHAR[] AS t FROM s),
+{levels}lv AS (SELECT host, shape, labels, goods, d AS depth, CASE WHEN d = 0 THEN '' ELSE '/' || array_to_string(t[1:d], '/') END AS node,
   CASE WHEN d = 0 THEN NULL WHEN d = 1 THEN '' ELSE '/' || array_to_string(t[1:d - 1], '/') END AS parent
-  FROM (SELECT *, unnest(range(len(t) + 1)) AS d FROM s JOIN tp USING (host, shape))),
+  FROM (SELECT *, unnest(range(len(t) + 1)) AS d FROM t16)),
 nd AS (SELECT host, depth, node, sum(labels)::DOUBLE AS labels, sum(goods)::DOUBLE AS goods, max(parent) AS parent FROM lv GROUP BY ALL),
-ev AS (SELECT (coalesce(sum(goods), 0) + 1)::DOUBLE / (coalesce(sum(labels), 0) + 2) AS every FROM s),
 ab AS (SELECT nd.*, CASE WHEN nd.depth = 0 THEN every ELSE (u.goods + 10.0 * every) / (u.labels + 10.0) END AS above
   FROM nd CROSS JOIN ev LEFT JOIN nd u ON u.host = nd.host AND u.depth = nd.depth - 1 AND u.node = nd.parent WHERE nd.labels > 0),
 jd AS (SELECT host, depth, node, (goods + 10.0 * above) / (labels + 10.0) AS purity FROM ab
@@ -110,7 +118,7 @@ rl AS (SELECT page_id, m.host, path, shape, CASE
   WHEN (m.host = 'net' OR ends_with(m.host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM m)
 SELECT page_id, rl.host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
   WHEN bad.host IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
-FROM rl LEFT JOIN bad ON bad.host = rl.host AND bad.shape = rl.shape"""
+FROM rl LEFT JOIN bad ON bad.host = rl.host AND bad.shape = rl.shape""".replace("{levels}", "\n".join(map(_sql_level, range(16))))
 
 
 @_query
@@ -157,7 +165,8 @@ def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     held_out = crc_mod(F.col("doc_id"), 4) == 2
     model = language_id.learn(docs.where(~held_out))
-    return language_id.with_language(docs, model, keep=["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+    return language_id.with_language(docs, model, keep=["doc_id"]).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
 
 
 @_query

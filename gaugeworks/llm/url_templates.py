@@ -1,7 +1,10 @@
 """URL filter by a tree of path templates per host, in DataFrame operations only.
 
-Digit runs in a path become wildcards at once. Among what remains, the children of a branch become one wildcard if there
-are many and most are rare. The nodes of the tree are all prefixes of the templates of a host, and below them the host and
+Digit runs in a path become wildcards at once. The tree is then walked from the host down, on prefixes that are generalised
+already. A branch is variable if its pages spread over many children: the perplexity of their shares is above ``SPREAD``. Its children
+become one wildcard, but for those that hold one page in ``NAMED`` or more and those whose share of good labels differs significantly
+from that of the branch: siblings that labels tell apart are not merged. Both measures are shares, so more pages of the same kind never
+change a template. Beyond ``LEVELS`` segments the rest of a path is one last segment. The nodes of the tree are all prefixes of the templates of a host, and below them the host and
 the whole corpus. A branch whose share of good labels does not differ significantly from that of its parent is merged into
 it, so a template is judged by its deepest branch that stands out; it is rejected if the smoothed share of good labels there,
 drawn toward the parent by ``PRIOR`` pseudo-labels, is below ``LEAST_PURITY``. Rules on host and path come first.
@@ -19,7 +22,8 @@ from pyspark.sql import functions as F
 
 from gaugeworks.session import cut
 
-MANY_CHILDREN, RARE = 20, 3
+# Half a child keeps evenly spread branches of whole numbers of children off the edge.
+SPREAD, NAMED, LEVELS = 20.5, 20, 16
 PRIOR, LEAST_PURITY, Z = 10.0, 0.5, 2.58
 SALTS = 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -42,29 +46,52 @@ def longest_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> tu
         fits = ((host == own) | host.endswith("." + own)) & path.startswith(slash + rest)
         names.append(F.when(fits, rule))
         verdicts.append(F.when(fits, verdict))
-    return F.coalesce(*names), F.coalesce(*verdicts)
+    none = F.lit(None).cast("string")
+    return F.coalesce(*names, none), F.coalesce(*verdicts, none)
+
+
+def _differs(goods: Column, labels: Column, share: Column, z: float) -> Column:
+    """Whether good labels among ``labels`` are significantly more or fewer than ``share``; never without labels."""
+    n = labels.cast("double")
+    return (labels > 0) & (F.abs(F.try_divide(goods.cast("double"), n) - share) > z * F.sqrt(F.try_divide(share * (1 - share), n)))
+
+
+def generalised(shapes: DataFrame, every: Column, prior: float = PRIOR, z: float = Z) -> DataFrame:
+    """``host, shape, labels, goods, t``: the template of each shape as an array of segments. ``shapes`` has ``host, shape, n, labels,
+    goods``. One round a level of the tree; only branches that are variable and their merged children, none of which holds
+    more than one page in ``NAMED``, are joined to the shapes."""
+    rows = shapes.withColumns({"parts": F.split("shape", "/"), "prefix": F.lit(""), "t": F.expr("cast(array() as array<string>)")})
+    deepest = shapes.agg(F.max(F.size(F.split("shape", "/")))).first()[0] or 0
+    for depth in range(min(deepest, LEVELS)):
+        last = F.array_join(F.slice("parts", LEVELS, F.greatest(F.size("parts") - (LEVELS - 1), F.lit(0))), "/")
+        part = F.when(F.size("parts") > depth, last if depth == LEVELS - 1 else F.get("parts", F.lit(depth)))
+        rows = rows.withColumn("part", part)
+        kids = cut(rows.where("part is not null").groupBy("host", "prefix", "part").agg(*[F.sum(c).alias(c) for c in ("n", "labels", "goods")]))
+        perplexity = F.exp(F.ln(F.sum("n")) - F.sum(F.col("n") * F.ln("n")) / F.sum("n"))
+        branches = kids.groupBy("host", "prefix").agg(
+            F.sum("n").alias("_n"), F.sum("labels").alias("_labels"), F.sum("goods").alias("_goods"), perplexity.alias("_spread")).where(F.col("_spread") > SPREAD)
+        share = (F.col("_goods") + prior * every) / (F.col("_labels") + prior)
+        merged = cut(kids.join(branches, ["host", "prefix"]).where(
+            (NAMED * F.col("n") < F.col("_n")) & ~_differs(F.col("goods"), F.col("labels"), share, z))
+            .select(F.col("host").alias("_h"), F.col("prefix").alias("_p"), F.col("part").alias("_c")))
+        wild = F.when(F.col("_c").isNotNull(), "*").otherwise(F.col("part"))
+        rows = cut(rows.join(merged, (F.col("host") == F.col("_h")) & (F.col("prefix") == F.col("_p")) & (F.col("part") == F.col("_c")), "left")
+                   .withColumns({"t": F.when(F.col("part").isNull(), F.col("t")).otherwise(F.concat("t", F.array(wild))),
+                                 "prefix": F.when(F.col("part").isNull(), F.col("prefix")).otherwise(F.concat("prefix", F.lit("/"), wild))})
+                   .drop("_h", "_p", "_c", "part"))
+    return rows.select("host", "shape", "labels", "goods", "t")
 
 
 def rejected_shapes(urls: DataFrame, least_purity: float = LEAST_PURITY, prior: float = PRIOR, z: float = Z) -> DataFrame:
     """``host, shape`` of the path shapes that labels reject. ``urls``: ``host, shape, good`` (1, 0 or null)."""
     shapes = cut(urls.groupBy("host", "shape").agg(F.count("*").alias("n"), F.count("good").alias("labels"),
                                                    F.coalesce(F.sum("good"), F.lit(0)).alias("goods")))
-    parts = F.split("shape", "/")
-    steps = shapes.select("host", "shape", "n", parts.alias("parts"), F.posexplode(parts).alias("depth", "part")).withColumn(
-        "prefix", F.array_join(F.slice("parts", 1, F.col("depth")), "/"))
-    children = steps.groupBy("host", "prefix", "depth", "part").agg(F.sum("n").alias("n"))
-    varied = (children.groupBy("host", "prefix", "depth").agg(F.count("*").alias("k"), F.sum("n").alias("n"))
-              .where((F.col("k") > MANY_CHILDREN) & (F.col("n") < RARE * F.col("k"))))
-    varied = cut(varied.select(F.col("host").alias("_h"), F.col("prefix").alias("_p"), F.col("depth").alias("_d")))
-    named = steps.join(varied, (F.col("host") == F.col("_h")) & (F.col("prefix") == F.col("_p")) & (F.col("depth") == F.col("_d")), "left")
-    wild = F.when(F.col("_h").isNotNull(), "*").otherwise(F.col("part"))
-    templates = named.groupBy("host", "shape").agg(F.array_sort(F.collect_list(F.struct("depth", wild.alias("part")))).alias("steps"))
-    templates = templates.select("host", "shape", F.transform("steps", lambda s: s["part"]).alias("t"))
-
+    total = shapes.agg(F.sum("labels"), F.sum("goods")).first()
+    every = F.lit(((total[1] or 0) + 1) / ((total[0] or 0) + 2))
     # The nodes of a template: its host (depth 0), then ever longer starts of it.
     starts = F.transform(F.sequence(F.lit(0), F.size("t")), lambda k: F.when(k == 0, "").otherwise(
         F.concat(F.lit("/"), F.array_join(F.slice("t", F.lit(1), k), "/"))))
-    paths = shapes.join(templates, ["host", "shape"]).select("host", "shape", "labels", "goods", starts.alias("starts"))
+    paths = generalised(shapes, every, prior, z).select("host", "shape", "labels", "goods", starts.alias("starts"))
     step = F.transform("starts", lambda node, k: F.struct(
         k.alias("depth"), node.alias("node"), F.when(k > 0, F.get("starts", k - 1)).alias("parent")))
     levels = cut(paths.select("host", "shape", "labels", "goods", F.inline(step)))
@@ -72,15 +99,13 @@ def rejected_shapes(urls: DataFrame, least_purity: float = LEAST_PURITY, prior:
                                                         F.max("parent").alias("parent"))
     parents = nodes.select(F.col("host").alias("_h"), (F.col("depth") + 1).alias("_d"), F.col("node").alias("_n"),
                            F.col("labels").alias("p_labels"), F.col("goods").alias("p_goods"))
-    total = shapes.agg(F.sum("labels"), F.sum("goods")).first()
-    every = F.lit(((total[1] or 0) + 1) / ((total[0] or 0) + 2))
     above = F.when(F.col("depth") == 0, every).otherwise((F.col("p_goods") + prior * every) / (F.col("p_labels") + prior))
     n = F.col("labels").cast("double")
     judged = (nodes.where("labels > 0")
               .join(parents, (F.col("host") == F.col("_h")) & (F.col("depth") == F.col("_d")) & (F.col("parent") == F.col("_n")), "left")
               .withColumn("above", above)
               .select("host", "depth", "node", ((F.col("goods") + prior * F.col("above")) / (n + prior)).alias("purity"),
-                      (F.abs(F.col("goods") / n - F.col("above")) > z * F.sqrt(F.col("above") * (1 - F.col("above")) / n)).alias("stands_out")))
+                      _differs(F.col("goods"), F.col("labels"), F.col("above"), z).alias("stands_out")))
     last = (levels.join(judged.where("stands_out"), ["host", "depth", "node"])
             .groupBy("host", "shape").agg(F.max(F.struct("depth", "purity")).alias("m")))
     return cut(last.where(F.col("m.purity") < least_purity).select("host", "shape"))

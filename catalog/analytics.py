@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from itertools import product
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalog.base import (CPT_SQL, HEALTH, READINGS, RISKS, SCHEMAS, STATE, cpt, health, positions, query, readings,
@@ -9,11 +12,12 @@ from catalog.base import (CPT_SQL, HEALTH, READINGS, RISKS, SCHEMAS, STATE, cpt,
 from catalog.grouping import BROAD, CLASSED, DAY, ORDER
 from catalog.selecting import BOX, IN_BOX, PEAKS, peaks
 from catalog.sources import ALERTS, alert_rows
-from gaugeworks.operators import arma, bayes, dbscan, lookup, outliers, rbf, resample, series, stationarity
+from gaugeworks.operators import arma, bayes, dbscan, lookup, network, outliers, rbf, resample, series, stationarity
 from gaugeworks.plans import jobs, risk
 from gaugeworks.session import scratch_path
 from gaugeworks.sources import tables
-from gaugeworks.streaming.jobs import WindowJob, drop_report, late_rows
+from gaugeworks.streaming import keyed
+from gaugeworks.streaming.jobs import ChainedJob, WindowJob, drop_report
 
 W = "OVER (PARTITION BY sensor ORDER BY us, event_id)"
 LAGGED = f"lagged AS (SELECT sensor, us, event_id, value AS y, lag(value) {W} AS y1, lag(value, 2) {W} AS y2 FROM readings)"
@@ -179,6 +183,52 @@ def j10(spark, sf):
     return run_stream(spark, daily, spark.readStream.schema(made.schema).parquet(path))[0]
 
 
+ARRIVED = "t + event_id % 7 * 1800"
+
+
+@query("j3_arrival_windows", with_(READINGS) + f"""
+SELECT {ARRIVED} - ({ARRIVED}) % 3600 AS window_start, {ARRIVED} - ({ARRIVED}) % 3600 + 3600 AS window_end, site, count(*) AS n FROM readings GROUP BY ALL""")
+def j3(spark, sf):
+    """Windows of recorded arrival times, in a batch."""
+    return arrival_job().run_batch(arrivals(readings(spark, sf).select("event_id", "site", "ts")))
+
+
+@query("j3_arrival_stream", with_(READINGS) + f"""
+SELECT * FROM (SELECT {ARRIVED} - ({ARRIVED}) % 3600 AS window_start, {ARRIVED} - ({ARRIVED}) % 3600 + 3600 AS window_end, site, count(*) AS n
+  FROM readings GROUP BY ALL) WHERE window_end <= (SELECT max((us + event_id % 7 * 1800000000)) // 1000000 FROM readings) - 3600""")
+def j3b(spark, sf):
+    """The same as a standing job: what came late by its event time is on time by its arrival."""
+    raw = spark.readStream.schema(SCHEMAS["events"]).parquet(f"{sf}/events*.parquet")
+    return run_stream(spark, arrival_job(), arrivals(raw.select("event_id", F.col("event_type").alias("site"), "ts")))[0]
+
+
+def arrivals(df):
+    return df.withColumn("arrived", F.col("ts") + F.make_dt_interval(secs=F.col("event_id") % 7 * 1800))
+
+
+def arrival_job():
+    return WindowJob("arrivals", 3600, ["site"], result=lambda closed: closed, real_time=True, arrival="arrived")
+
+
+@query("j10_chained_in_one_query", with_(READINGS) + """
+SELECT * FROM (SELECT h - h % 86400 AS window_start, h - h % 86400 + 86400 AS window_end, site, max(n) AS busiest FROM
+  (SELECT t - t % 3600 AS h, site, count(*) AS n FROM readings GROUP BY ALL) GROUP BY ALL)
+WHERE window_end <= (SELECT max(us) FROM readings) // 1000000 - 3600""")
+def j10b(spark, sf):
+    """Two stateful stages in one stream with one checkpoint."""
+    daily = ChainedJob("busiest", DAY, ["site"], result=lambda closed: closed, state={"busiest": F.max("n")}, first=count_job(3600))
+    return run_stream(spark, daily, event_stream(spark, sf))[0]
+
+
+@query("l5_keyed_sessions", with_(READINGS) + """,
+  g AS (SELECT sensor, t, us, CASE WHEN us - lag(us) OVER (PARTITION BY sensor ORDER BY us) <= 7200000000 THEN 0 ELSE 1 END AS opens FROM readings),
+  s AS (SELECT sensor, t, sum(opens) OVER (PARTITION BY sensor ORDER BY us ROWS UNBOUNDED PRECEDING) AS no FROM g)
+SELECT sensor, min(t) AS start, max(t) AS last, count(*) AS n FROM s GROUP BY sensor, no""")
+def l5b(spark, sf):
+    """Sessions per sensor by callbacks with state of their own. Whole seconds, so that gaps are the same in both."""
+    return keyed.sessions(readings(spark, sf), ["sensor"], 7200)
+
+
 @query("j12_drop_report", "SELECT count(*) AS rows_in, CAST(0 AS BIGINT) AS rows_dropped FROM events")
 def j12(spark, sf):
     _, q = run_stream(spark, count_job(DAY), event_stream(spark, sf))
@@ -201,15 +251,29 @@ def j12c(spark, sf):
 
 
 @query("j12_late_rows_replay", with_(READINGS, """
-b AS (SELECT t, (event_id + (event_id % 7) * 40) // 100 AS batch FROM readings),
-m AS (SELECT batch, max(max(t)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 3600 AS mark
+b AS (SELECT t, (event_id + event_id % 7 * 40) * 6 // (SELECT max(event_id) + 281 FROM readings) AS batch FROM readings),
+m AS (SELECT batch, max(max(t)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - 3600 AS mark
   FROM b GROUP BY batch)""") + """
 SELECT batch, coalesce(t - t % 3600 + 3600 <= mark, false) AS late, count(*) AS n FROM b JOIN m USING (batch)
 GROUP BY ALL""")
 def j12b(spark, sf):
-    r = readings(spark, sf).withColumn(
-        "batch", F.call_function("div", F.col("event_id") + F.col("event_id") % 7 * 40, F.lit(100)))
-    return late_rows(r, "batch", 3600, 3600).groupBy("batch", "late").agg(F.count(F.lit(1)).alias("n"))
+    """Six arrival batches as micro-batches of one stream; each row is a state of its own, so refused states are refused rows. A batch
+    refuses by the watermark that the batch before it went by, which is two batches behind."""
+    rows = readings(spark, sf).select("event_id", "ts")
+    top = rows.agg(F.max("event_id")).first()[0] + 281
+    batch = F.call_function("div", (F.col("event_id") + F.col("event_id") % 7 * 40) * 6, F.lit(top))
+    path, source = scratch_path(spark, "late_rows"), scratch_path(spark, "arrivals")
+    for k in range(6):
+        rows.where(batch == k).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    job = WindowJob("late_rows", 3600, ["event_id"], result=lambda closed: closed)
+    q = job.start(stream, f"{path}/checkpoint", f"{path}/out")
+    q.awaitTermination()
+    arrived = drop_report(spark, q).where("rows_in > 0").withColumn(
+        "batch", F.row_number().over(Window.partitionBy("task").orderBy("batch")).cast("long") - 1)
+    counts = F.array(F.struct(F.lit(True).alias("late"), F.col("rows_dropped").alias("n")),
+                     F.struct(F.lit(False).alias("late"), (F.col("rows_in") - F.col("rows_dropped")).alias("n")))
+    return arrived.select("batch", F.inline(counts)).where("n > 0")
 
 
 @query("k1_mad_outliers", MAD)
@@ -219,6 +283,16 @@ def k1(spark, sf):
         {"median": F.round("median", 6), "mad": F.round("mad", 6)})
 
 
+@query("k1_mad_by_selection", with_(READINGS, """m AS (SELECT site, median(value) AS median FROM readings GROUP BY ALL),
+  d AS (SELECT site, median(abs(value - median)) AS mad FROM readings JOIN m USING (site) GROUP BY ALL)""") + """
+SELECT site, value, count(*) AS n, round(median, 6) AS median, round(mad, 6) AS mad FROM readings JOIN m USING (site) JOIN d USING (site)
+WHERE CASE WHEN mad = 0 THEN value <> median ELSE abs(value - median) / (1.4826 * mad) > 1.2 END GROUP BY ALL""")
+def k1b(spark, sf):
+    """Groups too large for one task: their medians are found by repeated selection."""
+    found = outliers.mad_outliers(readings(spark, sf), ["site"], threshold=1.2, target_rows=100)
+    return found.withColumns({"median": F.round("median", 6), "mad": F.round("mad", 6)})
+
+
 @query("k2_outlier_alerts", ALERTS + " SELECT * FROM alerts")
 def k2(spark, sf):
     return alert_rows(spark, sf)
@@ -527,6 +601,31 @@ def k10e(spark, sf):
     return ahead(out, "c_nationkey", "h", "forecast", digits=1)
 
 
+SUPPORT = """x AS (SELECT sensor, value, row_number() OVER (PARTITION BY sensor ORDER BY us DESC, event_id DESC) - 1 AS back,
+  avg(value) OVER (PARTITION BY sensor) AS mean FROM readings),
+  y AS (SELECT sensor, any_value(mean) AS mean, max(CASE WHEN back = 0 THEN value - mean END) AS y0,
+    max(CASE WHEN back = 1 THEN value - mean END) AS y1 FROM x WHERE back < {0} GROUP BY sensor)"""
+CLIPPED = "greatest(-20, least(20, sign({0}) * greatest(abs({0}) - 0.1, 0)))"
+
+
+@query("k13_support_one_point", with_(READINGS, SUPPORT.format(1)) + f"""
+SELECT sensor, h, round(mean + {CLIPPED.format("y0")} * exp(-0.125 * h * h), 6) AS forecast FROM y, range(1, 13) r(h)""")
+def k13d(spark, sf):
+    out = rbf.support_forecast(readings(spark, sf), ["sensor"], ORDER, n=12, rows=1)
+    return ahead(out, "sensor", "h", "forecast", digits=6)
+
+
+# Two weights in turn until they stay: each takes what the other leaves.
+@query("k13_support_two_points", "WITH RECURSIVE " + with_(READINGS, SUPPORT.format(2)).removeprefix("WITH ") + f""",
+  b AS (SELECT 0 AS step, sensor, mean, y0, y1, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1 FROM y UNION ALL
+    SELECT step + 1, sensor, mean, y0, y1, c0, coalesce({CLIPPED.format("(y1 - exp(-0.125) * c0)")}, 0) FROM
+      (SELECT *, {CLIPPED.format("(y0 - exp(-0.125) * b1)")} AS c0 FROM b WHERE step < 160))
+SELECT sensor, h, round(mean + b0 * exp(-0.125 * h * h) + b1 * exp(-0.125 * (h + 1) ** 2), 5) AS forecast FROM b, range(1, 13) r(h) WHERE step = 160""")
+def k13e(spark, sf):
+    out = rbf.support_forecast(readings(spark, sf), ["sensor"], ORDER, n=12, rows=2, tolerance=1e-10)
+    return ahead(out, "sensor", "h", "forecast", digits=5)
+
+
 @query("k13_rbf_forecast")
 def k13b(spark, sf):
     return rbf.forecast_index(readings(spark, sf), ["sensor"], ORDER, n=12)
@@ -628,8 +727,85 @@ def b13(spark, sf):
         *[F.round(F.max(c), 8).alias(c) for c in ("p_crash", "p_ddos", "p_overload")])
 
 
-def node_risks(spark, sf):
-    return risk.node_risk(health(spark, sf), cpt(spark), SPAN, SLIDE, 3600, 3600.0)
+# A network of six nodes with a table by a rule of our own, written the same way in SQL.
+NET = {0: [1, 2], 1: [4], 2: [4, 5], 3: [2]}
+NET_SIZES = [2, 3, 5, 5, 2, 2]
+
+
+def net_tables(spark):
+    """P(state | parents) in proportion to 1 + state * (node + sum of the parents' states)."""
+    rows = []
+    for v, size in enumerate(NET_SIZES):
+        for combo in product(*[range(NET_SIZES[u]) for u in NET.get(v, [])]):
+            weight = [1.0 + s * (v + sum(combo)) for s in range(size)]
+            rows += [(v, s, list(combo), w / sum(weight)) for s, w in enumerate(weight)]
+    return spark.createDataFrame(rows, "node int, state int, parents array<int>, p double")
+
+
+def _net_p(v):
+    lean = " + ".join([str(v), *(f"x{u}" for u in NET.get(v, []))])
+    return f"(1.0 + x{v} * ({lean})) / ({' + '.join(f'(1.0 + {s} * ({lean}))' for s in range(NET_SIZES[v]))})"
+
+
+PART = """l AS (SELECT t - t % 86400 AS window_start, *, row_number() OVER (PARTITION BY t - t % 86400, instance, type
+    ORDER BY us DESC, value DESC) AS k FROM health),
+  st AS (SELECT window_start, instance, type, CAST(round(avg(""" + STATE + """), 0) AS INTEGER) AS state FROM l WHERE k <= 5 GROUP BY ALL),
+  ev AS (SELECT window_start, instance, max(CASE type WHEN 'ping' THEN state END) AS s1, max(CASE type WHEN 'cpu' THEN state END) AS s2,
+    max(CASE type WHEN 'mem' THEN state END) AS s3 FROM st GROUP BY ALL)"""
+
+
+@query("k15_any_network", with_(READINGS, HEALTH, PART) + f""",
+  seen AS (SELECT DISTINCT s1, s2, s3 FROM ev),
+  w AS (SELECT {", ".join(f"x{v}" for v in range(6))}, {" * ".join(_net_p(v) for v in range(6))} AS p
+    FROM {", ".join(f"range({n}) r{v}(x{v})" for v, n in enumerate(NET_SIZES))}),
+  post AS (SELECT s1, s2, s3, sum(p) AS total, sum(p * x0) AS q0, sum(p * x4) AS q4, sum(p * x5) AS q5 FROM seen JOIN w
+    ON (s1 IS NULL OR x1 = s1) AND (s2 IS NULL OR x2 = s2) AND (s3 IS NULL OR x3 = s3) GROUP BY ALL)
+SELECT window_start, instance, round(q0 / total, 8) AS p0, round(q4 / total, 8) AS p4, round(q5 / total, 8) AS p5 FROM ev JOIN post
+  ON ev.s1 IS NOT DISTINCT FROM post.s1 AND ev.s2 IS NOT DISTINCT FROM post.s2 AND ev.s3 IS NOT DISTINCT FROM post.s3""")
+def k15b(spark, sf):
+    """A network of six nodes; what an instance did not report in a day stays open."""
+    states = risk.latest_states(risk.in_windows(health(spark, sf), DAY, DAY), ["window_start", "instance"])
+    wide = states.groupBy("window_start", "instance").agg(*risk.state_columns())
+    out = network.evaluate(wide, NET, NET_SIZES, net_tables(spark), {1: "s1", 2: "s2", 3: "s3"}, [0, 4, 5])
+    return out.select("window_start", "instance", *[F.round(F.col(f"p{v}")[1], 8).alias(f"p{v}") for v in (0, 4, 5)])
+
+
+def node_risks(spark, sf, **options):
+    return risk.node_risk(health(spark, sf), cpt(spark), SPAN, SLIDE, 3600, 3600.0, **options)
+
+
+# The forecast on one landmark, the last second of the window, has one weight.
+NEXT = f"""fx AS (SELECT window_start, instance, type, t AS sec, avg(value) AS v, count(*) AS n FROM x GROUP BY ALL),
+  fm AS (SELECT *, sum(v * n) OVER w / sum(n) OVER w AS mean, max(sec) OVER w AS c FROM fx WINDOW w AS (PARTITION BY window_start, instance, type)),
+  fw AS (SELECT window_start, instance, type, mean, c, sum(n * f * (v - mean)) / (sum(n * f * f) + 1.0 / 40) AS w
+    FROM (SELECT *, exp(-0.125 * ((sec - c) / 3600.0) ** 2) AS f FROM fm) GROUP BY ALL),
+  fv AS (SELECT window_start, instance, type, mean + w * exp(-0.125 * ((window_start + {SPAN} + 3600 - c) / 3600.0) ** 2) AS value FROM fw),
+  fs AS (SELECT window_start, instance, type, {STATE} AS state FROM fv),
+  nev AS (SELECT window_start, instance, max(CASE type WHEN 'ping' THEN state END) AS s1, max(CASE type WHEN 'cpu' THEN state END) AS s2,
+    max(CASE type WHEN 'mem' THEN state END) AS s3, max(CASE type WHEN 'reject' THEN state END) AS s4 FROM fs GROUP BY ALL HAVING count(*) = 4)"""
+NEXT_POST = POST.replace("post AS", "npost AS").replace("FROM ev e", "FROM nev e").replace("risked AS", "nrisked AS").replace("FROM post", "FROM npost")
+BOTH = with_(READINGS, HEALTH, NOW, CPT_SQL, POST, NEXT, NEXT_POST)
+
+
+@query("k16_node_risk_one_landmark", BOTH + f"""
+SELECT window_start, window_start + {SPAN} AS window_end, instance, """ + ", ".join(
+    f"round({a}.{c}, 7) AS {c}{b}" for a, b in (("r", ""), ("f", "_next")) for c in ("p_crash", "p_ddos", "p_overload")) + """
+FROM risked r JOIN nrisked f USING (window_start, instance)""")
+def k16b(spark, sf):
+    out = node_risks(spark, sf, landmarks=1)
+    risks = [c + b for b in ("", "_next") for c in ("p_crash", "p_ddos", "p_overload")]
+    return out.select("window_start", "window_end", "instance", *[F.round(c, 7).alias(c) for c in risks])
+
+
+@query("j9_metrics_by_key", BOTH + f""",
+  pairs AS (SELECT window_start + {SPAN} AS t, instance, 'now' AS whn, p_crash, p_ddos, p_overload FROM risked SEMI JOIN nrisked USING (window_start, instance)
+    UNION ALL SELECT window_start + {SPAN}, instance, 'future', p_crash, p_ddos, p_overload FROM nrisked SEMI JOIN risked USING (window_start, instance))
+SELECT t, instance, whn AS "when", risk, 'instance_risk' AS name, round(CASE risk WHEN 'crash' THEN p_crash WHEN 'ddos' THEN p_ddos ELSE p_overload END, 7) AS value
+FROM pairs, (VALUES ('crash'), ('ddos'), ('overload')) k(risk)""")
+def j9b(spark, sf):
+    out = risk.risk_metrics(node_risks(spark, sf, landmarks=1))
+    return out.select(*[F.col("labels")[k].alias(k) for k in ("instance", "risk", "when")], F.col("labels")["__name__"].alias("name"),
+                      secs().alias("t"), F.round("value", 7).alias("value"))
 
 
 @query("k16_node_risk")
@@ -685,6 +861,23 @@ def l3(spark, sf):
     return resample.fold_buckets(totals, ["sensor"], F.lit(0.0), lambda acc, x: F.greatest(acc, x), lambda acc: acc)
 
 
+@query("l3_fold_smoothing", with_(READINGS, """b AS (SELECT sensor, t - t % 86400 AS bucket, count(*) AS s FROM readings
+    GROUP BY ALL),
+  span AS (SELECT sensor, unnest(range(min(bucket), max(bucket) + 1, 86400)) AS bucket FROM b GROUP BY sensor),
+  f AS (SELECT sensor, bucket, coalesce(s, 0) AS s FROM span LEFT JOIN b USING (sensor, bucket))""") + """
+SELECT a.sensor, a.bucket, round(sum(0.3 * b.s * power(0.7, (a.bucket - b.bucket) // 86400)), 6) AS value
+FROM f a JOIN f b ON a.sensor = b.sensor AND b.bucket <= a.bucket GROUP BY ALL""")
+def l3b(spark, sf):
+    """Exponential smoothing as a fold in chunks that are folded at the same time: a stretch keeps a share of what was before
+    and adds a sum of its own."""
+    totals = resample.bucket_totals(readings(spark, sf), ["sensor"], DAY)
+    out = resample.fold_buckets(
+        totals, ["sensor"], F.struct(F.lit(1.0).alias("keep"), F.lit(0.0).alias("add")),
+        lambda a, x: F.struct((a["keep"] * 0.7).alias("keep"), (a["add"] * 0.7 + x * 0.3).alias("add")), lambda a: a["add"],
+        merge=lambda a, b: F.struct((a["keep"] * b["keep"]).alias("keep"), (a["add"] * b["keep"] + b["add"]).alias("add")), chunk_rows=4)
+    return out.withColumn("value", F.round("value", 6))
+
+
 @query("l4_routing", with_(READINGS) + """
 SELECT 'owner_' || site AS swimlane, 'S' || (sensor % 16) AS sensor_key, count(*) AS n FROM readings GROUP BY ALL""")
 def l4(spark, sf):

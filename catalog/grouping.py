@@ -11,6 +11,8 @@ from catalog.sqlgeo import sql_decode, sql_geohash, sql_tile_x, sql_tile_y
 from gaugeworks.functions import geo, scalars
 from gaugeworks.operators import aggregate, arma, lookup, resample, select, series
 from gaugeworks.plans import jobs, risk
+from gaugeworks.session import scratch_path
+from gaugeworks.sources import layout
 
 DAY = 86400
 ORDER = ["ts", "event_id"]
@@ -429,3 +431,12 @@ def k19(spark, sf):
 def k19b(spark, sf):
     p = positions(spark, sf).select("sensor", F.col("lat1").alias("lat"), F.col("lng1").alias("lng"))
     return lookup.tile_prefilter(lookup.with_tiles(p, [5]), 5, BOX).select("sensor")
+
+
+@query("k19_clustered_box", with_(READINGS) + f" SELECT event_id, sensor FROM readings WHERE {IN_BOX}")
+def k19c(spark, sf):
+    """A box read from a table that is stored along the curve of its tiles: the box is a few ranges of the stored column."""
+    path = scratch_path(spark, "clustered")
+    placed = readings(spark, sf).select("event_id", "sensor", "ts", "v.lat", "v.lng")
+    layout.write_clustered(placed, path)
+    return layout.in_box(spark.read.parquet(path), BOX).select("event_id", "sensor")

@@ -124,8 +124,9 @@ def with_tiles(df: DataFrame, zooms: Sequence[int], lat: str = "lat", lng: str =
     return df.withColumns(cols)
 
 
-def tile_prefilter(df: DataFrame, zoom: int, box: Sequence[float]) -> DataFrame:
-    """Box filter on a table with stored tile columns: tile range first, then the exact test."""
+def tile_span(zoom: int, box: Sequence[float]) -> tuple[int, int, int, int]:
+    """First and last column, first and last row of the tiles of a box (latitudes first), with one tile of slack on each side, which keeps a
+    filter by tiles safe against rounding at their edges."""
     lat1, lng1, lat2, lng2 = box
     n = 1 << zoom
 
@@ -137,7 +138,12 @@ def tile_prefilter(df: DataFrame, zoom: int, box: Sequence[float]) -> DataFrame:
         merc = math.log(math.tan(rad) + 1.0 / math.cos(rad))
         return min(max(math.floor((1.0 - merc / math.pi) / 2.0 * n), 0), n - 1)
 
-    # One tile of slack on each side keeps the prefilter safe against rounding at tile edges.
-    return df.where(F.col(f"tile_x_{zoom}").between(tx(lng1) - 1, tx(lng2) + 1)
-                    & F.col(f"tile_y_{zoom}").between(ty(lat2) - 1, ty(lat1) + 1)
+    return tx(lng1) - 1, tx(lng2) + 1, ty(lat2) - 1, ty(lat1) + 1
+
+
+def tile_prefilter(df: DataFrame, zoom: int, box: Sequence[float]) -> DataFrame:
+    """Box filter on a table with stored tile columns: tile range first, then the exact test."""
+    lat1, lng1, lat2, lng2 = box
+    x1, x2, y1, y2 = tile_span(zoom, box)
+    return df.where(F.col(f"tile_x_{zoom}").between(x1, x2) & F.col(f"tile_y_{zoom}").between(y1, y2)
                     & geo.point_in_box(F.col("lat"), F.col("lng"), lat1, lng1, lat2, lng2))

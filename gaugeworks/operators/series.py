@@ -38,7 +38,7 @@ def split_hot(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     n_hot, n_rows = hot.agg(F.count(F.lit(1)), F.sum("_n")).first()
     if n_hot == 0:
         return df.withColumn("_chunk", F.lit(0).cast("long")), 0
-    side = _if_small(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot")), n_hot)
+    side = if_small(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot")), n_hot)
     same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
     marked = df.join(side, same, "left").drop(*[f"_hot_{k}" for k in keys]).withColumn("_hot", F.col("_hot").isNotNull())
     parts = max(2, -(-n_rows // target_rows))
@@ -48,7 +48,7 @@ def split_hot(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return pieces.unionByName(rest), parts + n_hot
 
 
-def _if_small(df: DataFrame, rows: int) -> DataFrame:
+def if_small(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast a table counted to be small; leave a larger one to a shuffle join."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
@@ -56,7 +56,7 @@ def _if_small(df: DataFrame, rows: int) -> DataFrame:
 def _carried(df: DataFrame, carry: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
     """``df`` with the columns that ``carry``, of about ``rows`` rows, has per series and chunk. A null key is a key, as in ``split_hot``."""
     on = [*keys, "_chunk"]
-    side = _if_small(carry.withColumnsRenamed({c: f"_at_{c}" for c in on}), rows)
+    side = if_small(carry.withColumnsRenamed({c: f"_at_{c}" for c in on}), rows)
     same = [F.col(f"`{c}`").eqNullSafe(F.col(f"`_at_{c}`")) for c in on]
     return df.join(side, same, "left").drop(*[f"_at_{c}" for c in on])
 

@@ -13,7 +13,7 @@ from gaugeworks.operators import aggregate, arma, lookup, outliers, rbf, resampl
 from gaugeworks.operators.series import number_series, with_page
 from gaugeworks.plans import risk
 from gaugeworks.session import cut
-from gaugeworks.streaming.jobs import WindowJob
+from gaugeworks.streaming.jobs import PaneJob, WindowJob
 
 
 def outlier_job(seconds: int = 10, keys: Sequence[str] = ("sensor",), threshold: float = outliers.THRESHOLD,
@@ -102,12 +102,12 @@ def grid_sensors(routed: DataFrame) -> DataFrame:
             .select("sensor", "label", "_b.lat1", "_b.lat2", "_b.lng1", "_b.lng2"))
 
 
-def node_risk_job(cpt: DataFrame, seconds: int = 600, slide: int = 60, **options) -> WindowJob:
-    """Sliding job: risk metrics per instance. The state holds the readings of the open windows."""
-    return WindowJob(
+def node_risk_job(cpt: DataFrame, seconds: int = 600, slide: int = 60, landmarks: int = rbf.LANDMARKS, **options) -> PaneJob:
+    """Sliding job: risk metrics per instance. The state holds the readings of the open panes, each once."""
+    return PaneJob(
         name="node_risk", seconds=seconds, slide=slide, state_keys=["instance", "type", "ts", "value"],
         state={"n": F.count(F.lit(1)).cast("int")},
-        result=lambda closed: risk.node_risk_closed(closed, cpt, seconds),
+        result=lambda closed: risk.node_risk_closed(closed, cpt, seconds, slide, landmarks=landmarks),
         collect=risk.risk_metrics, **options)
 
 

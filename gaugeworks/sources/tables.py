@@ -20,14 +20,16 @@ def with_slice(df: DataFrame, seconds: int, ts: str = "ts") -> DataFrame:
 
 
 def write_readings(df: DataFrame, path: str, slice_seconds: int, mode: str = "append",
-                   by: Sequence[str] = ("measurement", "site")) -> None:
-    """Write partitioned by ``by`` and slice.
+                   by: Sequence[str] = ("measurement", "site"), order: Sequence[str] = ("sensor", "ts")) -> None:
+    """Write partitioned by ``by`` and slice, sorted by ``order`` (where there are such columns) within files.
 
     The rebalance hint lets AQE merge small partitions and split large ones, so neither many tiny files nor
-    one task with a hot partition result.
+    one task with a hot partition result. In a sorted file a read of a few sensors leaves most row groups out.
     """
     cols = [*by, "slice"]
-    (with_slice(df, slice_seconds).hint("rebalance", *cols)
+    # A partition column that may be null is rewritten by the writer, which then sorts anew; this name reads back as null.
+    texts = {c: F.coalesce(F.col(c), F.lit("__HIVE_DEFAULT_PARTITION__")) for c in by if df.schema[c].dataType.simpleString() == "string"}
+    (with_slice(df, slice_seconds).withColumns(texts).hint("rebalance", *cols).sortWithinPartitions(*cols, *[c for c in order if c in df.columns])
      .write.mode(mode).partitionBy(*cols).parquet(path))
 
 

@@ -33,7 +33,7 @@ from gaugeworks.session import cut
 BASE, HASHES, BITS_PER_ENTRY, MAX_BITS, MU = 1.5, 6, 8, 2**31, 200.0
 #: Words whose exact counts every worker holds; the rest are joined.
 FREQUENT = 2**18
-_SEGMENT_BITS = 2**20
+_SEGMENT_BITS = 2**16
 _SAMPLE = 256
 #: Tokens of a group of texts; pairs that a task holds before it passes them on.
 _GROUP, _HELD = 1_000_000, 2_500_000
@@ -220,7 +220,8 @@ def learn(docs: DataFrame, text: str = "text", max_bits: int = MAX_BITS, frequen
     shape_ = "segment int, key long, n long"
     vocabulary = counted.where("kind = 1").select("key", "n")
     rows = source.mapInArrow(grams, shape_).unionByName(vocabulary.mapInArrow(place, shape_))
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(4096, segments // 8))
+    # Segments are small, so that tens of thousands of tasks can share the count.
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), segments // 128)
     summed = rows.repartition(parts, "segment").groupBy("segment", "key").agg(F.sum("n").alias("n"))
     rest = None
     if least_pair > 1:

@@ -47,6 +47,11 @@ TEMPLATES = [
     ("BSD-3-Clause", "Licensed under the 3-Clause BSD License."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
                      "that the following conditions are met:"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("BSL-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+                "accompanying documentation covered by this license (the Software) to use, reproduce, display, distribute, execute, "
+                "and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the "
+                "Software is furnished to do so, all subject to the following:"),
     ("CC-BY-4.0", "By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and "
                   "conditions of this Creative Commons Attribution 4.0 International Public License"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
@@ -60,16 +65,29 @@ TEMPLATES = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    ("EPL-2.0", "Licensed under the Eclipse Public License, version 2.0."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+                "which is available at https://www.eclipse.org/legal/epl-2.0/"),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
                 "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
                 "option) any later version."),
+    *[("GPL-2.0-only", f"{begin} free software{stop} you can redistribute it and/or modify it under the terms of the GNU General "
+                       "Public License version 2 as published by the Free Software Foundation.")
+      for begin, stop in (("This program is", ";"), ("This software is", ","))],
+    ("GPL-2.0-only", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+                     "Public License as published by the Free Software Foundation; version 2 of the License."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
                 "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
                 "option) any later version."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
             "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    *[(f"LGPL-{number}", f"This library is free software; you can redistribute it and/or modify it under the terms of the GNU {kind} "
+                         f"General Public License as published by the Free Software Foundation; either version {number.removesuffix('.0')} "
+                         f"of the License, or (at your option) any later version.")
+      for number, kind in (("2.0", "Library"), ("2.1", "Lesser"), ("3.0", "Lesser"))],
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("LGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
                  "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
@@ -84,6 +102,11 @@ TEMPLATES = [
     ("MPL-2.0", "Contributor means each individual or legal entity that creates, contributes to the creation of, or owns "
                 "Covered Software."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Zlib", "Licensed under the zlib License."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable "
+             "for any damages arising from the use of this software."),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and "
+             "redistribute it freely, subject to the following restrictions:"),
     ("all-rights-reserved", "All rights reserved."),
 ]
 _TOKEN = re.compile(r"[^\W_]+")

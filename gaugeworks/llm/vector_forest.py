@@ -1,8 +1,13 @@
 """Near-duplicate vectors by a forest of random-projection trees.
 
-Each tree splits the space by random hyperplanes at the median of a node; a vector within ``spill`` of a hyperplane goes to
-both sides. The trees are fitted on a sample of at most ``sample`` vectors, which bounds the model that is sent to the
-workers (``trees * sample / leaf * 2`` hyperplanes); every vector is indexed. Vectors of one leaf are compared in double
+Each tree splits the space by random hyperplanes at the median of a node; a vector close to a hyperplane goes to
+both sides. How close is measured by the spread that the difference of two linked vectors has along a random direction,
+``sqrt(2 (1 - least) / dimension)``, so trees are alike in any dimension. The upper trees are fitted on a sample of at most ``sample``
+vectors (``trees * sample / leaf * 2`` hyperplanes); every vector is indexed. Their leaves grow with the input, so leaves beyond a
+block are split further by the workers: one seeded direction a tree and level, at the median of a counted histogram of the
+whole leaf, level by level until they fit a block. So the comparisons of a vector do not grow with the input. A leaf that is too tight to
+be split is compared in blocks. The model holds a number per split leaf, ``SPLITS`` at most (32 MB); beyond that, which takes
+some hundred million vectors, leaves are several blocks. Vectors of one leaf are compared in double
 precision, all against all in blocks of bounded size, so a leaf of any size is compared completely. A pair that meets in several
 leaves counts in the first of them only, so no list of pairs is needed to count links: a block gives counts per
 vector and one chain of links per connected part.
@@ -26,7 +31,9 @@ from pyspark.sql import functions as F
 from gaugeworks.llm.links import components
 from gaugeworks.session import cut
 
-TREES, LEAF, SPILL, SAMPLE, BLOCK = 10, 64, 0.01, 20_000, 1024
+TREES, LEAF, SPILL, SAMPLE, BLOCK = 10, 64, 0.3, 20_000, 1024
+DEEP, SPLITS = 22, 2_000_000
+_PATH = 24
 #: A node of which more than this share would go to both sides is not split.
 MOST_SPILLED = 0.4
 
@@ -85,6 +92,109 @@ def grow_tree(x: np.ndarray, leaf: int, spill: float, rng: np.random.Generator)
     return Tree(np.array(plane), np.array(threshold), np.array(left), np.array(right))
 
 
+class Forest:
+    """Trees, and below their leaves the splits that were counted on all vectors.
+
+    A code names a leaf: tree, leaf of the tree, and the path below it (1, then a bit per split).
+    """
+
+    def __init__(self, trees: list[Tree], dim: int, spill: float, seed: int):
+        self.trees, self.spill = trees, spill
+        lines = np.random.default_rng((seed, len(trees), dim)).standard_normal((len(trees), DEEP, dim))
+        self.lines = lines / np.linalg.norm(lines, axis=2, keepdims=True)
+        self.split, self.cuts = np.zeros(0, np.int64), np.zeros(0)
+
+    def add(self, codes: np.ndarray, cuts: np.ndarray) -> None:
+        codes, cuts = np.concatenate([self.split, codes]), np.concatenate([self.cuts, cuts])
+        order = np.argsort(codes)
+        self.split, self.cuts = codes[order], cuts[order]
+
+    def along(self, x: np.ndarray, rows: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Place of rows along the direction that splits their leaf."""
+        level = np.floor(np.log2(codes & (1 << _PATH) - 1)).astype(np.int64)
+        tree, out = codes >> 2 * _PATH, np.empty(len(rows))
+        for k, d in set(zip(tree.tolist(), level.tolist())):
+            here = (tree == k) & (level == d)
+            out[here] = x[rows[here]] @ self.lines[k, d]
+        return out
+
+    def codes(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(row, code)`` of every leaf that each row reaches."""
+        met = [t.leaves(x, self.spill) for t in self.trees]
+        rows = np.concatenate([m[0] for m in met])
+        codes = np.concatenate([(k << _PATH | m[1]) << _PATH | 1 for k, m in enumerate(met)])
+        done = []
+        while len(rows):
+            at = np.searchsorted(self.split, codes)
+            hit = np.zeros(len(codes), bool)
+            inside = at < len(self.split)
+            hit[inside] = self.split[at[inside]] == codes[inside]
+            done.append((rows[~hit], codes[~hit]))
+            rows, codes, at = rows[hit], codes[hit], at[hit]
+            gap = self.along(x, rows, codes) - self.cuts[at]
+            left, right = gap <= self.spill, gap > -self.spill
+            path = codes & (1 << _PATH) - 1
+            rows, codes = np.concatenate([rows[left], rows[right]]), np.concatenate([(codes + path)[left], (codes + path + 1)[right]])
+        return np.concatenate([d[0] for d in done]), np.concatenate([d[1] for d in done])
+
+
+def spill_of(dim: int, least: float, spill: float = SPILL) -> float:
+    """Distance from a hyperplane within which a unit vector goes to both sides."""
+    return spill * float(np.sqrt(2.0 * (1.0 - min(least, 1.0)) / dim)) + 1e-12
+
+
+def middle_of(bins: np.ndarray, counts: np.ndarray, width: float, spill: float) -> float | None:
+    """Threshold at the middle of a histogram; none where a split would leave too much on both sides."""
+    order = np.argsort(bins)
+    bins, counts = bins[order], counts[order]
+    half = int(np.searchsorted(np.cumsum(counts), counts.sum() / 2))
+    at = (bins[half] + 1) * width
+    near = np.abs((bins + 0.5) * width - at) <= spill + width / 2
+    below = counts[bins < bins[half] + 1].sum()
+    return None if below == counts.sum() or counts[near].sum() > MOST_SPILLED * counts.sum() else float(at)
+
+
+def deepen(forest: Forest, nodes: DataFrame, block: int) -> dict[int, int]:
+    """Split leaves beyond a block, level by level; the number of vectors in each leaf that stays beyond it."""
+    context, width = nodes.sparkSession.sparkContext, forest.spill / 4
+
+    def tally(pick, shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if b.num_rows:
+                    x = _unit(b.column(0))
+                    rows, codes = shared.value.codes(x)
+                    if pick is None:
+                        codes, n = np.unique(codes, return_counts=True)
+                        bins = np.zeros(len(codes), np.int64)
+                    else:
+                        kept = np.isin(codes, pick)
+                        rows, codes = rows[kept], codes[kept]
+                        bins = np.floor(shared.value.along(x, rows, codes) / width).astype(np.int64)
+                        (codes, bins), n = np.unique(np.stack([codes, bins]), axis=1, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(bins), pa.array(n)], ["code", "bin", "n"])
+
+        rows = nodes.select("v").mapInArrow(run, "code long, bin long, n long")
+        return rows.groupBy("code", "bin").agg(F.sum("n").alias("n"))
+
+    def middle(pdf: pd.DataFrame) -> pd.DataFrame:
+        at = middle_of(pdf["bin"].to_numpy(), pdf["n"].to_numpy(), width, spill)
+        return pd.DataFrame({"code": pdf["code"].iloc[:1], "at": [at]}).astype({"at": "float64"})
+
+    spill, tight = forest.spill, set()
+    while True:
+        # At most one row per leaf of the model; a histogram has a bounded number of bins and stays on the workers.
+        large = {r.code: r.n for r in tally(None, context.broadcast(forest)).where(F.col("n") > block).select("code", "n").collect()}
+        open_ = sorted(c for c in large if c not in tight and (c & (1 << _PATH) - 1) < 1 << DEEP - 1)
+        if not open_ or len(forest.split) + len(open_) > SPLITS:
+            return large
+        cuts = tally(np.array(open_), context.broadcast(forest)).groupBy("code").applyInPandas(middle, "code long, at double").collect()
+        good = [(r.code, r.at) for r in cuts if r.at is not None and not np.isnan(r.at)]
+        tight.update(set(open_) - {c for c, _ in good})
+        if good:
+            forest.add(*(np.array(c) for c in zip(*good)))
+
+
 def _unit(column: pa.Array) -> np.ndarray:
     """Rows of a list column as unit vectors in double precision; scaled first, so that no square over- or underflows."""
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
@@ -133,19 +243,10 @@ def _links_of(nodes: DataFrame, least: float, trees: int, leaf: int, spill: floa
     total = nodes.count()
     pick = nodes if total <= sample else nodes.where(F.pmod(F.xxhash64("node"), F.lit(1_000_000)) < int(1_000_000 * sample / total))
     x = unit(np.array([r[0] for r in pick.select("v").orderBy("node").limit(sample).collect()], np.float64))
-    context = nodes.sparkSession.sparkContext
-    forest = context.broadcast([grow_tree(x, leaf, spill, np.random.default_rng((seed, t))) for t in range(trees)])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                v = _unit(b.column(0))
-                met = np.concatenate([t.leaves(v, spill)[1] | k << 40 for k, t in enumerate(forest.value)])
-                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in np.unique(met, return_counts=True)], ["leaf", "n"])
-
-    # At most one row per leaf of the model, whatever the input.
-    large = nodes.select("v").mapInArrow(count, "leaf long, n long").groupBy("leaf").agg(F.sum("n").alias("n")).where(F.col("n") > block)
-    blocks = context.broadcast({r.leaf: -(-r.n // block) for r in large.collect()})
+    context, near = nodes.sparkSession.sparkContext, spill_of(x.shape[-1], least, spill)
+    grown = Forest([grow_tree(x, leaf, near, np.random.default_rng((seed, t))) for t in range(trees)], x.shape[-1], near, seed)
+    blocks = context.broadcast({code: -(-n // block) for code, n in deepen(grown, nodes, block).items()})
+    forest = context.broadcast(grown)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each vector once per leaf and per block that it meets there, with all its leaves in order."""
@@ -153,9 +254,7 @@ def _links_of(nodes: DataFrame, least: float, trees: int, leaf: int, spill: floa
             if not b.num_rows:
                 continue
             v, node = _unit(b.column(2)), b.column(0).to_numpy()
-            met = [t.leaves(v, spill) for t in forest.value]
-            rows = np.concatenate([m[0] for m in met])
-            leaves = np.concatenate([m[1] | k << 40 for k, m in enumerate(met)])
+            rows, leaves = forest.value.codes(v)
             order = np.lexsort((leaves, rows))
             rows, leaves = rows[order], leaves[order]
             ends = np.searchsorted(rows, np.arange(b.num_rows + 1)).astype(np.int32)

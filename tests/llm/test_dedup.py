@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -118,3 +119,41 @@ def test_tight_nodes_are_not_split():
     x = vector_forest.unit(rng.normal(size=(1, 16)) + 1e-4 * rng.normal(size=(500, 16)))
     tree = vector_forest.grow_tree(x, 16, 0.01, rng)
     assert len(tree.left) == 1 and tree.left[0] == -1
+
+
+def test_forest_finds_links_in_any_dimension():
+    rng, c = np.random.default_rng(0), 0.955
+    for dim in (16, 64, 768):
+        x = vector_forest.unit(rng.normal(size=(1500, dim)))
+        y = x[:300]
+        z = rng.normal(size=y.shape)
+        z = vector_forest.unit(z - (z * y).sum(1)[:, None] * y)
+        all_ = np.concatenate([x, c * y + math.sqrt(1 - c * c) * z])
+        near = vector_forest.spill_of(dim, 0.95)
+        trees = [vector_forest.grow_tree(all_, 64, near, np.random.default_rng((11, t))) for t in range(vector_forest.TREES)]
+        rows, codes = vector_forest.Forest(trees, dim, near, 11).codes(all_)
+        met = [set() for _ in all_]
+        for r, code in zip(rows.tolist(), codes.tolist()):
+            met[r].add(code)
+        assert np.mean([bool(met[k] & met[1500 + k]) for k in range(300)]) >= 0.99
+        assert len(rows) < 25 * len(all_) and all(len(t.left) > 20 for t in trees)
+
+
+def test_work_per_vector_does_not_grow_with_the_input(spark):
+    """Ten times the vectors on trees of the same sample: leaves are split on until they fit a block."""
+    rng, block, near = np.random.default_rng(1), 100, vector_forest.spill_of(8, 0.95)
+    sample = vector_forest.unit(rng.normal(size=(300, 8)))
+    got = {}
+    for n in (600, 6000):
+        x = vector_forest.unit(rng.normal(size=(n, 8)))
+        df = spark.createDataFrame([(v.tolist(),) for v in x], "v array<double>").repartition(4)
+        forest = vector_forest.Forest([vector_forest.grow_tree(sample, 64, near, np.random.default_rng(t)) for t in range(3)], 8, near, 5)
+        large = vector_forest.deepen(forest, df, block)
+        codes = forest.codes(x)[1]
+        sizes = np.unique(codes, return_counts=True)[1]
+        assert sizes.max() <= block or large
+        got[n] = len(codes) / n, float((sizes ** 2).sum()) / n
+    assert got[6000][0] < 3 * got[600][0] and got[6000][1] < 3 * got[600][1]
+    same = spark.createDataFrame([([1.0, 0.0],)] * 300, "v array<double>")
+    tight = vector_forest.Forest([vector_forest.grow_tree(np.ones((4, 2)), 64, near, rng)], 2, near, 5)
+    assert list(vector_forest.deepen(tight, same, block).values()) == [300]

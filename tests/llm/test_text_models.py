@@ -247,3 +247,23 @@ def test_scan_of_odd_tables(spark, docs, nothing):
     got = licenses.scan_licenses(docs)
     assert got.count() == docs.count() and got.where("text is null and (license is not null or dice <> 0)").isEmpty()
     assert licenses.scan_licenses(nothing).collect() == []
+
+
+@pytest.mark.parametrize("name,notice", [
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or\n * modify it under the terms of the GNU Lesser General Public\n"
+                 " * License as published by the Free Software Foundation; either\n * version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "# This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License "
+                 "as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version."),
+    ("GPL-2.0-only", "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License version 2 as\n"
+                     "published by the Free Software Foundation."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
+                "by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\n"
+             "freely, subject to the following restrictions:"),
+    ("BSL-1.0", "// Distributed under the Boost Software License, Version 1.0.\n// (See accompanying file LICENSE_1_0.txt)"),
+    ("EPL-2.0", "This program and the accompanying materials are made\navailable under the terms of the Eclipse Public License 2.0\n"
+                "which is available at https://www.eclipse.org/legal/epl-2.0/"),
+])
+def test_usual_notices_and_their_versions(name, notice):
+    text = "some words before it\n" + notice + "\nint main() { return 0; }"
+    assert licenses.Scanner().scan(text)[0] == name

@@ -33,7 +33,8 @@ FEW = 20
 ORDER, SHARPNESS = 4, 10.0
 _BLANK, _PAD = 0x20, 3
 _CHARS = 4_000_000
-_CACHE = 3_000_000
+#: Bytes of known 4-grams and their log probabilities that a worker keeps: a key and a number per language each.
+_CACHE = 120_000_000
 _letters: np.ndarray | None = None
 
 
@@ -147,7 +148,7 @@ class Model:
 
     def _logs(self, keys: np.ndarray) -> np.ndarray:
         """Log probability of distinct keys under each language; keys met before come from a bounded cache."""
-        if self._values is None or len(self._known) > _CACHE:
+        if self._values is None or self._known.nbytes + self._values.nbytes > _CACHE:
             self._known, self._values = np.zeros(0, np.uint64), np.zeros((0, len(self.models)))
         at, seen = _find(self._known, keys) if len(self._known) else (None, np.zeros(len(keys), bool))
         new = keys[~seen]

@@ -18,9 +18,11 @@ def test_filter_never_reads_a_count_too_low():
     rng = np.random.default_rng(0)
     keys = np.unique(rng.integers(0, 2**63, 60_000, np.uint64))
     counts = np.minimum(rng.zipf(1.6, len(keys)), 10**6)
-    place = bloom_lm.segment_of(keys, 3)
-    data = np.concatenate([bloom_lm.fill_segment(keys[place == s], counts[place == s]) for s in range(3)])
-    f = bloom_lm.Filter(data, 3)
+    # Three million bits, whatever the size of a segment.
+    n = 3 * 2**20 // bloom_lm._SEGMENT_BITS
+    place = bloom_lm.segment_of(keys, n)
+    data = np.concatenate([bloom_lm.fill_segment(keys[place == s], counts[place == s]) for s in range(n)])
+    f = bloom_lm.Filter(data, n)
     got, want = f.levels(keys), bloom_lm.level_of(counts)
     assert (got >= want).all() and (got == want).mean() > 0.95
     assert (f.levels(rng.integers(0, 2**63, 20_000, np.uint64)) > 0).mean() < 0.05
@@ -267,3 +269,55 @@ def test_scan_of_odd_tables(spark, docs, nothing):
 def test_usual_notices_and_their_versions(name, notice):
     text = "some words before it\n" + notice + "\nint main() { return 0; }"
     assert licenses.Scanner().scan(text)[0] == name
+
+
+def plain_kneser_ney(texts):
+    """Interpolated Kneser-Ney by dictionaries: a function from four symbols to the log probability of the last one."""
+    counts = [Counter(tuple(s[i:i + 4].tolist()) for s in texts for i in range(len(s) - 3))]
+    for _ in range(3):
+        counts.append(Counter(g[1:] for g in counts[-1]))
+    discounts = []
+    for c in counts:
+        ones, twos = sum(n == 1 for n in c.values()), sum(n == 2 for n in c.values())
+        discounts.append(min(0.95, max(0.1, ones / (ones + 2 * twos))) if ones else 0.5)
+    totals, kinds = [Counter() for _ in counts], [Counter() for _ in counts]
+    for k, c in enumerate(counts):
+        for g, n in c.items():
+            totals[k][g[:-1]] += n
+            kinds[k][g[:-1]] += 1
+
+    def prob(g, k):
+        below = prob(g[1:], k + 1) if k < 3 else 1 / 65536
+        total = totals[k][g[:-1]]
+        return (max(counts[k][g] - discounts[k], 0) + discounts[k] * kinds[k][g[:-1]] * below) / total if total else below
+
+    return lambda g: math.log(prob(tuple(g), 0))
+
+
+def test_language_models_equal_plain_kneser_ney():
+    rng = np.random.default_rng(6)
+    words = {k: ["".join(rng.choice(list(a), rng.integers(2, 6))) for _ in range(30)] for k, a in (("x", "abcde"), ("y", "bdefg"), ("z", "aeiou"))}
+    make = lambda k, n: " ".join(rng.choice(words[k], n))
+    learnt = {k: [language_id.symbols(make(k, 20)) for _ in range(15)] for k in words}
+    plain, fast = {}, []
+    for k, texts_ in learnt.items():
+        plain[k] = plain_kneser_ney(texts_)
+        fast.append(language_id.kneser_ney(*np.unique(np.concatenate([language_id.grams(t) for t in texts_]), return_counts=True)))
+    model = language_id.Model(list(words), fast)
+    tests = [make(k, n) for k in words for n in (1, 3, 12)] + ["zzz qqq", "Ab. CD! é", "aeg"]
+    for text in tests:
+        s = language_id.symbols(text)
+        found = {k: -np.mean([f(s[i:i + 4].tolist()) for i in range(len(s) - 3)]) for k, f in plain.items()}
+        assert model.entropies([s])[0] == pytest.approx([found[k] for k in words], rel=1e-12)
+        assert model.predict([text])[0] == [min(found, key=lambda k: (round(found[k], 12), k))]
+
+
+def test_known_grams_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(language_id, "_CACHE", 2000)
+    texts_ = [language_id.symbols(t) for t in ("abc abd abe", "xyz xyw xyv")]
+    model = language_id.Model(["a", "b"], [language_id.kneser_ney(*np.unique(language_id.grams(t), return_counts=True)) for t in texts_])
+    once = [model.predict([t])[0] for t in ("abc", "xyz")]
+    for k in range(60):
+        model.predict(["".join(chr(97 + (k * j) % 26) for j in range(1, 12))])
+        assert model._known.nbytes + model._values.nbytes < 2000 + 24 * 12
+    assert [model.predict([t])[0] for t in ("abc", "xyz")] == once

@@ -865,7 +865,7 @@ def l3(spark, sf):
     GROUP BY ALL),
   span AS (SELECT sensor, unnest(range(min(bucket), max(bucket) + 1, 86400)) AS bucket FROM b GROUP BY sensor),
   f AS (SELECT sensor, bucket, coalesce(s, 0) AS s FROM span LEFT JOIN b USING (sensor, bucket))""") + """
-SELECT a.sensor, a.bucket, round(sum(0.3 * b.s * power(0.7, (a.bucket - b.bucket) // 86400)), 6) AS value
+SELECT a.sensor, a.bucket, round(sum(b.s * power(2.0 / 3.0, (a.bucket - b.bucket) // 86400)) / 3.0, 6) AS value
 FROM f a JOIN f b ON a.sensor = b.sensor AND b.bucket <= a.bucket GROUP BY ALL""")
 def l3b(spark, sf):
     """Exponential smoothing as a fold in chunks that are folded at the same time: a stretch keeps a share of what was before
@@ -873,7 +873,7 @@ def l3b(spark, sf):
     totals = resample.bucket_totals(readings(spark, sf), ["sensor"], DAY)
     out = resample.fold_buckets(
         totals, ["sensor"], F.struct(F.lit(1.0).alias("keep"), F.lit(0.0).alias("add")),
-        lambda a, x: F.struct((a["keep"] * 0.7).alias("keep"), (a["add"] * 0.7 + x * 0.3).alias("add")), lambda a: a["add"],
+        lambda a, x: F.struct((a["keep"] * (2 / 3)).alias("keep"), (a["add"] * (2 / 3) + x / 3).alias("add")), lambda a: a["add"],
         merge=lambda a, b: F.struct((a["keep"] * b["keep"]).alias("keep"), (a["add"] * b["keep"] + b["add"]).alias("add")), chunk_rows=4)
     return out.withColumn("value", F.round("value", 6))
 
